@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise import schemas as S
 from shelfwise.functions import clean as C
@@ -55,15 +56,33 @@ def unread_headers(names: list[str]) -> list[str]:
             if re.search(r"Stock on Hand", n) and not re.search(STOCK_HEADER, n)]
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _cells(wide: DataFrame, positions: list[int | None]) -> str:
+    """SQL for one array holding a warehouse cell each, in block order."""
+    types = [f.dataType for f in wide.schema.fields]
+    given = [types[p] for p in positions if p is not None]
+    as_text = any(isinstance(t, T.StringType) for t in given)
+    cells = ["NULL" if p is None else f"CAST(c{p} AS string)"
+             if as_text and not isinstance(types[p], T.StringType) else f"c{p}"
+             for p in positions]
+    return f"array({', '.join(cells)})" if given else "CAST(NULL AS array<string>)"
+
+
 def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
                     warehouses: list[str] | None = None) -> DataFrame:
     """|raw| x #warehouses rows, zero stock included, summary columns left out.
 
-    One scan and one Expand. Category, brand and numbers are cleaned on the wide rows, so each
-    cell is touched once and each product's texts once instead of once per warehouse.
-    `warehouses` builds only those blocks; a filter on the result would still read all columns.
+    One scan and no shuffle. The cells of each kind are gathered in an array, the fixed list of
+    warehouses is exploded, and each row picks its own cells: stock that is asked for alone
+    reads no cost columns, and the generated code stays small however many warehouses there are
+    (an Expand over all columns outgrows what the JVM compiles). Category and brand are cleaned
+    on the wide rows, once per product. `warehouses` builds only those blocks; a filter on the
+    result would still read all columns.
     """
-    spark = raw.sparkSession
     names = raw.columns
     require_columns(raw, S.RAW_REQUIRED["stock_balance"], "stock_balance")
     blocks = plan_headers(names)
@@ -75,49 +94,38 @@ def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
     # By position: header texts may differ in case only, which names cannot tell apart.
     wide = raw.toDF(*[f"c{i}" for i in range(len(names))])
     at = {n: f"c{names.index(n)}" for n in S.RAW_REQUIRED["stock_balance"]}
-    texts = {at[n]: C.strip_ws(F.col(at[n])) for n in ("Product No.", "Category", "Brand")}
-    stripped = wide.withColumns(texts).withColumn(
+    texts = [at[n] for n in ("Product No.", "Category", "Brand")]
+    stripped = C.strip_fields(wide, *texts).withColumn(
         at["Category"], C.clean_category(F.col(at["Category"]), stripped=True))
-    has_ids = S.ROW_ID in names
-    ids = [
-        C.known(F.col(at["Product No."]), stripped=True).alias("id_no"),
-        F.col(at["Product Name"]).cast("string").alias("id_name"),
-        F.col(at["SKU No."]).cast("string").alias("id_sku"),
-        F.col(at["Category"]).alias("id_category"),
-        C.clean_brand(F.col(at["Category"]), F.col(at["Brand"]), house_category,
-                      stripped=True).alias("id_brand"),
-        F.col(at["Unit of Measurement"]).cast("string").alias("id_unit"),
-        *([F.col(f"c{names.index(S.ROW_ID)}").alias("id_row")] if has_ids else []),
-    ]
-    number = S.NUMBER.simpleString()
-    cells, groups = [], []
-    for b in blocks:
-        k = b.ordinal
-        cells.append(f"coalesce(try_cast(c{b.stock} AS {number}), cast(0 AS {number})) AS s{k}")
-        for letter, pos in (("u", b.cost), ("v", b.value)):
-            source = "NULL" if pos is None else f"c{pos}"
-            cells.append(f"try_cast({source} AS {number}) AS {letter}{k}")
-        cells.append(f"{k}L AS k{k}")
-        alias = "`" + b.warehouse.replace("`", "``") + "`"
-        groups.append(f"(s{k}, u{k}, v{k}, k{k}) AS {alias}")
-    prepared = stripped.select("*", *ids).selectExpr("id_no", "id_name", "id_sku", "id_category",
-                                                 "id_brand", "id_unit",
-                                                 *(["id_row"] if has_ids else []), *cells)
-    if has_ids:
+    ids = {
+        "id_no": C.known(F.col(at["Product No."]), stripped=True),
+        "id_name": F.col(at["Product Name"]).cast("string"),
+        "id_sku": F.col(at["SKU No."]).cast("string"),
+        "id_category": F.col(at["Category"]),
+        "id_brand": C.clean_brand(F.col(at["Category"]), F.col(at["Brand"]), house_category,
+                                  stripped=True),
+        "id_unit": F.col(at["Unit of Measurement"]).cast("string"),
+    }
+    if S.ROW_ID in names:
+        ids["id_row"] = F.col(f"c{names.index(S.ROW_ID)}")
         # Position in the unpivoted table: all rows of earlier warehouses come first.
-        placeholder = (f"concat('{S.PRODUCT_PLACEHOLDER_PREFIX}', "
-                       "k * (SELECT count(*) FROM {wide}) + id_row)")
+        n_rows = wide.agg(F.count("*")).scalar()
+        row_id = F.col("block") * n_rows + F.col("id_row")
     else:
-        placeholder = ("cast(raise_error('blank product number in a source without row ids') "
-                       "AS string), ''")
-    return spark.sql(
-        f"""
-        SELECT coalesce(id_no, {placeholder}) AS `Product No.`,
-               id_name AS `Product Name`, id_sku AS `SKU No.`, id_category AS `Tier 1 Category`,
-               id_brand AS `Brand`, id_unit AS `Unit of Measurement`, wh AS `Warehouse`,
-               s AS `Stock on Hand`, u AS `Unit Cost`, v AS `Inventory Asset Value`
-        FROM {{prepared}}
-        UNPIVOT INCLUDE NULLS ((s, u, v, k) FOR wh IN ({', '.join(groups)}))
-        """,
-        prepared=prepared, **({"wide": wide} if has_ids else {}),
+        row_id = None
+    cells = {"s": [b.stock for b in blocks], "u": [b.cost for b in blocks],
+             "v": [b.value for b in blocks]}
+    listed = ", ".join(f"struct({i} AS i, {b.ordinal}L AS block, {_text(b.warehouse)} AS wh)"
+                       for i, b in enumerate(blocks))
+    long = (stripped.select(*[c.alias(n) for n, c in ids.items()],
+                            *[F.expr(_cells(wide, at)).alias(n) for n, at in cells.items()])
+            .selectExpr("*", f"inline(array({listed}))"))
+    return long.select(
+        C.clean_product_no(F.col("id_no"), row_id, stripped=True).alias("Product No."),
+        F.col("id_name").alias("Product Name"), F.col("id_sku").alias("SKU No."),
+        F.col("id_category").alias("Tier 1 Category"), F.col("id_brand").alias("Brand"),
+        F.col("id_unit").alias("Unit of Measurement"), F.col("wh").alias("Warehouse"),
+        C.zero_filled(F.col("s")[F.col("i")]).alias("Stock on Hand"),
+        C.to_number(F.col("u")[F.col("i")]).alias("Unit Cost"),
+        C.to_number(F.col("v")[F.col("i")]).alias("Inventory Asset Value"),
     )

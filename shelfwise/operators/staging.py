@@ -42,11 +42,6 @@ def _dated(df: DataFrame, name: str) -> Column:
     return C.parse_date(q(name), df.schema[name].dataType)
 
 
-def _strip(raw: DataFrame, *names: str) -> DataFrame:
-    """The text fields of a table, trimmed in one projection ahead of the rules."""
-    return raw.select(*[C.strip_ws(q(n)).alias(n) if n in names else q(n) for n in raw.columns])
-
-
 def _with_category(df: DataFrame, name: str) -> DataFrame:
     """Category first: the brand rule refers to the cleaned one."""
     return df.withColumn(name, C.clean_category(q(name), stripped=True))
@@ -55,7 +50,7 @@ def _with_category(df: DataFrame, name: str) -> DataFrame:
 def stage_product(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataFrame:
     """12 columns, one row per raw row."""
     require_columns(raw, S.RAW_REQUIRED["product"], "product")
-    df = _with_category(_strip(raw, "Product No.", "Category", "Brand"), "Category")
+    df = _with_category(C.strip_fields(raw, "Product No.", "Category", "Brand"), "Category")
     rules = {
         "Product No.": C.clean_product_no(q("Product No."), _row_id(raw), stripped=True),
         "Tier 1 Category": q("Category"),
@@ -69,7 +64,7 @@ def stage_sales(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataF
     """Every column kept, declared ones typed; one row per raw row."""
     require_columns(raw, S.RAW_REQUIRED["sales"], "sales")
     df = _with_category(
-        _strip(raw, "Tier 1 Category", "Brand", "Product NO.", "Sales Channels", "Warehouse",
+        C.strip_fields(raw, "Tier 1 Category", "Brand", "Product NO.", "Sales Channels", "Warehouse",
                "Store"), "Tier 1 Category")
     rules = {
         "Date": _dated(raw, "Date"),
@@ -88,7 +83,7 @@ def stage_movement(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> Da
     """T4: 14 columns, one row per raw row; works on a stream as well."""
     require_columns(raw, S.RAW_REQUIRED["stock_balance_details"], "stock_balance_details")
     df = _with_category(
-        _strip(raw, "Product No.", "Category", "Brand", "Type", "Warehouse"), "Category")
+        C.strip_fields(raw, "Product No.", "Category", "Brand", "Type", "Warehouse"), "Category")
     rules = {
         "Date": _dated(raw, "Date"),
         "Tier 1 Category": q("Category"),

@@ -16,13 +16,16 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shelfwise",
                   **extra: str) -> SparkSession:
     """A session for tests and benchmarks; on a cluster the submitter brings its own."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    # In local mode the driver is the one executor; the default of 1g spends its time in GC.
+    builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
+               .config("spark.driver.memory", "8g"))
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).getOrCreate()

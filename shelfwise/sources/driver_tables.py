@@ -19,14 +19,32 @@ from shelfwise.sources.row_ids import with_row_ids
 
 HOUSE = "PROMO"
 RUN_DATE = datetime.date(2001, 8, 1)
-MONEY = "decimal(15,2)"
+# Narrow enough that products and differences stay in 18 digits, which Spark keeps in a long.
+MONEY = "decimal(10,2)"
+QUANTITY = "decimal(6,2)"
 
 PRODUCT_NO = "cast(p_partkey AS string)"
 PRODUCT_NO_WITH_BLANKS = "CASE WHEN p_partkey % 97 = 0 THEN '  ' ELSE cast(p_partkey AS string) END"
 
 
+# Declared, so that building a plan opens no file.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +65,8 @@ def raw_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(p_partkey + 1000000 AS string) AS `Product Barcode`", ROW_ID)
 
 
-_QTY = f"cast(l_quantity AS {MONEY})"
-_AMOUNT = f"cast(l_extendedprice AS {MONEY}) * (1 - cast(l_discount AS {MONEY}))"
+_QTY = f"cast(l_quantity AS {QUANTITY})"
+_AMOUNT = f"cast(l_extendedprice AS {MONEY}) * (1 - cast(l_discount AS decimal(3,2)))"
 _COST = f"{_QTY} * cast(p_retailprice AS {MONEY})"
 
 # Export column -> (expression, lookup tables it needs)
@@ -85,9 +103,8 @@ _LOOKUPS = {  # in join order
 
 def lineitem_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as a file stream."""
-    schema = table(spark, sf_dir, "lineitem").schema
     # A pattern, as the table may be one file or a folder; a stream's plain path must be a folder.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parque[t]")
+    return spark.readStream.schema(SCHEMAS["lineitem"]).parquet(f"{sf_dir}/lineitem.parque[t]")
 
 
 def raw_sales(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None,
@@ -148,40 +165,42 @@ def raw_movement_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_lines(spark, sf_dir, with_part=True).selectExpr(*movement_columns(day))
 
 
-def warehouse_names(spark: SparkSession, sf_dir: str) -> list[str]:
+def warehouse_names(spark: SparkSession, sf_dir: str) -> list[tuple[int, str]]:
     """Header line of the balance sheet; nation is one of the fixed tables (25 rows)."""
     rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect()
-    return [r.n_name for r in sorted(rows, key=lambda r: r.n_nationkey)]
+    return sorted((r.n_nationkey, r.n_name) for r in rows)
 
 
 def raw_balance_wide(spark: SparkSession, sf_dir: str, blank_products: bool = False) -> DataFrame:
     """The balance sheet: a row per part, two columns per warehouse, a summary column, as text.
 
-    No stock is an empty cell, and no `-Unit Cost` column exists. One aggregation by part fills
-    all warehouses, with partial sums on the map side.
+    No stock is an empty cell, and no `-Unit Cost` column exists.
     """
     names = warehouse_names(spark, sf_dir)
-    open_lines = _log_lines(spark, sf_dir).where("l_linestatus = 'O'")
-    sums = [f"sum({_QTY}) FILTER (WHERE n_name = '{w}') AS s{i}" for i, w in enumerate(names)]
-    stock = spark.sql(f"SELECT l_partkey, {', '.join(sums)} FROM {{lines}} GROUP BY l_partkey",
-                      lines=open_lines)
+    # A hot part is summed up on the map side: one narrow row per (part, nation) is left. Those
+    # meet their part before they become one wide row, so no half-empty wide rows are shuffled.
+    per_pair = (table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+                .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"), "left")
+                .groupBy("l_partkey", "s_nationkey").agg(F.expr(f"sum({_QTY}) AS soh")))
     part = table(spark, sf_dir, "part")
     if blank_products:
         part = with_row_ids(part)
     kind = NUMBER.simpleString()
-    cells = []
-    for i, w in enumerate(names):
-        cells += [
-            f"cast(CASE WHEN s{i} <> 0 THEN cast(s{i} AS {kind}) END AS string) "
-            f"AS `{w}- Stock on Hand`",
-            f"cast(cast(coalesce(s{i}, 0) * cast(p_retailprice AS {MONEY}) AS {kind}) AS string) "
-            f"AS `{w}-Inventory Asset Value`"]
-    summary = " + ".join(f"coalesce(s{i}, 0)" for i in range(len(names)))
-    return part.join(stock, F.expr("p_partkey = l_partkey"), "left").selectExpr(
+    pairs = part.join(per_pair, F.expr("p_partkey = l_partkey"), "left").selectExpr(
+        *part.columns, "s_nationkey", f"cast(nullif(soh, 0) AS {kind}) AS soh",
+        f"cast(soh * cast(p_retailprice AS {MONEY}) AS {kind}) AS value")
+    filled = pairs.groupBy(*part.columns).agg(
+        *[F.expr(f"max(CASE WHEN s_nationkey = {key} THEN {x} END) AS {x}{key}")
+          for key, _ in names for x in ("soh", "value")],
+        F.expr(f"cast(coalesce(sum(soh), 0) AS {kind}) AS summary"))
+    cells = [x for key, w in names for x in (
+        f"cast(soh{key} AS string) AS `{w}- Stock on Hand`",
+        f"cast(coalesce(value{key}, 0) AS string) AS `{w}-Inventory Asset Value`")]
+    return filled.selectExpr(
         f"{PRODUCT_NO_WITH_BLANKS if blank_products else PRODUCT_NO} AS `Product No.`",
         "p_name AS `Product Name`", "cast(NULL AS string) AS `SKU No.`",
         "lower(p_type) AS `Category`",
         "CASE WHEN p_partkey % 5 = 0 THEN '  ' ELSE p_brand END AS `Brand`",
         "'PCS' AS `Unit of Measurement`", *cells,
-        f"cast({summary} AS string) AS `Summary- Stock on Hand`",
+        "cast(summary AS string) AS `Summary- Stock on Hand`",
         *([ROW_ID] if blank_products else []))
