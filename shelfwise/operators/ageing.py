@@ -36,18 +36,29 @@ def last_movement(movement: DataFrame, until: datetime.date | None = None) -> Da
             .where(q("Last Movement Date").isNotNull()))
 
 
+def _join_last(balance: DataFrame, last: DataFrame) -> DataFrame:
+    """Left join on the pair; `last` holds each pair once.
+
+    The pair's hash is a join key as well. It keeps Spark from reusing the partitioning `last`
+    has from its aggregation: with an exchange of its own right below either side of a
+    sort-merge join, AQE can split a pair that holds much of the balance over many tasks. The
+    extra exchange moves one narrow row per pair.
+    """
+    pair = F.xxhash64(*[q(k) for k in KEYS]).alias("_pair")
+    return (balance.select("*", pair).join(last.select("*", pair), ["_pair", *KEYS], "left")
+            .drop("_pair"))
+
+
 def stock_ageing(balance: DataFrame, movement: DataFrame, run_date: datetime.date,
                  aging_threshold_days: int = S.AGED_DAYS, as_of_strict: bool = False,
                  safe_keys: bool = False) -> DataFrame:
     """T5: one row per row of `balance`; never drops or multiplies a row.
 
-    The log's side of the join is unique on the key, and already hash-partitioned by it after
-    the aggregation; only the balance needs an exchange, unless the log's side is small enough
-    for Spark to broadcast. `as_of_strict` ignores movements after the run date; otherwise they
-    give negative ages, as the staged table always did.
+    `as_of_strict` ignores movements after the run date; otherwise they give negative ages, as
+    the staged table always did.
     """
     last = last_movement(_usable(movement, safe_keys), run_date if as_of_strict else None)
-    joined = balance.join(last, KEYS, "left")
+    joined = _join_last(balance, last)
     age = A.age_days(run_date, q("Last Movement Date"), last.schema["Last Movement Date"].dataType)
     return joined.withColumn("Inventory Age Days", age).select(
         *[q(n) for n in S.STG_STOCK_AGING.names[:9]],
@@ -70,8 +81,8 @@ def asof_series(balance: DataFrame, movement: DataFrame,
     per_date = F.explode(F.array(*[
         F.struct(F.lit(d).alias("run_date"), A.age_days(d, F.col(f"d{i}")).alias("age"))
         for i, d in enumerate(run_dates)]))
-    aged = (balance.select(*[q(k) for k in KEYS], q("Stock on Hand").alias("units"))
-            .join(last, KEYS, "left").select("units", per_date.alias("x")))
+    held = balance.select(*[q(k) for k in KEYS], q("Stock on Hand").alias("units"))
+    aged = _join_last(held, last).select("units", per_date.alias("x"))
     return (aged.groupBy(F.col("x.run_date").alias("run_date"),
                          A.aging_bucket(F.col("x.age")).alias("aging_bucket"))
             .agg(F.count("*").alias("n_rows"), F.sum("units").cast(S.TOTAL).alias("units")))

@@ -84,7 +84,7 @@ def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
     result would still read all columns.
     """
     names = raw.columns
-    require_columns(raw, S.RAW_REQUIRED["stock_balance"], "stock_balance")
+    require_columns(raw.columns, S.RAW_REQUIRED["stock_balance"], "stock_balance")
     blocks = plan_headers(names)
     if warehouses is not None:
         blocks = [b for b in blocks if b.warehouse in set(warehouses)]

@@ -32,7 +32,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     What does not fit a declared type becomes NULL; `quality_report` counts those.
     """
-    require_columns(df, schema.names, "conform")
+    require_columns(df.columns, schema.names, "conform")
     have = {f.name: f.dataType for f in df.schema.fields}
     declared = [_cast(q(f.name), have[f.name], f.dataType).alias(f.name) for f in schema.fields]
     return df.select(*declared, *[q(c) for c in df.columns if c not in schema.names])
@@ -49,7 +49,7 @@ def _with_category(df: DataFrame, name: str) -> DataFrame:
 
 def stage_product(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataFrame:
     """12 columns, one row per raw row."""
-    require_columns(raw, S.RAW_REQUIRED["product"], "product")
+    require_columns(raw.columns, S.RAW_REQUIRED["product"], "product")
     df = _with_category(C.strip_fields(raw, "Product No.", "Category", "Brand"), "Category")
     rules = {
         "Product No.": C.clean_product_no(q("Product No."), _row_id(raw), stripped=True),
@@ -62,7 +62,7 @@ def stage_product(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> Dat
 
 def stage_sales(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataFrame:
     """Every column kept, declared ones typed; one row per raw row."""
-    require_columns(raw, S.RAW_REQUIRED["sales"], "sales")
+    require_columns(raw.columns, S.RAW_REQUIRED["sales"], "sales")
     df = _with_category(
         C.strip_fields(raw, "Tier 1 Category", "Brand", "Product NO.", "Sales Channels", "Warehouse",
                "Store"), "Tier 1 Category")
@@ -81,7 +81,7 @@ def stage_sales(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataF
 
 def stage_movement(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataFrame:
     """T4: 14 columns, one row per raw row; works on a stream as well."""
-    require_columns(raw, S.RAW_REQUIRED["stock_balance_details"], "stock_balance_details")
+    require_columns(raw.columns, S.RAW_REQUIRED["stock_balance_details"], "stock_balance_details")
     df = _with_category(
         C.strip_fields(raw, "Product No.", "Category", "Brand", "Type", "Warehouse"), "Category")
     rules = {

@@ -119,8 +119,10 @@ def channel_split(sales: DataFrame) -> DataFrame:
     per = sales.groupBy("channel").agg(
         total("amount").alias("amount"), total("qty").alias("qty"),
         total("profit").alias("profit"))
-    # The grand total comes from the same exchange as the rows (reused, one pass over sales).
-    grand = per.agg(F.sum("amount")).scalar()
+    # All sums are asked for again: the subquery's plan is then the same up to the exchange,
+    # which Spark reuses, so that sales are read once.
+    sums = [F.sum(c).alias(c) for c in ("amount", "qty", "profit")]
+    grand = per.agg(F.struct(*sums).alias("all")).scalar()["amount"]
     return per.select("channel", "amount", "qty", "profit",
                       ratio(F.col("profit"), F.col("amount")).alias("margin"),
                       ratio(F.col("amount"), grand).alias("share"))
@@ -222,14 +224,15 @@ def reconcile(balance: DataFrame, movement: DataFrame, mode: str = "closing") ->
 def orphans(product: DataFrame, **sources: DataFrame) -> DataFrame:
     """Products used by a source but absent from the product master.
 
-    Counted per product first, so the anti join sees each product once per source.
+    Counted per product first, so the anti join sees each product once per source, and once in
+    the master.
     """
     used = None
     for name, df in sources.items():
         part = df.groupBy("product_no").agg(F.count("*").alias("n_rows")).select(
             F.lit(name).alias("source_table"), "product_no", "n_rows")
         used = part if used is None else used.unionByName(part)
-    return used.join(product.select("product_no"), "product_no", "left_anti").select(
+    return used.join(product.select("product_no").distinct(), "product_no", "left_anti").select(
         "source_table", "product_no", "n_rows")
 
 

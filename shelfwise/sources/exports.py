@@ -18,12 +18,11 @@ TABLES = {
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
-def require_columns(df: DataFrame, names, what: str) -> DataFrame:
+def require_columns(columns: list[str], names, what: str) -> None:
     """Stop at plan time if a needed column is missing."""
-    missing = [n for n in names if n not in df.columns]
+    missing = [n for n in names if n not in columns]
     if missing:
         raise ValueError(f"{what}: missing column(s) {missing}")
-    return df
 
 
 def unique_headers(names: list[str]) -> list[str]:
@@ -43,7 +42,8 @@ def unique_headers(names: list[str]) -> list[str]:
     return out
 
 
-def _read_csv(spark: SparkSession, path: str, options: dict) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, options: dict) -> tuple[DataFrame, list[str]]:
+    """The scan and its header texts. The scan carries them as names only if they are distinct."""
     reader = spark.read.options(**{**CSV_OPTIONS, **options})
     # The first row of the first split is a header line; take it as text to keep repeats apart.
     first = reader.option("header", False).csv(path).first()
@@ -51,16 +51,17 @@ def _read_csv(spark: SparkSession, path: str, options: dict) -> DataFrame:
         raise ValueError(f"{path}: no header line")
     given = [v if v is not None else f"Unnamed: {i}" for i, v in enumerate(first)]
     headers = unique_headers(given)
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    # With unaltered, distinct headers every further file must show the same line.
     distinct = given == headers and len({h.lower() for h in headers}) == len(headers)
-    return (spark.read.options(**{**CSV_OPTIONS, **options}).option("header", True)
-            .option("enforceSchema", not distinct).schema(schema).csv(path))
+    names = headers if distinct else [f"_{i}" for i in range(len(headers))]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    # With unaltered, distinct headers every further file must show the same line.
+    df = (reader.option("header", True).option("enforceSchema", not distinct)
+          .schema(schema).csv(path))
+    return df, headers
 
 
-def missing_to_null(df: DataFrame) -> DataFrame:
-    """Turn missing-value texts into NULL in every text column, by position."""
-    names = df.columns
+def missing_to_null(df: DataFrame, names: list[str]) -> DataFrame:
+    """Turn missing-value texts into NULL in every text column and set the final names."""
     tokens = ", ".join("'" + t + "'" for t in NA_TOKENS)
     exprs = []
     for i, field in enumerate(df.schema.fields):
@@ -80,18 +81,21 @@ def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", row_i
     for file formats; a catalog table must bring its own `_row_id` if it has blank numbers.
     """
     options = options or {}
+    headers = None
     if fmt == "csv":
-        df = _read_csv(spark, path, options)
+        df, headers = _read_csv(spark, path, options)
     elif fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
     elif fmt == "table":
         df = spark.table(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    require_columns(df, RAW_REQUIRED[table], table)
-    if row_ids and fmt != "table" and ROW_ID not in df.columns:
+    headers = headers or df.columns
+    require_columns(headers, RAW_REQUIRED[table], table)
+    if row_ids and fmt != "table" and ROW_ID not in headers:
         df = with_row_ids(df, splits_in_order=fmt == "csv")
-    return missing_to_null(df)
+        headers = [*headers, ROW_ID]
+    return missing_to_null(df, headers)
 
 
 def read_all(spark: SparkSession, base: str, fmt: str = "csv", **kwargs) -> dict[str, DataFrame]:

@@ -1,0 +1,183 @@
+"""Gold tables on hand-computed rows."""
+
+import datetime
+import decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.plans import gold as G
+from shelfwise.plans import star
+
+DATE, DEC = datetime.date, decimal.Decimal
+RUN = DATE(2024, 3, 1)
+
+
+@pytest.fixture(scope="module")
+def ageing(spark):
+    rows = [  # product, category, brand, warehouse, stock, value, last, age
+        ("a", "C1", "X", "w1", 5, 50, DATE(2024, 1, 1), 60),
+        ("a", "C1", "X", "w2", 0, 0, DATE(2024, 1, 1), 60),
+        ("b", "C1", "X", "w1", 1, 10, DATE(2024, 2, 29), 1),
+        ("c", "H", "Y", "w1", 2, 8, None, None),
+        ("d", "H", "Y", "w2", -1, None, DATE(2023, 1, 1), 425),
+        ("e", "C2", "Z", "w1", 0, 0, DATE(2024, 3, 5), -4),
+    ]
+    from shelfwise.functions import ageing as A
+    df = spark.createDataFrame(
+        [(p, c, b, w, DEC(s), None if v is None else DEC(v), d, a) for p, c, b, w, s, v, d, a in rows],
+        "product_no string, category string, brand string, warehouse string, "
+        "stock_on_hand decimal(18,4), asset_value decimal(18,4), last_movement_date date, "
+        "age_days int")
+    return df.withColumns({"aging_bucket": A.aging_bucket(F.col("age_days")),
+                           "is_aged": A.is_aged(F.col("age_days"))})
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    rows = [(DATE(2024, 2, 20), "a", "C1", "X", "w1", "RETAIL", 100, 3, 20),
+            (DATE(2024, 2, 1), "a", "C1", "X", "w1", "RETAIL", 50, 1, 5),
+            (DATE(2024, 1, 31), "b", "C1", "X", "w2", "ONLINE", 10, 9, -2),
+            (None, "q", "C9", "Q", "w1", "RETAIL", 40, 2, 4),
+            (RUN, "e", "C2", "Z", "w1", "ONLINE", 0, 4, 0)]
+    return spark.createDataFrame(
+        [(*r[:6], *map(DEC, r[6:])) for r in rows],
+        "date date, product_no string, category string, brand string, warehouse string, "
+        "channel string, amount decimal(18,4), qty decimal(18,4), profit decimal(18,4)")
+
+
+def table(df, *keys):
+    out = {}
+    for r in df.collect():
+        d = {k: (float(v) if isinstance(v, DEC) else v) for k, v in r.asDict().items()}
+        key = tuple(d.pop(k) for k in keys)
+        out[key if len(keys) > 1 else key[0]] = tuple(d.values())
+    return out
+
+
+def test_slow_moving(ageing):
+    assert table(G.slow_moving(ageing), "brand") == {
+        "X": (2, 1, 0.5, True), "Y": (1, 0, 0.0, False), "Z": (0, 0, None, False)}
+    assert table(G.slow_moving(ageing, grain="pair"), "brand")["X"] == (2, 1, 0.5, True)
+    assert table(G.slow_moving(ageing, flag_at=0.6), "brand")["X"][3] is False
+    with pytest.raises(ValueError):
+        G.slow_moving(ageing, grain="row")
+
+
+def test_profile(ageing):
+    assert table(G.aging_profile(ageing), "aging_bucket") == {
+        "46-60 Days": (4, "Slow Moving", 2, 1, 5, 50), "0-15 Days": (1, "Healthy", 1, 1, 1, 10),
+        "No Movement Data": (7, "No Movement Data", 2, 2, 2, 8),
+        "90+ Days": (6, "Dead Stock", 1, 1, -1, 0)}
+    by = table(G.aging_profile(ageing, by=["brand"]), "brand", "aging_bucket")
+    assert by["Y", "No Movement Data"] == (7, "No Movement Data", 1, 1, 2, 8)
+    cube = table(G.aging_cube(ageing), "dimension", "member", "aging_bucket")
+    assert cube["all", None, "No Movement Data"] == (2, 2, 8)
+    assert cube["warehouse", "w1", "No Movement Data"] == (2, 2, 8)
+    assert sum(v[0] for k, v in cube.items()) == 4 * 6
+
+
+def test_kpi(ageing, sales):
+    r = G.exec_kpi(ageing, sales).collect()
+    assert len(r) == 1
+    assert [float(v) for v in r[0]] == [68, 7, 5, 2, 200, 27, 0.135, round(50 / 68, 6)]
+
+
+def test_kpi_of_nothing(ageing, sales):
+    r = G.exec_kpi(ageing.limit(0), sales.limit(0)).first()
+    assert list(r) == [0, 0, 0, 0, 0, 0, None, None]
+
+
+def test_trend(sales):
+    assert table(G.sales_trend(sales), "month") == {
+        DATE(2024, 2, 1): (2, 150, 4, 25), DATE(2024, 1, 1): (1, 10, 9, -2),
+        None: (1, 40, 2, 4), DATE(2024, 3, 1): (1, 0, 4, 0)}
+    assert len(table(G.sales_trend(sales, "day"), "day")) == 5
+    with pytest.raises(ValueError):
+        G.sales_trend(sales, "year")
+
+
+def test_channels_and_one_scan(spark, sales, tmp_path):
+    assert table(G.channel_split(sales), "channel") == {
+        "RETAIL": (190, 6, 29, round(29 / 190, 6), 0.95),
+        "ONLINE": (10, 13, -2, -0.2, 0.05)}
+    sales.write.parquet(str(tmp_path / "s"))
+    split = G.channel_split(spark.read.parquet(str(tmp_path / "s")))
+    split.collect()
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
+def test_segments(ageing, sales):
+    assert table(G.segment(ageing, sales, categories_in=["C1"]), "brand") == {
+        "X": (6, 60, 50, 160, 23)}
+    assert table(G.segment(ageing, sales, exclude_categories=["C1", "H"]), "brand") == {
+        "Z": (0, 0, 0, 0, 0), "Q": (0, 0, 0, 40, 4)}
+    assert set(table(G.segment(ageing, sales, brands_in=["Y", "Q"]), "brand")) == {"Y", "Q"}
+
+
+def test_cover_and_status(ageing, sales):
+    cover = G.days_of_cover(ageing, sales, RUN)
+    assert table(cover, "brand") == {
+        "X": (6, 4, 45.0), "Y": (1, 0, None), "Z": (0, 4, 0.0)}
+    assert {k: v[-1] for k, v in table(G.stock_status(cover), "brand").items()} == {
+        "X": "OK", "Y": "OVERSTOCK", "Z": "RESTOCK"}
+    long = G.days_of_cover(ageing, sales, RUN, by="product_no", lookback_days=60)
+    assert table(long, "product_no")["b"] == (1, 9, round(1 * 60 / 9, 6))
+    assert table(G.stock_status(long), "product_no")["b"][-1] == "RESTOCK"
+
+
+def test_alert(ageing):
+    assert table(G.management_alert(ageing, "H"), "brand", "warehouse") == {("X", "w1"): (1, 5, 50)}
+
+
+def test_reconcile(spark, ageing):
+    moves = spark.createDataFrame(
+        [("a", "w1", DATE(2024, 1, 1), "d1", DEC(1), None, DEC(9)),
+         ("a", "w1", DATE(2024, 1, 2), "d1", DEC(4), None, DEC(6)),
+         ("a", "w1", DATE(2024, 1, 2), "d2", None, None, DEC(5)),
+         ("b", "w1", None, "d9", DEC(3), DEC(1), DEC(7)),
+         ("z", "w9", DATE(2024, 1, 1), "d1", DEC(1), None, None)],
+        "product_no string, warehouse string, date date, document_no string, "
+        "inbound decimal(18,4), outbound decimal(18,4), closing decimal(18,4)")
+    got = table(G.reconcile(ageing, moves), "product_no", "warehouse")
+    assert got["a", "w1"] == (5, 5, 0, "MATCH") and got["b", "w1"] == (1, 7, -6, "VARIANCE")
+    assert got["z", "w9"] == (None, None, None, "NO_STOCK")
+    assert got["c", "w1"] == (2, None, None, "NO_LOG") and len(got) == 7
+    net = table(G.reconcile(ageing, moves, mode="net"), "product_no", "warehouse")
+    assert net["a", "w1"] == (5, 5, 0, "MATCH") and net["b", "w1"] == (1, 2, -1, "VARIANCE")
+    with pytest.raises(ValueError):
+        G.reconcile(ageing, moves, mode="x")
+
+
+def test_orphans(spark, ageing, sales):
+    product = spark.createDataFrame([("a",), ("b",), ("a",)], "product_no string")
+    got = table(G.orphans(product, sales=sales, stock=ageing), "source_table", "product_no")
+    assert got == {("sales", "q"): (1,), ("sales", "e"): (1,), ("stock", "c"): (1,),
+                   ("stock", "d"): (1,), ("stock", "e"): (1,)}
+
+
+def test_top(ageing, sales):
+    top = G.top_n(ageing, "warehouse", F.col("stock_on_hand"), n=1).collect()
+    assert [tuple(r) for r in top] == [(1, "w1", DEC(8))]
+    ties = G.top_n(ageing, "product_no", F.lit(1).cast("decimal(18,4)") * 0, n=3).collect()
+    assert [(r.rank, r.product_no) for r in ties] == [(1, "a"), (2, "b"), (3, "c")]
+    per = G.top_n_per_group(sales, "brand", "product_no", F.col("amount"), n=1).collect()
+    assert {(r.brand, r.rank, r.product_no) for r in per} == {
+        ("X", 1, "a"), ("Q", 1, "q"), ("Z", 1, "e")}
+
+
+def test_star(ageing, sales):
+    dates = star.dim_date(sales, ageing).collect()
+    assert len(dates) == (DATE(2024, 3, 5) - DATE(2023, 1, 1)).days + 1
+    assert dates[0].date_key == 20230101 and len({r.date_key for r in dates}) == len(dates)
+    dims = {d: star.dim(d, sales, ageing) for d in star.DIMENSIONS}
+    assert {r.brand for r in dims["brand"].collect()} == set("XYZQ")
+    for name, dim in dims.items():
+        keys = [r[0] for r in dim.collect()]
+        assert len(set(keys)) == len(keys)
+    for fact, rows in ((star.fact_sales(sales), 5), (star.fact_stock_aging(ageing), 6)):
+        assert star.with_dimensions(fact, dims).count() == rows
+        assert {"date_key", "brand_key", "warehouse_key", "category_key"} <= set(fact.columns)
+    undated = star.fact_sales(sales).where("date is null").first()
+    assert undated.date_key is None
