@@ -31,18 +31,12 @@ def strip_fields(df: DataFrame, *names: str) -> DataFrame:
     a printable ASCII character go through the full set of whitespace. Two projections, since
     the second refers to the first's result several times.
     """
-    spaced = df.select(*[F.trim(quoted(n).cast("string")).alias(n) if n in names else quoted(n)
-                         for n in df.columns])
-
-    def visible(edge: Column) -> Column:
-        return (edge >= "!") & (edge < "\x7f")
-
-    def rest(text: Column) -> Column:
-        plain = visible(text) & visible(F.right(text, F.lit(1)))
-        return F.when(plain, text).otherwise(F.btrim(text, F.lit(S.WHITESPACE)))
-
-    return spaced.select(*[rest(quoted(n)).alias(n) if n in names else quoted(n)
-                           for n in df.columns])
+    ticked = {n: "`" + n.replace("`", "``") + "`" for n in df.columns}
+    spaced = df.selectExpr(*[f"trim(cast({t} AS string)) AS {t}" if n in names else t
+                             for n, t in ticked.items()])
+    whole = ("CASE WHEN {0} >= '!' AND {0} < '\x7f' AND right({0}, 1) >= '!' "
+             "AND right({0}, 1) < '\x7f' THEN {0} ELSE btrim({0}, '" + S.WHITESPACE + "') END AS {0}")
+    return spaced.selectExpr(*[whole.format(t) if n in names else t for n, t in ticked.items()])
 
 
 def known(c: Column, stripped: bool = False) -> Column:

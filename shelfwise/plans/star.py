@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import ageing as A
@@ -35,11 +35,11 @@ def dim(name: str, *facts: DataFrame) -> DataFrame:
     return names.select(F.xxhash64(name).alias(f"{name}_key"), name)
 
 
-def _keys():
+def _keys() -> list[Column]:
     return [F.xxhash64(d).alias(f"{d}_key") for d in DIMENSIONS]
 
 
-def _date_key(c: str):
+def _date_key(c: str) -> Column:
     return F.date_format(c, "yyyyMMdd").cast("int").alias("date_key")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from shelfwise.plans.refresh import run_refresh, stage_all
 from shelfwise.session import shared_dir
 from shelfwise.sinks import lake
 from shelfwise.sources import driver_tables as D
-from shelfwise.sources.exports import read_raw
+from shelfwise.sources.exports import TABLES, read_raw
 from shelfwise.streaming import incremental as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,10 +157,9 @@ def k3_csv_snapshot(spark, sf):
 def p2_published_aging(spark, sf):
     """Exports as Parquet files, a full refresh over them, and the published ageing table."""
     src, dst = shared_dir(spark, "exports"), shared_dir(spark, "published")
-    names = {"product": "PRODUCT", "sales": "SALES", "stock_balance": "STOCK_BALANCE",
-             "stock_balance_details": "STOCK_BALANCE_DETAILS"}
-    for table, df in _raw(spark, sf).items():
-        df.drop(S.ROW_ID).write.parquet(f"{src}/{names[table]}.parquet")
+    lake.side_by_side(spark, [
+        partial(df.drop(S.ROW_ID).write.parquet, f"{src}/{TABLES[table]}.parquet")
+        for table, df in _raw(spark, sf).items()])
     run_refresh(spark, src, dst, D.RUN_DATE, fmt="parquet", house_category=D.HOUSE)
     return T.gold_names(lake.current(spark, dst, "stg_stock_aging"))
 
@@ -256,46 +256,40 @@ def g9_mgmt_alert(spark, sf):
     return G.management_alert(_ageing(spark, sf), D.HOUSE)
 
 
-def _facts(spark, sf):
-    return _sales(spark, sf), _ageing(spark, sf)
-
-
 def g10_dim_date(spark, sf):
     return star.dim_date(_sales(spark, sf, ("Date",)), _ageing(spark, sf))
 
 
-def _dim(spark, sf, name):
-    # Report columns only: the 64-bit hash of the key is Spark's own.
-    return star.dim(name, *_facts(spark, sf)).select(name)
+def _dim(spark, sf, name, *columns):
+    # Report column only: the 64-bit hash of the key is Spark's own. The balance holds the same
+    # members as the ageing table built on it.
+    return star.dim(name, _sales(spark, sf, columns), T.gold_names(_balance(spark, sf))).select(name)
 
 
 def g11_dim_brand(spark, sf):
-    return _dim(spark, sf, "brand")
+    return _dim(spark, sf, "brand", "Brand", "Tier 1 Category")
 
 
 def g12_dim_warehouse(spark, sf):
-    return _dim(spark, sf, "warehouse")
+    return _dim(spark, sf, "warehouse", "Warehouse")
 
 
 def g13_dim_category(spark, sf):
-    return _dim(spark, sf, "category")
+    return _dim(spark, sf, "category", "Tier 1 Category")
 
 
-def _through_star(fact, facts):
-    joined = star.with_dimensions(fact, {d: star.dim(d, *facts) for d in star.DIMENSIONS})
-    return joined.drop(*[f"{d}_key" for d in star.DIMENSIONS])
+def _without_hashes(fact):
+    return fact.drop(*[f"{d}_key" for d in star.DIMENSIONS])
 
 
 def g14_fact_sales(spark, sf):
-    sales, ageing = _facts(spark, sf)
-    return _through_star(star.fact_sales(sales), (sales, ageing)).select(
+    return _without_hashes(star.fact_sales(_sales(spark, sf))).select(
         "date_key", "date", "product_no", "brand", "warehouse", "category", "channel", "amount",
         "qty", "cost", "profit")
 
 
 def g15_fact_stock_aging(spark, sf):
-    sales, ageing = _facts(spark, sf)
-    return _through_star(star.fact_stock_aging(ageing), (sales, ageing)).select(
+    return _without_hashes(star.fact_stock_aging(_ageing(spark, sf))).select(
         "date_key", "product_no", "brand", "warehouse", "category", "stock_on_hand",
         "asset_value", "age_days", "aging_bucket", "aging_status", "is_aged")
 

@@ -92,13 +92,6 @@ SALES_COLUMNS = {
     "Net Sales Gross Profit": (f"{_AMOUNT} - {_COST}", ("part",)),
     "Net Sales Gross Margin": ("concat(cast(cast(l_discount * 100 AS int) AS string), '%')", ()),
 }
-_LOOKUPS = {  # in join order
-    "orders": "l_orderkey = o_orderkey",
-    "customer": "o_custkey = c_custkey",
-    "part": "l_partkey = p_partkey",
-    "supplier": "l_suppkey = s_suppkey",
-    "nation": "s_nationkey = n_nationkey",
-}
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,22 +109,39 @@ def raw_sales(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None
     wanted = set(columns if columns is not None else SALES_COLUMNS)
     needed = {t for c in wanted for t in SALES_COLUMNS[c][1]}
     df = lines if lines is not None else table(spark, sf_dir, "lineitem")
-    for name, on in _LOOKUPS.items():
-        if name in needed:
-            df = df.join(table(spark, sf_dir, name), F.expr(on), "left")
+    # Lookups of lookups are joined among themselves first: lineitem moves once per key it has.
+    if "orders" in needed:
+        order = table(spark, sf_dir, "orders")
+        if "customer" in needed:
+            order = _lookup(order, table(spark, sf_dir, "customer"), "o_custkey = c_custkey")
+        df = _lookup(df, order, "l_orderkey = o_orderkey")
+    if "part" in needed:
+        df = _lookup(df, table(spark, sf_dir, "part"), "l_partkey = p_partkey")
+    if "supplier" in needed:
+        df = _lookup(df, _suppliers(spark, sf_dir, "nation" in needed), "l_suppkey = s_suppkey")
     # Keys and amounts cost no lookup and always come along.
     exprs = {c: expr if c in wanted or not tables else "cast(NULL AS string)"
              for c, (expr, tables) in SALES_COLUMNS.items()}
     return df.selectExpr(*[f"{expr} AS `{c}`" for c, expr in exprs.items()])
 
 
+def _lookup(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
+    return df.join(other, F.expr(on), "left")
+
+
+def _suppliers(spark: SparkSession, sf_dir: str, with_nation: bool = True) -> DataFrame:
+    supplier = table(spark, sf_dir, "supplier")
+    if with_nation:
+        supplier = _lookup(supplier, table(spark, sf_dir, "nation"), "s_nationkey = n_nationkey")
+    return supplier
+
+
 def _log_lines(spark: SparkSession, sf_dir: str, with_part: bool = False,
                lines: DataFrame | None = None) -> DataFrame:
-    df = ((lines if lines is not None else table(spark, sf_dir, "lineitem"))
-          .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"), "left")
-          .join(table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"), "left"))
+    df = lines if lines is not None else table(spark, sf_dir, "lineitem")
+    df = _lookup(df, _suppliers(spark, sf_dir), "l_suppkey = s_suppkey")
     if with_part:
-        df = df.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"), "left")
+        df = _lookup(df, table(spark, sf_dir, "part"), "l_partkey = p_partkey")
     return df
 
 
