@@ -6,6 +6,7 @@ import datetime
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +44,9 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None,
         df.write.mode("overwrite").parquet(path)
 
 
-def side_by_side(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], None]], at_once: int = 4) -> None:
     """Run independent writes at the same time, so that one's last tasks leave no cores idle."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         for job in running:
             job.result()
@@ -56,6 +57,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return df.drop(MONTH) if MONTH in df.columns else df
 
 
+def save_table(df: DataFrame, name: str) -> None:
+    """K1 into the session's catalog: replace the table `name`."""
+    df.write.mode("overwrite").saveAsTable(name)
+
+
 def csv_snapshot(df: DataFrame, path: str) -> None:
     """K3: a folder of CSV parts with a header each."""
     df.write.option("header", True).mode("overwrite").csv(path)
@@ -99,11 +105,14 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], dst: str,
     Readers see the old version until the commit, and keep it if anything fails.
     """
     version = version or new_version()
-    for name, df in tables.items():
+
+    def save(name: str, df: DataFrame) -> None:
         path = version_path(dst, version, name)
         write_table(df, path, BY_MONTH.get(name), BY_KEYS.get(name))
         if snapshots:
             csv_snapshot(read_table(spark, path), version_path(dst, version, f"{name}_csv"))
+
+    side_by_side(spark, [partial(save, name, df) for name, df in tables.items()])
     if check is not None:
         check({name: read_table(spark, version_path(dst, version, name)) for name in tables})
     commit(spark, dst, version)

@@ -29,20 +29,22 @@ def channel_days(sales: DataFrame, watermark: str | None = None) -> DataFrame:
     """Staged sales stream (snake_case names) -> sums per day and channel.
 
     Without a watermark each day is revised for as long as rows come in, and sales without a
-    date keep their own group. With one, days are tumbling windows that are final, and leave
-    the state, once the watermark has passed them (append mode); rows that are later than that,
-    or have no date, are then not counted, so use it only behind a bounded delay.
+    date keep their own group. With one, a day is final, and leaves the state, once the
+    watermark has passed it (append mode); rows that are later than that, or have no date, are
+    then not counted, so use it only behind a bounded delay.
     """
     sums = [F.count("*").alias("n_rows"),
             F.sum("amount").cast(S.TOTAL).alias("amount"),
             F.sum("qty").cast(S.TOTAL).alias("qty"),
             F.sum("profit").cast(S.TOTAL).alias("profit")]
+    day = F.col("date").cast("date")
     if watermark is None:
-        return sales.groupBy(F.col("date").cast("date").alias("day"), "channel").agg(*sums)
-    timed = sales.withColumn("ts", F.col("date").cast("timestamp")).withWatermark("ts", watermark)
-    per_day = timed.groupBy(F.window("ts", "1 day"), "channel").agg(*sums)
-    return per_day.select(F.col("window.start").cast("date").alias("day"), "channel",
-                          "n_rows", "amount", "qty", "profit")
+        return sales.groupBy(day.alias("day"), "channel").agg(*sums)
+    # The start of the day in session time is both event time and group: a tumbling day.
+    timed = (sales.where(day.isNotNull()).withColumn("start", day.cast("timestamp"))
+             .withWatermark("start", watermark))
+    return timed.groupBy("start", "channel").agg(*sums).select(
+        F.col("start").cast("date").alias("day"), "channel", "n_rows", "amount", "qty", "profit")
 
 
 def run_available(stream: DataFrame, table: str, checkpoint: str, mode: str = "update"

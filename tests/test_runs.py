@@ -187,6 +187,41 @@ def test_refresh_from_csv(spark, exports, base):
     assert snapshot.count() == 4 and snapshot.columns == S.STG_STOCK_AGING.names
 
 
+def test_command_publishes_staged_and_report_tables(spark, exports, base):
+    import refresh
+    out = f"{base}/out"
+    refresh.main(["--src", exports, "--dst", out, "--run-date", "2024-03-01"], spark)
+    assert lake.current(spark, out, "stg_stock_aging").count() == 4
+    gold = f"{out}/gold"
+    kpi = lake.current(spark, gold, "exec_kpi").first()
+    assert (kpi.n_skus, kpi.n_warehouses, float(kpi.units)) == (3, 2, 5.0)
+    assert float(kpi.net_sales) == 11.5
+    house = lake.current(spark, gold, "segment_house").collect()
+    assert [(r.brand, float(r.amount)) for r in house] == [("ORAIMO", 10.5)]
+    orphans = {(r.source_table, r.product_no) for r in lake.current(spark, gold, "orphans").collect()}
+    assert orphans == {("stg_stock_balance", "UNSPECIFIED-3")}
+    recon = {(r.product_no, r.warehouse): r["class"]
+             for r in lake.current(spark, gold, "reconciliation").collect()}
+    assert recon["p1", "Main"] == "MATCH" and recon["p1", "main"] == "NO_LOG"
+    facts = lake.current(spark, gold, "fact_sales")
+    assert facts.join(lake.current(spark, gold, "dim_brand"), ["brand_key"]).count() == 2
+
+
+def test_report_tables_for_pages(spark, frame):
+    from shelfwise.plans.dashboards import gold_tables
+    staged = {name: spark.createDataFrame([], schema) for name, schema in S.STAGED.items()}
+    tables = gold_tables(staged, RUN, pages={"phones": {"categories_in": ["PHONES"]}})
+    assert {"segment_phones", "aging_phones", "channels_house"} <= set(tables)
+    assert {n: df.count() for n, df in tables.items() if df.count()} == {"exec_kpi": 1}
+
+
+def test_catalog_table(spark):
+    lake.save_table(spark.range(3).toDF("Product No."), "stg_saved")
+    lake.save_table(spark.range(2).toDF("Product No."), "stg_saved")
+    assert spark.table("stg_saved").count() == 2
+    spark.sql("DROP TABLE stg_saved")
+
+
 def test_failed_refresh_leaves_the_old_version(spark, exports, base, monkeypatch):
     version = run_refresh(spark, exports, f"{base}/out", RUN)
     from shelfwise.plans import refresh
