@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shelfwise.schemas import NA_TOKENS, RAW_REQUIRED, ROW_ID
-from shelfwise.sources.row_ids import with_row_ids
+from shelfwise.sources.row_ids import MARKS, mark_rows, with_row_ids
 
 # Table name -> base name of its export below the raw folder.
 TABLES = {
@@ -73,12 +73,13 @@ def missing_to_null(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*[f"_{i}" for i in range(len(names))]).selectExpr(*exprs)
 
 
-def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", row_ids: bool = True,
-             options: dict | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv",
+             row_ids: bool | str = True, options: dict | None = None) -> DataFrame:
     """One export. `fmt` is csv, parquet, or table (`path` is then a catalog name).
 
     CSV columns are all text, so product numbers never turn into floats. Row positions are added
-    for file formats; a catalog table must bring its own `_row_id` if it has blank numbers.
+    for file formats, or with `row_ids="marks"` only the columns they can be worked out from; a
+    catalog table must bring its own `_row_id` if it has blank numbers.
     """
     options = options or {}
     headers = None
@@ -93,8 +94,9 @@ def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", row_i
     headers = headers or df.columns
     require_columns(headers, RAW_REQUIRED[table], table)
     if row_ids and fmt != "table" and ROW_ID not in headers:
-        df = with_row_ids(df, splits_in_order=fmt == "csv")
-        headers = [*headers, ROW_ID]
+        number, added = (mark_rows, MARKS) if row_ids == "marks" else (with_row_ids, [ROW_ID])
+        df = number(df, splits_in_order=fmt == "csv")
+        headers = [*headers, *added]
     return missing_to_null(df, headers)
 
 

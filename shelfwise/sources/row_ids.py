@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from shelfwise.schemas import ROW_ID
 
 MAX_BROADCAST_SPLITS = 2_000_000
+MARKS = ["_file", "_start", "_pos"]
 
 
-def _split_bound(df: DataFrame) -> int:
+def split_bound(df: DataFrame) -> int:
     """Upper bound for the number of splits a scan may have, from file sizes alone."""
     spark = df.sparkSession
     files = len(df.inputFiles())
@@ -33,31 +34,40 @@ def _before(counts: DataFrame, keys: list[str]) -> DataFrame:
     return counts.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
 
 
-def with_row_ids(df: DataFrame, splits_in_order: bool = False, name: str = ROW_ID) -> DataFrame:
-    """Append the 0-based row position to an untransformed file scan.
+def mark_rows(df: DataFrame, splits_in_order: bool = False) -> DataFrame:
+    """Append where each row of an untransformed file scan was read, as the columns MARKS.
 
-    Parquet carries a position per file, so whole files are counted (footers only). For text
-    formats pass `splits_in_order=True`: there the place within the split comes from the
-    task-local counter, and splits are counted.
+    Parquet carries the position within the file. For text formats pass `splits_in_order=True`:
+    there the place within the split comes from the task-local counter.
     """
     meta = F.col("_metadata")
-    cols = [f"`{c}`" for c in df.columns]
     file = meta["file_path"].alias("_file")
     if splits_in_order:
-        keys = ["_file", "_start"]
         marks = [file, meta["file_block_start"].alias("_start"),
                  F.monotonically_increasing_id().alias("_pos")]
-        # The counter restarts per task, not per split: subtract where the split began.
-        counts = df.select(*marks).groupBy(*keys).agg(
-            F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-        offsets = _before(counts, keys).select(
-            *keys, (F.col("_before") - F.col("_first")).alias("_before"))
     else:
-        keys = ["_file"]
-        marks = [file, meta["row_index"].alias("_pos")]
-        counts = df.select(file).groupBy(*keys).agg(F.count("*").alias("_n"))
-        offsets = _before(counts, keys).select(*keys, "_before")
-    if _split_bound(df) <= MAX_BROADCAST_SPLITS:
+        marks = [file, F.lit(0).cast("bigint").alias("_start"), meta["row_index"].alias("_pos")]
+    return df.select(*[f"`{c}`" for c in df.columns], *marks)
+
+
+def number_rows(marked: DataFrame, splits: int, splits_in_order: bool = False,
+                name: str = ROW_ID) -> DataFrame:
+    """Replace the marks by the 0-based row position.
+
+    `splits` bounds the number of offsets; up to MAX_BROADCAST_SPLITS of them are broadcast.
+    """
+    keys = MARKS[:2]
+    # The counter of a text scan restarts per task, not per split: subtract where the split
+    # began. Positions in a Parquet file begin at 0, so counting needs footers only.
+    first = F.min("_pos") if splits_in_order else F.lit(0)
+    counts = marked.groupBy(*keys).agg(F.count("*").alias("_n"), first.alias("_first"))
+    offsets = _before(counts, keys).select(*keys, (F.col("_before") - F.col("_first")).alias("_add"))
+    if splits <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    position = (F.col("_pos") + F.col("_before")).alias(name)
-    return df.select(*cols, *marks).join(offsets, keys).select(*cols, position)
+    cols = [f"`{c}`" for c in marked.columns if c not in MARKS]
+    return marked.join(offsets, keys).select(*cols, (F.col("_pos") + F.col("_add")).alias(name))
+
+
+def with_row_ids(df: DataFrame, splits_in_order: bool = False, name: str = ROW_ID) -> DataFrame:
+    """Append the 0-based row position to an untransformed file scan, which is read twice."""
+    return number_rows(mark_rows(df, splits_in_order), split_bound(df), splits_in_order, name)

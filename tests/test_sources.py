@@ -4,7 +4,7 @@ import pytest
 
 from shelfwise import schemas as S
 from shelfwise.sources.exports import read_all, read_raw, unique_headers
-from shelfwise.sources.row_ids import with_row_ids
+from shelfwise.sources.row_ids import MARKS, number_rows, split_bound, with_row_ids
 
 MOVEMENT = list(S.RAW_REQUIRED["stock_balance_details"])
 
@@ -65,7 +65,8 @@ def numbered(i):
     return ",".join([str(i), *["x"] * (len(MOVEMENT) - 1)])
 
 
-def test_row_positions_over_splits_and_files(spark, tmp_path):
+@pytest.mark.parametrize("by_marks", [False, True])
+def test_row_positions_over_splits_and_files(spark, tmp_path, by_marks):
     """Files of many splits each: positions are those of the files read one after another."""
     folder = tmp_path / "movement"
     sizes, start = [700, 3, 1900, 0, 41], 0
@@ -78,8 +79,16 @@ def test_row_positions_over_splits_and_files(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
         spark.conf.set("spark.sql.files.openCostInBytes", "512")
-        df = read_raw(spark, "stock_balance_details", str(folder))
+        df = read_raw(spark, "stock_balance_details", str(folder),
+                      row_ids="marks" if by_marks else True)
         assert df.rdd.getNumPartitions() > 10
+        if by_marks:  # written with the marks, positions worked out on reading back
+            df.select("`Product No.`", *MARKS).toDF("c0", *MARKS).write.parquet(
+                str(tmp_path / "marked"))
+            bound = split_bound(df)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+            df = number_rows(spark.read.parquet(str(tmp_path / "marked")), bound, True).toDF(
+                "Product No.", "_row_id")
         rows = df.select("`Product No.`", "_row_id").collect()
     finally:
         for k, v in old.items():
