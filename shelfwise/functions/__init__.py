@@ -3,11 +3,13 @@ from shelfwise.functions.ageing import (
 )
 from shelfwise.functions.clean import (
     blank_str, clean_brand, clean_category, clean_channel, clean_product_no, clean_text,
-    known, null_na, parse_date, quoted, strip_ws, to_number, zero_filled,
+    known, null_na, parse_date, quoted, strip_fields, strip_ws,
+    to_number, to_whole, zero_filled,
 )
 
 __all__ = [
     "age_days", "aging_bucket", "aging_status", "blank_str", "bucket_order", "clean_brand",
     "clean_category", "clean_channel", "clean_product_no", "clean_text", "is_aged", "known", "null_na",
-    "parse_date", "quoted", "strip_ws", "to_number", "zero_filled",
+    "parse_date", "quoted", "strip_fields", "strip_ws", "to_number", "to_whole",
+    "zero_filled",
 ]

@@ -101,6 +101,11 @@ def to_number(c: Column) -> Column:
     return c.try_cast(S.NUMBER)
 
 
+def to_whole(c: Column) -> Column:
+    """C7 for counts: by way of a decimal, as text such as 2.0 is no integer to Spark."""
+    return F.round(to_number(c)).try_cast("int")
+
+
 def zero_filled(c: Column) -> Column:
     """C8"""
     return F.coalesce(to_number(c), F.lit(0).cast(S.NUMBER))

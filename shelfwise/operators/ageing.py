@@ -58,6 +58,12 @@ def stock_ageing(balance: DataFrame, movement: DataFrame, run_date: datetime.dat
     the staged table always did.
     """
     last = last_movement(_usable(movement, safe_keys), run_date if as_of_strict else None)
+    return age_stock(balance, last, run_date, aging_threshold_days)
+
+
+def age_stock(balance: DataFrame, last: DataFrame, run_date: datetime.date,
+              aging_threshold_days: int = S.AGED_DAYS) -> DataFrame:
+    """T5 over known last movements, such as those a stream keeps."""
     joined = _join_last(balance, last)
     age = A.age_days(run_date, q("Last Movement Date"), last.schema["Last Movement Date"].dataType)
     return joined.withColumn("Inventory Age Days", age).select(

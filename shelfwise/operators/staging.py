@@ -21,6 +21,8 @@ def _cast(c: Column, have: T.DataType, want: T.DataType) -> Column:
         return c
     if want == T.StringType():
         return c.cast(want)
+    if want == T.IntegerType():
+        return C.to_whole(c)
     if want == T.DateType():
         # A source that carries a time of day keeps it.
         return c if isinstance(have, (T.TimestampType, T.TimestampNTZType)) else c.try_cast(want)

@@ -226,8 +226,8 @@ def dq_report() -> str:
         **{(f"{p} Price", "not a number"): "false" for p in ("Wholesale", "Retail", "Online")},
         **{(f"{p} Price", "rounded"): "false"
            for p in ("Purchase", "Wholesale", "Retail", "Online")}})
-    numbers = ["Refund Quantity", "Net Sales Amount", "Net Sales Quantity", "Net Sales Cost",
-               "Net Sales Unit Price", "Net Sales Unit Cost", "Net Sales Gross Profit"]
+    numbers = ["Refund Quantity", "Refund Order Count", "Net Sales Amount", "Net Sales Quantity",
+               "Net Sales Cost", "Net Sales Unit Price", "Net Sales Unit Cost", "Net Sales Gross Profit"]
     add("sales", "fx_sales", {
         ("Product NO.", "placeholder"): blank("product_no"),
         ("Tier 1 Category", "placeholder"): blank("category"),

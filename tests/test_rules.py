@@ -105,6 +105,11 @@ def test_numbers(spark):
     assert [float(v) for v in stock] == [0, 0, 0, -3]
 
 
+def test_counts(spark):
+    cells = ["2", "2.0", " 3 ", "x", None, "99999999999"]
+    assert values(spark, C.to_whole(F.col("c")), cells) == [2, 2, 3, None, None, None]
+
+
 BUCKETS = [(-1, "No Movement Data"), (None, "No Movement Data"), (0, "0-15 Days"),
            (15, "0-15 Days"), (16, "16-30 Days"), (30, "16-30 Days"), (31, "31-45 Days"),
            (45, "31-45 Days"), (46, "46-60 Days"), (60, "46-60 Days"), (61, "61-90 Days"),

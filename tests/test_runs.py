@@ -261,6 +261,11 @@ def test_stream_equals_batch_in_any_order(spark, base, order):
     got = rows(X.latest_movements(spark, table))
     assert got == rows(batch) and ("p", "A", DATE(2024, 1, 20)) in got
     assert not any(r[0] == "r" for r in got)
+    balance = spark.createDataFrame(
+        [(p, "n", "s", "C", "B", "u", w, None, None, None) for p in "pqr" for w in "AB"],
+        S.STG_STOCK_BALANCE)
+    assert rows(A.age_stock(balance, X.latest_movements(spark, table), RUN)) == rows(
+        A.age_stock(balance, batch, RUN))
     # A replayed batch replaces its folder: nothing changes.
     last = max(int(n.split("=")[1]) for n in os.listdir(table) if "=" in n)
     again = spark.read.parquet(f"{table}/batch={last}").collect()
