@@ -109,7 +109,8 @@ def raw_sales(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None
     wanted = set(columns if columns is not None else SALES_COLUMNS)
     needed = {t for c in wanted for t in SALES_COLUMNS[c][1]}
     df = lines if lines is not None else table(spark, sf_dir, "lineitem")
-    # Lookups of lookups are joined among themselves first: lineitem moves once per key it has.
+    # Customers join the orders first, so that lineitem, the largest, is not moved for them.
+    # (The 25 nations are always below Spark's broadcast threshold and move nothing.)
     if "orders" in needed:
         order = table(spark, sf_dir, "orders")
         if "customer" in needed:
@@ -118,7 +119,9 @@ def raw_sales(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None
     if "part" in needed:
         df = _lookup(df, table(spark, sf_dir, "part"), "l_partkey = p_partkey")
     if "supplier" in needed:
-        df = _lookup(df, _suppliers(spark, sf_dir, "nation" in needed), "l_suppkey = s_suppkey")
+        df = _lookup(df, table(spark, sf_dir, "supplier"), "l_suppkey = s_suppkey")
+    if "nation" in needed:
+        df = _lookup(df, table(spark, sf_dir, "nation"), "s_nationkey = n_nationkey")
     # Keys and amounts cost no lookup and always come along.
     exprs = {c: expr if c in wanted or not tables else "cast(NULL AS string)"
              for c, (expr, tables) in SALES_COLUMNS.items()}
@@ -129,17 +132,11 @@ def _lookup(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other, F.expr(on), "left")
 
 
-def _suppliers(spark: SparkSession, sf_dir: str, with_nation: bool = True) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
-    if with_nation:
-        supplier = _lookup(supplier, table(spark, sf_dir, "nation"), "s_nationkey = n_nationkey")
-    return supplier
-
-
 def _log_lines(spark: SparkSession, sf_dir: str, with_part: bool = False,
                lines: DataFrame | None = None) -> DataFrame:
     df = lines if lines is not None else table(spark, sf_dir, "lineitem")
-    df = _lookup(df, _suppliers(spark, sf_dir), "l_suppkey = s_suppkey")
+    df = _lookup(df, table(spark, sf_dir, "supplier"), "l_suppkey = s_suppkey")
+    df = _lookup(df, table(spark, sf_dir, "nation"), "s_nationkey = n_nationkey")
     if with_part:
         df = _lookup(df, table(spark, sf_dir, "part"), "l_partkey = p_partkey")
     return df
