@@ -43,6 +43,13 @@ def bucket_order(age: Column) -> Column:
     return _banded(age, list(range(1, n + 1)), n + 1, n + 2)
 
 
+def bucket_names(order: Column) -> tuple[Column, Column]:
+    """Bucket label and health name for a `bucket_order`."""
+    labels = [b[1] for b in S.AGING_BUCKETS] + [S.OLDEST_BUCKET[0], S.NO_MOVEMENT]
+    names = [b[2] for b in S.AGING_BUCKETS] + [S.OLDEST_BUCKET[1], S.NO_MOVEMENT]
+    return tuple(F.array(*map(F.lit, texts))[order - 1] for texts in (labels, names))
+
+
 def is_aged(age: Column, threshold_days: int = S.AGED_DAYS) -> Column:
     """Never NULL."""
     return F.coalesce(age >= threshold_days, F.lit(False))

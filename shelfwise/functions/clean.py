@@ -68,7 +68,8 @@ def clean_brand(category: Column, brand: Column, house_category: str = S.HOUSE_C
                 stripped: bool = False) -> Column:
     """`category` is compared and quoted in its trimmed upper-case form."""
     cat = category if stripped else F.upper(strip_ws(category))
-    unbranded = F.when(cat == house_category, F.lit(house_category)).otherwise(
+    house = house_category.strip().upper()
+    unbranded = F.when(cat == house, F.lit(house)).otherwise(
         F.concat(cat, F.lit(S.UNBRANDED_SUFFIX)))
     return F.coalesce(F.upper(known(brand, stripped)), unbranded)
 

@@ -50,7 +50,8 @@ def gold_tables(staged: dict[str, DataFrame], run_date: datetime.date,
         "fact_sales": star.fact_sales(sales),
         "fact_stock_aging": star.fact_stock_aging(ageing),
     }
-    for page, pick in {"house": {"categories_in": [house_category]}, **(pages or {})}.items():
+    house = {"categories_in": [house_category.strip().upper()]}
+    for page, pick in {"house": house, **(pages or {})}.items():
         reports[f"segment_{page}"] = G.segment(ageing, sales, **pick)
         reports[f"aging_{page}"] = G.aging_profile(G.segment_rows(ageing, **pick), by=["brand"])
         reports[f"channels_{page}"] = G.channel_split(G.segment_rows(sales, **pick))

@@ -53,18 +53,19 @@ def slow_moving(ageing: DataFrame, flag_at: float = S.SLOW_BRAND_RATIO,
 
 def aging_profile(ageing: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows, SKUs, units and value per bucket, optionally per `by` columns."""
-    age = F.col("age_days")
-    keys = [*(by or []), "bucket_order", "aging_bucket", "aging_status"]
-    tagged = ageing.select(
-        *(by or []), "product_no", "stock_on_hand", "asset_value",
-        A.bucket_order(age).alias("bucket_order"), "aging_bucket",
-        A.aging_status(age).alias("aging_status"))
+    # The bucket travels as its number; its names are looked up on the few rows at the end.
+    keys = [*(by or []), "bucket_order"]
+    tagged = ageing.select(*(by or []), "product_no", "stock_on_hand", "asset_value",
+                           A.bucket_order(F.col("age_days")).alias("bucket_order"))
     per_sku = tagged.groupBy(*keys, "product_no").agg(
         F.count("*").alias("n"), F.sum("stock_on_hand").alias("units"),
         F.sum("asset_value").alias("value"))
+    label, name = A.bucket_names(F.col("bucket_order"))
     return per_sku.groupBy(*keys).agg(
         F.sum("n").alias("n_rows"), F.count("*").alias("n_skus"),
-        total("units").alias("units"), total("value").alias("value"))
+        total("units").alias("units"), total("value").alias("value")).select(
+        *keys, label.alias("aging_bucket"), name.alias("aging_status"), "n_rows", "n_skus",
+        "units", "value")
 
 
 def aging_cube(ageing: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def stock_status(cover: DataFrame, restock_below: float = 14, overstock_above: f
 def management_alert(ageing: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataFrame:
     """Aged stock outside the house category."""
     return (ageing.where(F.col("is_aged") & (F.col("stock_on_hand") > 0)
-                         & (F.col("category") != house_category))
+                         & (F.col("category") != house_category.strip().upper()))
             .groupBy("brand", "warehouse")
             .agg(F.count("*").alias("n_rows"), total("stock_on_hand").alias("units"),
                  total("asset_value").alias("value")))

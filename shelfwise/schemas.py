@@ -51,6 +51,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _S, _N = T.StringType(), NUMBER
 
+# --- fixed values: columns of the staged tables -------------------------------------------
 STG_PRODUCT = _struct(
     ("Product No.", _S), ("Product Name", _S), ("Product Type", _S), ("Tier 1 Category", _S),
     ("Brand", _S), ("SKU No.", _S), ("Unit of Measure", _S), ("Purchase Price", _N),
