@@ -26,13 +26,12 @@ def last_movement(movement: DataFrame, until: datetime.date | None = None) -> Da
 
     max(date) is combined on the map side, so a hot pair reaches the shuffle once per task.
     """
-    day = q("Date")
-    if until is not None:
-        day = F.when(day.cast("date") <= F.lit(until), day)
-    # max() skips NULL dates; pairs that have no other go afterwards. A filter on Date in front
-    # would be pushed below the parsing and parse every date twice.
+    if until is not None:  # on written tables this skips files of later dates
+        movement = movement.where(q("Date").cast("date") <= F.lit(until))
+    # max() skips NULL dates; pairs that have no other go afterwards. A NULL filter on Date in
+    # front would be pushed below the parsing and parse every date twice.
     return (movement.groupBy(q("Product No."), q("Warehouse"))
-            .agg(F.max(day).alias("Last Movement Date"))
+            .agg(F.max("Date").alias("Last Movement Date"))
             .where(q("Last Movement Date").isNotNull()))
 
 
@@ -81,7 +80,8 @@ def asof_series(balance: DataFrame, movement: DataFrame,
     the run dates only after the join, right in front of the map-side aggregation.
     """
     day = q("Date").cast("date")
-    last = (movement.groupBy(q("Product No."), q("Warehouse"))
+    last = (movement.where(day <= F.lit(max(run_dates)))
+            .groupBy(q("Product No."), q("Warehouse"))
             .agg(*[F.max(F.when(day <= F.lit(d), day)).alias(f"d{i}")
                    for i, d in enumerate(run_dates)]))
     per_date = F.explode(F.array(*[

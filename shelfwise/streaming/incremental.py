@@ -9,6 +9,8 @@ state in RocksDB (spark.sql.streaming.stateStore.providerClass).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,11 +49,16 @@ def channel_days(sales: DataFrame, watermark: str | None = None) -> DataFrame:
         F.col("start").cast("date").alias("day"), "channel", "n_rows", "amount", "qty", "profit")
 
 
-def run_available(stream: DataFrame, table: str, checkpoint: str, mode: str = "update"
-                  ) -> StreamingQuery:
-    """Process what has arrived, then stop; each micro-batch becomes `table`/batch=<id>."""
+def run_available(stream: DataFrame, table: str, checkpoint: str, mode: str = "update",
+                  per_batch: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Process what has arrived, then stop; each micro-batch becomes `table`/batch=<id>.
+
+    X1 needs no state where only `latest_movements` is read: run the staged log itself with
+    `mode="append"` and `per_batch=last_movement`, which keeps the maxima of each batch.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+        rows = per_batch(batch) if per_batch else batch
+        rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
     query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).foreachBatch(write).start())

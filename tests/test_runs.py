@@ -255,10 +255,13 @@ def test_stream_equals_batch_in_any_order(spark, base, order):
     src, table, mark = f"{base}/in", f"{base}/table", f"{base}/mark"
     for i in order:  # one run per arrival, each a restart from the checkpoint
         save_moves(spark, MOVES[i], src)
-        stream = spark.readStream.schema(MOVE_SCHEMA).json(src)
-        X.run_available(X.moving_last_movement(T.stage_movement(stream)), table, mark)
+        staged = T.stage_movement(spark.readStream.schema(MOVE_SCHEMA).json(src))
+        X.run_available(X.moving_last_movement(staged), table, mark)
+        X.run_available(staged, f"{base}/plain", f"{base}/mark2", mode="append",
+                        per_batch=A.last_movement)
     batch = A.last_movement(T.stage_movement(movement_rows(spark, sum(MOVES, []))))
     got = rows(X.latest_movements(spark, table))
+    assert rows(X.latest_movements(spark, f"{base}/plain")) == got
     assert got == rows(batch) and ("p", "A", DATE(2024, 1, 20)) in got
     assert not any(r[0] == "r" for r in got)
     balance = spark.createDataFrame(
