@@ -6,7 +6,7 @@ from shelfwise.operators.reshape import plan_headers, unpivot_balance
 from shelfwise.operators.staging import conform, stage_movement, stage_product, stage_sales
 
 __all__ = [
-    "age_stock", "asof_series", "assert_conserved", "conform", "key_violations", "last_movement", "observed",
-    "plan_headers", "quality_report", "row_conservation", "stage_movement", "stage_product",
-    "stage_sales", "stock_ageing", "unpivot_balance",
+    "age_stock", "asof_series", "assert_conserved", "conform", "key_violations", "last_movement",
+    "observed", "plan_headers", "quality_report", "row_conservation", "stage_movement",
+    "stage_product", "stage_sales", "stock_ageing", "unpivot_balance",
 ]

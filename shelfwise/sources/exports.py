@@ -51,7 +51,7 @@ def _read_csv(spark: SparkSession, path: str, options: dict) -> tuple[DataFrame,
         raise ValueError(f"{path}: no header line")
     given = [v if v is not None else f"Unnamed: {i}" for i, v in enumerate(first)]
     headers = unique_headers(given)
-    distinct = given == headers and len({h.lower() for h in headers}) == len(headers)
+    distinct = list(first) == headers and len({h.lower() for h in headers}) == len(headers)
     names = headers if distinct else [f"_{i}" for i in range(len(headers))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # With unaltered, distinct headers every further file must show the same line.

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.clean import quoted
 from shelfwise.schemas import ROW_ID
 
 MAX_BROADCAST_SPLITS = 2_000_000
@@ -47,7 +48,7 @@ def mark_rows(df: DataFrame, splits_in_order: bool = False) -> DataFrame:
                  F.monotonically_increasing_id().alias("_pos")]
     else:
         marks = [file, F.lit(0).cast("bigint").alias("_start"), meta["row_index"].alias("_pos")]
-    return df.select(*[f"`{c}`" for c in df.columns], *marks)
+    return df.select(*[quoted(c) for c in df.columns], *marks)
 
 
 def number_rows(marked: DataFrame, splits: int, splits_in_order: bool = False,
@@ -64,7 +65,7 @@ def number_rows(marked: DataFrame, splits: int, splits_in_order: bool = False,
     offsets = _before(counts, keys).select(*keys, (F.col("_before") - F.col("_first")).alias("_add"))
     if splits <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    cols = [f"`{c}`" for c in marked.columns if c not in MARKS]
+    cols = [quoted(c) for c in marked.columns if c not in MARKS]
     return marked.join(offsets, keys).select(*cols, (F.col("_pos") + F.col("_add")).alias(name))
 
 

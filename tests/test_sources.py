@@ -53,6 +53,14 @@ def test_repeated_and_case_variant_headers(spark, tmp_path):
     assert list(df.collect()[0])[6:9] == ["5", "6", "7"]
 
 
+def test_odd_header_texts(spark, tmp_path):
+    ids = "Product No.,Product Name,SKU No.,Category,Brand,Unit of Measurement"
+    path = write(tmp_path / "b.csv", ids + ",O'H `x`. (1)- Stock on Hand,", "1,n,s,c,b,u,5,y")
+    df = read_raw(spark, "stock_balance", path)
+    assert df.columns[6:] == ["O'H `x`. (1)- Stock on Hand", "Unnamed: 7", "_row_id"]
+    assert list(df.first())[6:] == ["5", "y", 0]
+
+
 def test_files_with_other_headers_are_refused(spark, tmp_path):
     folder = tmp_path / "movement"
     write(folder / "a.csv", ",".join(MOVEMENT), ",".join("a" * len(MOVEMENT)))
