@@ -6,6 +6,7 @@ few tasks and never a model or a whole plan.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -22,6 +23,18 @@ SEPARATOR_PATTERN = "[\\x20\\x09-\\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough where all machines have it at one path; elsewhere submit it with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    path = environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, path) if p)
+
+
 @contextmanager
 def _freed_shuffles(spark: SparkSession):
     """Shuffle files go as soon as the table is written, not when the driver collects garbage."""
