@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.samples import Presence, bounded_sample, gram_codes, learnable
-from shelfwise.llm.store import needs, workers_import
+from shelfwise.llm.store import needs, workers_import, wrapped
 
 ORDERS = (1, 2, 3)
 SAMPLE = 250
@@ -147,8 +147,8 @@ def identify_documents(docs: DataFrame, modulus: int = 3, rest: int = 1) -> Data
 def accepted_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of docs, in their columns, that have a language."""
     model = train(docs, F.col("doc_id").isNotNull())
-    judged = identify(docs, model, docs.columns)
+    judged = identify(docs.select(wrapped(docs), "text"), model, ["doc"])
     return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select("doc.*")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from shelfwise.llm.store import hash60, materialise, n_words, needs, running_sum, words
+from shelfwise.llm.store import hash60, materialise, n_words, needs, running_sum, words, wrapped
 
 #: Weights of the sources by rank, over and over.
 WEIGHTS = (5, 2, 1)
@@ -110,19 +110,18 @@ def mixed_documents(docs: DataFrame, mixture: DataFrame, source: str = "source",
         F.min(F.when((F.col("size") > 0) & (extra < F.col("size")),
                      F.struct("key", extra.alias("due")))).alias("_cut")) \
         .withColumnRenamed("source", "_source")
-    keyed = docs.withColumn("_key", mix_key(seed)).withColumn("_size", n_words("text"))
-    joined = keyed.join(cuts, keyed[f"`{source}`"].eqNullSafe(cuts["_source"]))
+    keyed = docs.select(wrapped(docs), F.col(f"`{source}`").alias("_from"),
+                        mix_key(seed).alias("_key"), n_words("text").alias("_size"))
+    joined = keyed.join(cuts, F.col("_from").eqNullSafe(F.col("_source")))
     last = F.when(F.col("_cut").isNull() | (F.col("_key") < F.col("_cut.key")), F.col("_size")) \
         .when(F.col("_key") == F.col("_cut.key"), F.col("_cut.due")).otherwise(F.lit(0))
     takes = F.filter(F.concat(F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")),
                               F.array(last.cast("long"))), lambda n: n > 0)
-    each = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_size",
-                         F.explode(takes).alias("_take"))
+    each = joined.select("doc", "_size", F.explode(takes).alias("_take"))
     cut = F.col("_take") < F.col("_size")
-    short = F.array_join(F.slice(words("text"), 1, F.col("_take").cast("int")), " ")
-    out = each.withColumn("text", F.when(cut, short).otherwise(F.col("text")))
+    short = F.array_join(F.slice(words("doc.text"), 1, F.col("_take").cast("int")), " ")
+    new = {"text": F.when(cut, short).otherwise(F.col("doc.text"))}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(cut, F.length(short).cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(F.col("doc.n_chars"))
+    return each.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

@@ -70,6 +70,11 @@ def n_words(text: Column | str) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def wrapped(docs: DataFrame) -> Column:
+    """A whole row as one struct, so that no name of its columns can clash with another."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def needs(df: DataFrame, *columns: str) -> DataFrame:
     """Just the named columns, by exact name; a missing one is an error that says so."""
     missing = [c for c in columns if c not in df.columns]
