@@ -34,6 +34,8 @@ WINDOW = 13
 MIN_EQUAL = 11
 #: Benchmark words broadcast at once (each costs about 100 bytes on every executor).
 BLOCK_WORDS = 300_000
+#: Documents are cut into pieces of so many window starts, which every probe carries along.
+PIECE = 64
 
 
 def plain_words(text: Column) -> Column:
@@ -86,10 +88,14 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame,
     blocks = max(1, -(-total // block_words))
     hashed = _hashed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
                      "doc_id", "text_key")
-    # Two projections, so that the hashes are made once and the seeds read them as a column; no
-    # filter and no inner explode above them, since its inferred filter would repeat both below.
-    seeded = hashed.select("doc_id", "text_key", "_h", _seeds("_h", STRIDE).alias("_seeds"))
-    probes = seeded.select("doc_id", "text_key", "_h",
+    # A piece holds every window that starts in its PIECE words, so each window lies in one piece.
+    # Each step is a projection or an outer explode of its own: a filter above, or the filter that
+    # an inner explode implies, would have the steps below it done twice.
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(PIECE))
+    pieces = hashed.select("doc_id", "text_key", F.posexplode_outer(F.transform(
+        starts, lambda s: F.slice("_h", s + 1, PIECE + WINDOW - 1))).alias("_piece", "_h"))
+    seeded = pieces.select("doc_id", "text_key", "_piece", "_h", _seeds("_h", STRIDE).alias("_seeds"))
+    probes = seeded.select("doc_id", "text_key", "_piece", "_h",
                            F.posexplode_outer("_seeds").alias("_i", "_seed"))
     found = []
     for block in range(blocks):
@@ -97,17 +103,19 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame,
         targets = part.select("item_id", "_item", _seeds("_item", 1).alias("_seeds")) \
             .select("item_id", "_item", F.posexplode_outer("_seeds").alias("_j", "_seed"))
         hits = probes.join(F.broadcast(targets), "_seed").select(
-            "doc_id", "text_key", "item_id", "_h", "_item",
+            "doc_id", "text_key", "_piece", "item_id", "_h", "_item",
             (F.expr(f"_i div {len(MASKS)}") * STRIDE).cast("int").alias("_at"),
             F.expr(f"_j div {len(MASKS)}").cast("int").alias("_to"))
-        best = F.greatest(*[F.struct(_equal_at(s).alias("n"), (F.col("_at") - s).alias("at"))
-                            for s in range(WINDOW - SPAN + 1)])
-        found.append(hits.select("doc_id", "text_key", "item_id", best.alias("_best"))
-                     .filter(F.col("_best.n") >= MIN_EQUAL))
+        around = F.array(*[F.struct(_equal_at(s).alias("n"), (F.col("_at") - s).alias("at"))
+                           for s in range(WINDOW - SPAN + 1)])
+        # Exploded before it is filtered, or the test would become part of the join.
+        found.append(hits.select("doc_id", "text_key", "_piece", "item_id",
+                                 F.explode_outer(around).alias("_window"))
+                     .filter(F.col("_window.n") >= MIN_EQUAL))
     every = reduce(DataFrame.unionAll, found)
     return every.groupBy("doc_id", "text_key", "item_id").agg(
-        F.min("_best.at").cast("long").alias("doc_word"),
-        F.max("_best.n").cast("long").alias("equal_words"))
+        F.min(F.col("_piece") * PIECE + F.col("_window.at")).cast("long").alias("doc_word"),
+        F.max("_window.n").cast("long").alias("equal_words"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
