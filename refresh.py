@@ -1,6 +1,6 @@
 """Full refresh: spark-submit refresh.py --src <raw folder> --dst <published folder>
 
-Reads the four exports, publishes the staged tables, then all report tables below <dst>/gold.
+Reads the four exports and publishes staged tables, quality report and all reports as one version.
 """
 
 from __future__ import annotations
@@ -21,6 +21,16 @@ from shelfwise.plans.refresh import run_refresh  # noqa: E402
 from shelfwise.sinks import jdbc, lake  # noqa: E402
 
 
+def _pair(text: str) -> tuple[str, str]:
+    key, _, value = text.partition("=")
+    return key, value
+
+
+def _page(text: str) -> tuple[str, dict]:
+    name, categories = _pair(text)
+    return name, {"categories_in": [c.strip().upper() for c in categories.split(",")]}
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> str:
     args = argparse.ArgumentParser(description=__doc__)
     args.add_argument("--src", required=True)
@@ -33,17 +43,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     args.add_argument("--snapshots", action="store_true", help="also write CSV copies")
     args.add_argument("--no-gold", action="store_true", help="staged tables only")
     args.add_argument("--jdbc-url", help="also load the staged tables into this database")
+    args.add_argument("--as-of-strict", action="store_true",
+                      help="leave out movements after the run date")
+    args.add_argument("--safe-keys", action="store_true",
+                      help="keep placeholder numbers of log and sheet apart in the ageing join")
+    args.add_argument("--csv-option", type=_pair, action="append", default=[], metavar="KEY=VALUE",
+                      help="option of the CSV reader, such as multiLine=true; may repeat")
+    args.add_argument("--page", type=_page, action="append", default=[], metavar="NAME=CATEGORY,...",
+                      help="a segment page over some categories; may repeat")
+    args.add_argument("--jdbc-option", type=_pair, action="append", default=[],
+                      metavar="KEY=VALUE", help="such as user, password, driver; may repeat")
     opts = args.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     run_date = opts.run_date or datetime.date.today()
     spark = spark or SparkSession.builder.appName("refresh").getOrCreate()
-    version = run_refresh(spark, opts.src, opts.dst, run_date, opts.format, opts.house_category,
-                          opts.snapshots, aging_threshold_days=opts.aging_threshold_days)
-    staged = {name: lake.current(spark, opts.dst, name) for name in S.STAGED}
-    if not opts.no_gold:
-        lake.publish(spark, gold_tables(staged, run_date, opts.house_category), f"{opts.dst}/gold")
+
+    def reports(staged):
+        return gold_tables(staged, run_date, opts.house_category, pages=dict(opts.page))
+
+    version = run_refresh(
+        spark, opts.src, opts.dst, run_date, opts.format, opts.house_category, opts.snapshots,
+        dict(opts.csv_option), None if opts.no_gold else reports,
+        aging_threshold_days=opts.aging_threshold_days, as_of_strict=opts.as_of_strict,
+        safe_keys=opts.safe_keys)
     if opts.jdbc_url:
-        jdbc.load_all(staged, opts.jdbc_url)
+        staged = {name: lake.read_table(spark, lake.version_path(opts.dst, version, name))
+                  for name in S.STAGED}
+        jdbc.load_all(staged, opts.jdbc_url, dict(opts.jdbc_option) or None)
     return version
 
 

@@ -97,9 +97,19 @@ def parse_date(c: Column, dtype: T.DataType, pattern: str = S.DATE_PATTERN) -> C
     return F.try_to_date(c, pattern) if isinstance(dtype, T.StringType) else c
 
 
+def too_large(c: Column) -> Column:
+    """Numbers that the staged number type cannot hold; false for everything else."""
+    size = F.abs(c.try_cast("double"))
+    limit = 10.0 ** (S.NUMBER.precision - S.NUMBER.scale)
+    return F.coalesce((size >= limit) & (size < float("inf")), F.lit(False))
+
+
 def to_number(c: Column) -> Column:
-    """C7"""
-    return c.try_cast(S.NUMBER)
+    """NULL for what is no number. One too large for the staged type fails the job: a wrong
+    amount would be published otherwise. The quality report counts those beforehand."""
+    refuse = F.raise_error(F.concat(F.lit("number too large for "), F.lit(S.NUMBER.simpleString()),
+                                    F.lit(": "), c.cast("string")))
+    return F.coalesce(c.try_cast(S.NUMBER), F.when(too_large(c), refuse.cast(S.NUMBER)))
 
 
 def to_whole(c: Column) -> Column:

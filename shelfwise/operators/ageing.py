@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas as S
 from shelfwise.functions import ageing as A
 from shelfwise.functions.clean import quoted as q
+from shelfwise.functions.dates import in_days
 
 KEYS = ["Product No.", "Warehouse"]
 
@@ -26,8 +27,8 @@ def last_movement(movement: DataFrame, until: datetime.date | None = None) -> Da
 
     max(date) is combined on the map side, so a hot pair reaches the shuffle once per task.
     """
-    if until is not None:  # on written tables this skips files of later dates
-        movement = movement.where(q("Date").cast("date") <= F.lit(until))
+    if until is not None:  # on written tables with their month column, only those folders
+        movement = in_days(movement, "Date", None, until)
     # max() skips NULL dates; pairs that have no other go afterwards. A NULL filter on Date in
     # front would be pushed below the parsing and parse every date twice.
     return (movement.groupBy(q("Product No."), q("Warehouse"))

@@ -76,7 +76,8 @@ def stage_sales(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY) -> DataF
         "Warehouse": C.clean_text(q("Warehouse"), S.UNSPECIFIED_WAREHOUSE, stripped=True),
         "Store": C.clean_text(q("Store"), S.UNSPECIFIED_STORE, stripped=True),
     }
-    kept = df.select(*[rules.get(n, q(n)).alias(n) for n in raw.columns if n != S.ROW_ID])
+    kept = df.select(*[rules.get(n, q(n)).alias(n) for n in raw.columns
+                       if n not in (S.ROW_ID, S.BROKEN)])
     present = T.StructType([f for f in S.STG_SALES.fields if f.name in kept.columns])
     return conform(kept, present)
 

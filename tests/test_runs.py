@@ -192,7 +192,7 @@ def test_command_publishes_staged_and_report_tables(spark, exports, base):
     out = f"{base}/out"
     refresh.main(["--src", exports, "--dst", out, "--run-date", "2024-03-01"], spark)
     assert lake.current(spark, out, "stg_stock_aging").count() == 4
-    gold = f"{out}/gold"
+    gold = out  # one version holds staged tables and reports
     kpi = lake.current(spark, gold, "exec_kpi").first()
     assert (kpi.n_skus, kpi.n_warehouses, float(kpi.units)) == (3, 2, 5.0)
     assert float(kpi.net_sales) == 11.5

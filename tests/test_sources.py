@@ -1,10 +1,13 @@
 """Reading exports: missing values, headers, row positions."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise import schemas as S
 from shelfwise.sources.exports import read_all, read_raw, unique_headers
-from shelfwise.sources.row_ids import MARKS, number_rows, split_bound, with_row_ids
+from shelfwise.sources.row_ids import (
+    MARKS, join_offsets, mark_rows, number_rows, split_offsets, with_row_ids,
+)
 
 MOVEMENT = list(S.RAW_REQUIRED["stock_balance_details"])
 
@@ -93,9 +96,8 @@ def test_row_positions_over_splits_and_files(spark, tmp_path, by_marks):
         if by_marks:  # written with the marks, positions worked out on reading back
             df.select("`Product No.`", *MARKS).toDF("c0", *MARKS).write.parquet(
                 str(tmp_path / "marked"))
-            bound = split_bound(df)
             spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
-            df = number_rows(spark.read.parquet(str(tmp_path / "marked")), bound, True).toDF(
+            df = number_rows(spark.read.parquet(str(tmp_path / "marked")), True).toDF(
                 "Product No.", "_row_id")
         rows = df.select("`Product No.`", "_row_id").collect()
     finally:
@@ -113,13 +115,40 @@ def test_row_positions_of_parquet(spark, tmp_path):
     assert all(r["id"] == r["_row_id"] for r in rows)
 
 
-def test_row_positions_without_broadcast(spark, tmp_path, monkeypatch):
-    from shelfwise.sources import row_ids
+def test_positions_only_where_wanted(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 5).write.parquet(path)
-    monkeypatch.setattr(row_ids, "MAX_BROADCAST_SPLITS", 0)
-    rows = with_row_ids(spark.read.parquet(path)).collect()
-    assert all(r["id"] == r["_row_id"] for r in rows) and len(rows) == 1000
+    df = with_row_ids(spark.read.parquet(path), where=F.col("id") % 100 == 7)
+    assert {r["id"]: r["_row_id"] for r in df.collect()} \
+        == {i: i if i % 100 == 7 else None for i in range(1000)}
+
+
+def test_a_missing_offset_fails_and_loses_no_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 100, 1, 5).write.parquet(path)
+    marked = mark_rows(spark.read.parquet(path))
+    some = split_offsets(marked).orderBy("_file").limit(4)
+    assert join_offsets(marked, some).count() == 100
+    with pytest.raises(Exception, match="no row offset"):
+        join_offsets(marked, some).collect()
+
+
+BROKEN_ROWS = ['1,"two', 'lines",T,c,b,s,u,1,2,3,4,5,x', "2,n,T,c,b,s,u,1,2,3,4,5,x,more,cells",
+               "3,n,T", "4,n,T,c,b,s,u,1,2,3,4,5,x"]
+
+
+def test_broken_records_fail_or_are_marked(spark, tmp_path):
+    path = product_csv(tmp_path / "PRODUCT.csv", *BROKEN_ROWS)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        read_raw(spark, "product", path).select("`Product No.`").collect()
+    rows = read_raw(spark, "product", path, row_ids=False, broken=True).collect()
+    assert [r[S.BROKEN] is None for r in rows] == [False, False, False, False, True]
+
+
+def test_line_breaks_inside_cells(spark, tmp_path):
+    path = product_csv(tmp_path / "PRODUCT.csv", BROKEN_ROWS[0], BROKEN_ROWS[1], BROKEN_ROWS[4])
+    rows = read_raw(spark, "product", path, options={"multiLine": "true"}).collect()
+    assert [(r["Product Name"], r["_row_id"]) for r in rows] == [("two\nlines", 0), ("n", 1)]
 
 
 def test_table_source(spark, frame):
