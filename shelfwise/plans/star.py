@@ -63,3 +63,21 @@ def with_dimensions(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     for name, table in dims.items():
         fact = fact.join(table, [f"{name}_key", name])
     return fact
+
+
+def key_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """dimension, n_rows, n_matched, n_same_name: a fact joined to its dimensions by key alone.
+
+    All three counts equal the fact's rows if keys are sound: fewer matches are missing members,
+    more rows are keys that fan out, fewer equal names are keys that two names share.
+    """
+    parts = []
+    for name, table in dims.items():
+        member = table.select(F.col(f"{name}_key").alias("_key"), F.col(name).alias("_name"))
+        keyed = fact.groupBy(f"{name}_key", name).agg(F.count("*").alias("n"))
+        found = keyed.join(member, F.col(f"{name}_key") == F.col("_key"), "left")
+        parts.append(found.agg(
+            F.sum("n").alias("n_rows"), F.sum(F.when(F.col("_key").isNotNull(), F.col("n")))
+            .alias("n_matched"), F.sum(F.when(F.col("_name") == F.col(name), F.col("n")))
+            .alias("n_same_name")).select(F.lit(name).alias("dimension"), "*"))
+    return reduce(DataFrame.unionByName, parts)

@@ -91,6 +91,25 @@ from part cross join nation left join (
   from lineitem join supplier on l_suppkey = s_suppkey where l_linestatus = 'O' group by 1, 2) b
   on p_partkey = b.l_partkey and n_nationkey = b.s_nationkey""",
 }
+_BLANK = "case when l_partkey % 97 = 0 then 'UNSPECIFIED-' || cast(pos as varchar)"
+CTES["numbered"] = "select *, row_number() over () - 1 as pos from lineitem"
+CTES["mixed_log"] = """
+select cast(l_partkey as varchar) as product_no, cast(null as varchar) as product_name,
+  cast(null as varchar) as sku_no, category,
+  case when p_partkey % 5 <> 0 then upper(p_brand) when category = 'PROMO' then 'PROMO'
+    else category || ' - UNBRANDED' end as brand, 'PCS' as unit_of_measure,
+  case l_returnflag when 'N' then 'Receive Stock' when 'A' then 'Transfer Stock'
+    else 'UNSPECIFIED MOVEMENT' end as type,
+  cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as document_no,
+  case when l_orderkey % 13 <> 0 then cast(l_shipdate as date) end as date,
+  n_name as warehouse,
+  case when l_linestatus = 'O' then cast(l_quantity as decimal(18,4)) end as inbound,
+  case when l_linestatus = 'F' then cast(l_quantity as decimal(18,4)) end as outbound,
+  case when l_orderkey % 3 <> 0 then cast(l_quantity as decimal(18,4)) end as closing,
+  cast(null as decimal(18,4)) as closing_cost
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+  join (select *, case when p_partkey % 11 = 0 then 'UNCATEGORISED' else upper(p_type) end
+        as category from part) on l_partkey = p_partkey"""
 STATUS = """case when age_days is null or age_days < 0 then 'No Movement Data'
   when age_days <= 15 then 'Healthy' when age_days <= 30 then 'Watch'
   when age_days <= 45 then 'Review' when age_days <= 60 then 'Slow Moving'
@@ -172,20 +191,27 @@ from (select brand, sum(stock_on_hand) as units, sum(asset_value) as value,
              from stg_sales where {where} group by 1) s using (brand)""")
 
 
-def cover(key: str) -> str:
+def cover(key: str, sales: str = "stg_sales") -> str:
     return f"""select {key}, {d38('coalesce(units, 0)')} as units,
   {d38('coalesce(sold_qty, 0)')} as sold_qty,
   case when sold_qty > 0 then round(cast(coalesce(units, 0) as double) * 30
     / cast(sold_qty as double), 6) end as days_of_cover
 from (select {key}, sum(stock_on_hand) as units from stg_balance group by 1) a
-  full join (select {key}, sum(qty) as sold_qty from stg_sales
+  full join (select {key}, sum(qty) as sold_qty from {sales}
              where date > {RUN} - 30 and date <= {RUN} group by 1) s using ({key})"""
 
 
-def status(key: str) -> str:
+SALES_NOW = f"""(select * replace (cast({RUN} - case when k % 11 = 5 then 60
+    when k % 4 = 1 and cast(product_no as int) % 10 <> 0 then 60
+    else cast(product_no as int) % 30 end as date) as date,
+  qty * case when k % 4 = 0 then 2 else 1 end as qty)
+from (select *, coalesce(try_cast(split_part(brand, '#', 2) as int), 0) as k from stg_sales))"""
+
+
+def status(key: str, sales: str = "stg_sales") -> str:
     return q(f"""select *, case when units <= 0 or days_of_cover < 14 then 'RESTOCK'
   when days_of_cover is null or days_of_cover > 90 then 'OVERSTOCK' else 'OK' end as status
-from ({cover(key)})""")
+from ({cover(key, sales)})""")
 
 
 def trend(period: str, name: str) -> str:
@@ -208,6 +234,9 @@ def dq(table: str, field: str, rule: str, source: str, condition: str) -> str:
             f"cast(count(*) filter (where {condition}) as bigint) as n from {source}")
 
 
+RULES = ("not a number", "rounded", "too large")
+
+
 def dq_report() -> str:
     parts = []
 
@@ -224,7 +253,7 @@ def dq_report() -> str:
         ("Brand", "placeholder"): blank("brand"),
         ("Purchase Price", "not a number"): "try_cast(purchase_price as decimal(18,4)) is null",
         **{(f"{p} Price", "not a number"): "false" for p in ("Wholesale", "Retail", "Online")},
-        **{(f"{p} Price", "rounded"): "false"
+        **{(f"{p} Price", r): "false" for r in ("rounded", "too large")
            for p in ("Purchase", "Wholesale", "Retail", "Online")}})
     numbers = ["Refund Quantity", "Refund Order Count", "Net Sales Amount", "Net Sales Quantity",
                "Net Sales Cost", "Net Sales Unit Price", "Net Sales Unit Cost", "Net Sales Gross Profit"]
@@ -236,11 +265,11 @@ def dq_report() -> str:
         ("Warehouse", "placeholder"): blank("warehouse"),
         ("Store", "placeholder"): blank("store"),
         ("Date", "unparsed date"): "try_strptime(date_txt, '%d/%m/%Y') is null",
-        **{(f, r): "false" for f in numbers for r in ("not a number", "rounded")}})
+        **{(f, r): "false" for f in numbers for r in RULES}})
     add("stock_balance", "part", {
         ("Product No.", "placeholder"): "false", ("Category", "placeholder"): blank("p_type"),
         ("Brand", "placeholder"): "p_partkey % 5 = 0",
-        **{(f, "not a number"): "false"
+        **{(f, r): "false" for r in RULES
            for f in ("Stock on Hand", "Unit Cost", "Inventory Asset Value")}})
     logged = ["Inbound-Quantity", "Outbound-Quantity", "Closing-Quantity", "Closing-Cost"]
     add("stock_balance_details", "stg_movement", {
@@ -248,7 +277,7 @@ def dq_report() -> str:
         ("Brand", "placeholder"): "true",
         ("Type", "placeholder"): "type = 'UNSPECIFIED MOVEMENT'",
         ("Warehouse", "placeholder"): "false", ("Date", "unparsed date"): "date is null",
-        **{(f, r): "false" for f in logged for r in ("not a number", "rounded")}})
+        **{(f, r): "false" for f in logged for r in RULES}})
     return q(" union all ".join(parts))
 
 
@@ -256,6 +285,13 @@ def facts(column: str) -> str:
     return q(f"select {column} from stg_sales union select {column} from stg_aging")
 
 
+SHIPPED = """select cast(l_shipdate as date) as day, l_returnflag as channel, count(*) as n_rows,
+  cast(sum(cast(l_quantity as decimal(18,4))) as decimal(38,4)) as amount,
+  cast(sum(cast(l_quantity as decimal(18,4))) as decimal(38,4)) as qty,
+  cast(sum(cast(l_quantity as decimal(18,4))) as decimal(38,4)) as profit
+from lineitem group by 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     last = "select product_no, warehouse, max(date) as last_movement_date from stg_movement group by 1, 2"
     aging = q("select * from stg_aging")
@@ -312,11 +348,42 @@ union all select 'stg_stock_aging', (select count(*) from part) * (select count(
   (select count(*) from stg_aging))"""),
         "q2_dq_report": dq_report(),
         "q3_key_check": q("""
-select 'stg_product' as table_name, product_no as key, count(*) as n_rows
-from stg_product group by 2 having count(*) > 1
-union all select 'stg_stock_balance', product_no || ' | ' || warehouse, count(*)
-from stg_balance group by 2 having count(*) > 1
-union all select 'stg_sales', product_no, count(*) from stg_sales group by 2 having count(*) > 1"""),
+select 'stg_product' as table_name, key, count(*) as n_rows from (select
+  case when try_cast(product_no as int) % 50 = 1 then '0' else product_no end as key
+  from stg_product) group by 2 having count(*) > 1
+union all select 'stg_stock_balance', key || ' | ' || warehouse, count(*) from (select warehouse,
+  case when try_cast(product_no as int) % 50 = 1 then '0' else product_no end as key
+  from stg_balance) group by 2 having count(*) > 1"""),
+        "c4_sales_blank_numbers": q(f"""
+select {_BLANK} else cast(l_partkey as varchar) end as product_no,
+  cast(l_quantity as decimal(18,4)) as qty, cast(cast(l_extendedprice as decimal(15,2))
+    * (1 - cast(l_discount as decimal(15,2))) as decimal(18,4)) as amount from numbered"""),
+        "c4_movement_blank_numbers": q(f"""
+select {_BLANK} else cast(l_partkey as varchar) end as product_no, n_name as warehouse,
+  cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as document_no
+from numbered join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey"""),
+        "s3_sales_csv": q("select * from stg_sales"),
+        "s4_balance_csv": q("select * from stg_balance"),
+        "s5_movement_csv": q("select * from stg_movement"),
+        "t4_movement_mixed": q("select * from mixed_log"),
+        "a1_last_movement_bad_dates": q("""select product_no, warehouse,
+  max(date) as last_movement_date from mixed_log where date is not null group by 1, 2"""),
+        "g8_stock_status_all_classes": status("brand", SALES_NOW),
+        "g8_stock_status_sku_all_classes": status("product_no", SALES_NOW),
+        "g15_star_keys": q(" union all ".join(
+            f"""select '{fact}' as fact, '{d}' as dimension, count(*) as n_rows,
+  count(*) as n_matched, count(*) as n_same_name from {source}"""
+            for fact, source in (("fact_sales", "stg_sales"), ("fact_stock_aging", "stg_aging"))
+            for d in ("brand", "warehouse", "category"))),
+        "g16_reconcile_closing_gaps": reconcile(f"""
+select product_no, warehouse, {d38('closing')} as closing
+  from (select *, row_number() over (partition by product_no, warehouse
+          order by date desc nulls last, document_no desc, closing desc nulls last) as rn
+        from mixed_log) where rn = 1"""),
+        "x1_folded_last_movement": q(last),
+        "x3_folded_channel_days": SHIPPED,
+        "x3_watermarked_channel_days": f"""select * from ({SHIPPED})
+where day <= (select max(cast(l_shipdate as date)) - 30 from lineitem)""",
         "g1_slow_moving": slow("""select brand, product_no,
     max(case when stock_on_hand > 0 then 1 else 0 end) as i,
     max(case when stock_on_hand > 0 and is_aged then 1 else 0 end) as a

@@ -81,6 +81,16 @@ def c4_product_no_unpivoted(spark, sf):
     return long.select(q("Product No.").alias("product_no"), q("Warehouse").alias("warehouse"))
 
 
+def c4_sales_blank_numbers(spark, sf):
+    staged = T.gold_names(T.stage_sales(D.raw_sales_with_blanks(spark, sf), D.HOUSE))
+    return staged.select("product_no", "qty", "amount")
+
+
+def c4_movement_blank_numbers(spark, sf):
+    staged = T.gold_names(T.stage_movement(D.raw_movement_with_blanks(spark, sf), D.HOUSE))
+    return staged.select("product_no", "warehouse", "document_no")
+
+
 def c5_clean_text(spark, sf):
     raw = D.raw_sales(spark, sf, ("Sales Channels", "Warehouse", "Store"))
     return (raw.select(C.clean_channel(q("Sales Channels")).alias("channel"),
@@ -125,6 +135,16 @@ def t4_movement(spark, sf):
     return T.gold_names(_movement(spark, sf))
 
 
+def t4_movement_mixed(spark, sf):
+    """A log with categories, brands, and dates that do not exist."""
+    return T.gold_names(T.stage_movement(D.raw_movement_mixed(spark, sf), D.HOUSE))
+
+
+def a1_last_movement_bad_dates(spark, sf):
+    log = T.stage_movement(D.raw_movement_mixed(spark, sf), D.HOUSE)
+    return T.gold_names(A.last_movement(log))
+
+
 def a1_last_movement(spark, sf):
     return T.gold_names(A.last_movement(_movement(spark, sf)))
 
@@ -146,6 +166,29 @@ def s2_product_csv(spark, sf):
     return T.gold_names(T.stage_product(read_raw(spark, "product", path), D.HOUSE))
 
 
+def _as_csv(spark, df, purpose):
+    path = shared_dir(spark, purpose)
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def s3_sales_csv(spark, sf):
+    path = _as_csv(spark, D.raw_sales(spark, sf), "sales-csv")
+    return T.gold_names(T.stage_sales(read_raw(spark, "sales", path, row_ids="blank"), D.HOUSE))
+
+
+def s4_balance_csv(spark, sf):
+    path = _as_csv(spark, D.raw_balance_wide(spark, sf), "balance-csv")
+    raw = read_raw(spark, "stock_balance", path, row_ids="blank")
+    return T.gold_names(R.unpivot_balance(raw, D.HOUSE))
+
+
+def s5_movement_csv(spark, sf):
+    path = _as_csv(spark, D.raw_movement(spark, sf), "movement-csv")
+    raw = read_raw(spark, "stock_balance_details", path, row_ids="blank")
+    return T.gold_names(T.stage_movement(raw, D.HOUSE))
+
+
 def k3_csv_snapshot(spark, sf):
     """Last movements as a CSV snapshot, read back."""
     path = shared_dir(spark, "snapshot")
@@ -175,11 +218,14 @@ def q2_dq_report(spark, sf):
 
 
 def q3_key_check(spark, sf):
-    sales = T.stage_sales(D.raw_sales(spark, sf, ()), D.HOUSE)
-    product = T.stage_product(D.raw_product(spark, sf), D.HOUSE)
-    return (Q.key_violations(product, ["Product No."], "stg_product")
-            .unionByName(Q.key_violations(_balance(spark, sf), A.KEYS, "stg_stock_balance"))
-            .unionByName(Q.key_violations(sales, ["Product NO."], "stg_sales")))
+    """Declared grains, with a product master in which every 50th number repeats another."""
+    again = F.when(F.col("product_no").try_cast("int") % 50 == 1, F.lit("0")).otherwise(
+        F.col("product_no"))
+    product = t1_product(spark, sf).withColumn("product_no", again)
+    balance = T.gold_names(_balance(spark, sf)).withColumn("product_no", again)
+    return (Q.key_violations(product, ["product_no"], "stg_product")
+            .unionByName(Q.key_violations(balance, ["product_no", "warehouse"],
+                                          "stg_stock_balance")))
 
 
 # --- gold -----------------------------------------------------------------------------------
@@ -252,6 +298,27 @@ def g8_stock_status_sku(spark, sf):
         by="product_no"))
 
 
+def _sales_up_to_now(spark, sf):
+    """Sales of which brands and products differ in how much falls into the last 30 days."""
+    brand = F.coalesce(F.split_part("brand", F.lit("#"), F.lit(2)).try_cast("int"), F.lit(0))
+    number = F.col("product_no").cast("int")
+    back = F.when(brand % 11 == 5, 60).when((brand % 4 == 1) & (number % 10 != 0), 60) \
+        .otherwise(number % 30)
+    return _sales(spark, sf, BRAND_COLUMNS).withColumn("date", F.date_sub(F.lit(D.RUN_DATE), back)) \
+        .withColumn("qty", F.col("qty") * F.when(brand % 4 == 0, 2).otherwise(1))
+
+
+def g8_stock_status_all_classes(spark, sf):
+    return G.stock_status(G.days_of_cover(T.gold_names(_balance(spark, sf)),
+                                          _sales_up_to_now(spark, sf), D.RUN_DATE))
+
+
+def g8_stock_status_sku_all_classes(spark, sf):
+    return G.stock_status(G.days_of_cover(
+        T.gold_names(_balance(spark, sf)), _sales_up_to_now(spark, sf), D.RUN_DATE,
+        by="product_no"))
+
+
 def g9_mgmt_alert(spark, sf):
     return G.management_alert(_ageing(spark, sf), D.HOUSE)
 
@@ -294,6 +361,15 @@ def g15_fact_stock_aging(spark, sf):
         "asset_value", "age_days", "aging_bucket", "aging_status", "is_aged")
 
 
+def g15_star_keys(spark, sf):
+    """Both facts joined to their dimensions by key."""
+    sales, aged = _sales(spark, sf, BRAND_COLUMNS + ("Warehouse",)), _ageing(spark, sf)
+    dims = {d: star.dim(d, sales, aged) for d in star.DIMENSIONS}
+    facts = {"fact_sales": star.fact_sales(sales), "fact_stock_aging": star.fact_stock_aging(aged)}
+    parts = [star.key_check(f, dims).select(F.lit(n).alias("fact"), "*") for n, f in facts.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def g16_reconcile(spark, sf):
     return G.reconcile(T.gold_names(_balance(spark, sf)), T.gold_names(_movement(spark, sf)),
                        mode="net")
@@ -303,6 +379,12 @@ def g16_reconcile_closing(spark, sf):
     return G.reconcile(T.gold_names(_balance(spark, sf)), T.gold_names(_movement(spark, sf)))
 
 
+def g16_reconcile_closing_gaps(spark, sf):
+    """Some latest movements have no closing quantity."""
+    log = T.gold_names(T.stage_movement(D.raw_movement_mixed(spark, sf), D.HOUSE))
+    return G.reconcile(T.gold_names(_balance(spark, sf)), log)
+
+
 def g17_orphans(spark, sf):
     return G.orphans(t1_product(spark, sf), stg_sales=_sales(spark, sf, ()),
                      stg_stock_balance=T.gold_names(_balance(spark, sf)),
@@ -342,9 +424,54 @@ def x3_streaming_channel_days(spark, sf):
     return X.latest_channel_days(spark, table)
 
 
+def _lines_by_date(spark, sf, files=4):
+    """lineitem as a stream of files, one a batch, in the order of the ship dates."""
+    path, kind = shared_dir(spark, "lines"), D.SCHEMAS["lineitem"]
+    lines = D.table(spark, sf, "lineitem")
+    lo, hi = lines.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    days = F.datediff("l_shipdate", F.lit(lo)) / ((hi - lo).days + 1)
+    part = F.least(F.floor(days * files), F.lit(files - 1))
+    for k in range(files):
+        lines.where(part == k).coalesce(1).write.parquet(f"{path}/part={k}")
+    return (spark.readStream.schema(kind).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(path))
+
+
+def x1_folded_last_movement(spark, sf):
+    """Several batches folded into one state table."""
+    dst, mark = shared_dir(spark, "last-state"), shared_dir(spark, "checkpoint")
+    log = D.raw_movement(spark, sf, lines=_lines_by_date(spark, sf))
+    X.run_folded(X.moving_last_movement(T.stage_movement(log, D.HOUSE)), dst, mark, A.KEYS)
+    return T.gold_names(X.folded(spark, dst)).where(F.col("last_movement_date").isNotNull())
+
+
+def x3_folded_channel_days(spark, sf):
+    """Sums per ship day and channel, several batches folded into one state table."""
+    dst, mark = shared_dir(spark, "days-state"), shared_dir(spark, "checkpoint")
+    X.run_folded(X.channel_days(_shipped(spark, sf)), dst, mark, ["day", "channel"])
+    return X.folded(spark, dst)
+
+
+def _shipped(spark, sf):
+    return _lines_by_date(spark, sf).select(
+        F.col("l_shipdate").cast("date").alias("date"), F.col("l_returnflag").alias("channel"),
+        *[F.col("l_quantity").cast("decimal(18,4)").alias(c) for c in ("amount", "qty", "profit")])
+
+
+def x3_watermarked_channel_days(spark, sf):
+    """Tumbling days behind a watermark of 30 days: days that are over by then, each once."""
+    table, mark = shared_dir(spark, "final-days"), shared_dir(spark, "checkpoint")
+    X.run_available(X.channel_days(_shipped(spark, sf), "30 days"), table, mark, mode="append")
+    return spark.read.parquet(table).drop(X.BATCH)
+
+
 def queries() -> dict[str, Query]:
     found = [c2_clean_category, c3_clean_brand, c4_product_no, c4_product_no_unpivoted,
-             c5_clean_text, c6_parse_date, c7_numeric, t1_product, t2_sales, t3_unpivot_balance,
+             c4_sales_blank_numbers, c4_movement_blank_numbers, s3_sales_csv, s4_balance_csv,
+             s5_movement_csv, t4_movement_mixed, a1_last_movement_bad_dates,
+             g8_stock_status_all_classes, g8_stock_status_sku_all_classes, g15_star_keys,
+             g16_reconcile_closing_gaps, x1_folded_last_movement, x3_folded_channel_days,
+             x3_watermarked_channel_days, c5_clean_text, c6_parse_date, c7_numeric, t1_product, t2_sales, t3_unpivot_balance,
              t3_unpivot_two_warehouses, t4_movement, a1_last_movement, t5_stock_aging,
              t5_stock_aging_strict, s2_product_csv, k3_csv_snapshot, p2_published_aging,
              q1_row_conservation, q2_dq_report, q3_key_check, g1_slow_moving,

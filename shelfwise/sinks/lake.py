@@ -84,6 +84,12 @@ def commit(spark: SparkSession, dst: str, version: str) -> None:
     row.coalesce(1).write.mode("append").parquet(f"{dst}/{COMMITS}")
 
 
+def is_published(spark: SparkSession, dst: str) -> bool:
+    """Whether anything was committed yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{dst}/{COMMITS}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def current_version(spark: SparkSession, dst: str) -> str | None:
     log = spark.read.schema(COMMIT_SCHEMA).parquet(f"{dst}/{COMMITS}")
     return log.agg(F.max(F.struct("committed_at", "version")).alias("m")).select(

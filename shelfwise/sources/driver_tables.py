@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.schemas import NUMBER, ROW_ID
-from shelfwise.sources.row_ids import with_row_ids
+from shelfwise.sources.row_ids import MARKS, mark_rows, number_rows, with_row_ids
 
 HOUSE = "PROMO"
 RUN_DATE = datetime.date(2001, 8, 1)
@@ -164,6 +164,45 @@ def raw_movement(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     return _log_lines(spark, sf_dir, lines=lines).selectExpr(*movement_columns())
 
 
+def _blank_numbers(df: DataFrame, name: str) -> DataFrame:
+    """Blank product numbers, and row positions for just those."""
+    keep = [c for c in df.columns if c not in MARKS]
+    blank = F.expr("l_partkey % 97 = 0")
+    numbered = number_rows(df, where=blank)
+    return numbered.withColumn(name, F.when(blank, F.lit("  ")).otherwise(F.col(f"`{name}`"))) \
+        .select(*[F.col(f"`{c}`") for c in keep if c != "l_partkey"], ROW_ID)
+
+
+def raw_sales_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without lookups, every 97th product without its number."""
+    lines = mark_rows(table(spark, sf_dir, "lineitem"))
+    exprs = [f"{expr if not tables else 'cast(NULL AS string)'} AS `{c}`"
+             for c, (expr, tables) in SALES_COLUMNS.items()]
+    return _blank_numbers(lines.selectExpr(*exprs, "l_partkey", *MARKS), "Product NO.")
+
+
+def raw_movement_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement log, every 97th product without its number."""
+    lines = _log_lines(spark, sf_dir, lines=mark_rows(table(spark, sf_dir, "lineitem")))
+    return _blank_numbers(lines.selectExpr(*movement_columns(), "l_partkey", *MARKS), "Product No.")
+
+
+def raw_movement_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with categories and brands, dates that do not exist, and gaps in the closings."""
+    replaced = {
+        "Category": "CASE WHEN p_partkey % 11 = 0 THEN ' ' ELSE lower(p_type) END",
+        "Brand": "CASE WHEN p_partkey % 5 = 0 THEN '  ' ELSE p_brand END",
+        "Date": "CASE WHEN l_orderkey % 13 = 0 THEN '31/02/2000' "
+                "ELSE date_format(l_shipdate, 'dd/MM/yyyy') END",
+        "Closing-Quantity": f"CASE WHEN l_orderkey % 3 <> 0 THEN {_QTY} END",
+    }
+    exprs = []
+    for line in movement_columns():
+        name = line.rsplit("`", 2)[1]
+        exprs.append(f"{replaced[name]} AS `{name}`" if name in replaced else line)
+    return _log_lines(spark, sf_dir, with_part=True).selectExpr(*exprs)
+
+
 def raw_movement_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log with dates 0 to 90 days before the run date, so that few brands are slow."""
     back = ("CASE WHEN l_partkey % 40 < cast(substr(p_brand, 7) AS int) % 12 THEN 46 ELSE 0 END "
