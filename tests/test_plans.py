@@ -8,7 +8,8 @@ from shelfwise.registry import queries
 
 SF = "/root/testdata/sf0.001"
 EAGER = {"s2_product_csv", "k3_csv_snapshot", "p2_published_aging", "x1_streaming_last_movement",
-         "x3_streaming_channel_days"}
+         "x3_streaming_channel_days", "s3_sales_csv", "s4_balance_csv", "s5_movement_csv",
+         "x1_folded_last_movement", "x3_folded_channel_days", "x3_watermarked_channel_days"}
 QUERIES = {n: f for n, f in queries().items() if n not in EAGER}
 
 
@@ -58,5 +59,40 @@ def test_windows_rank_bounded_rows_only(spark):
 
 
 def test_distinct_counts_do_not_multiply_rows(spark):
-    for name in ("g1_slow_moving", "g2_aging_profile"):
+    for name in ("g1_slow_moving", "g2_aging_profile", "g3_exec_kpi"):
         assert "Expand" not in plan(spark, name)
+    cube = plan(spark, "g2_aging_cube")
+    below = cube[cube.index("Expand"):]
+    assert "HashAggregate(keys=[brand" in below  # the sets multiply cells, not rows
+
+
+def test_only_blank_numbers_meet_row_offsets(spark, tmp_path):
+    """The bulk rows are one scan without join or exchange; nothing is broadcast by a hint."""
+    from pyspark.sql import functions as F
+    from shelfwise.sources.row_ids import with_row_ids
+    spark.range(0, 1000, 1, 4).write.parquet(str(tmp_path / "t"))
+    df = with_row_ids(spark.read.parquet(str(tmp_path / "t")), where=F.col("id") == 7)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    bulk = text[text.index("Union"):].split(":- ")[1].split("+- ")
+    assert bulk[0].lstrip().startswith("Project") and not any(
+        w in part for part in bulk[:3] for w in ("Exchange", "Join"))
+    assert "ResolvedHint" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_days_read_only_their_months(spark, tmp_path):
+    import datetime
+    from pyspark.sql import functions as F
+    from shelfwise.functions.dates import in_days
+    from shelfwise.sinks import lake
+    from shelfwise.operators.ageing import last_movement
+    path = str(tmp_path / "t")
+    days = spark.range(400).select(
+        F.date_add(F.lit(datetime.date(2000, 1, 1)), F.col("id").cast("int")).alias("Date"),
+        F.lit("p").alias("Product No."), F.lit("w").alias("Warehouse"))
+    lake.write_table(days, path, month_of="Date")
+    written = lake.read_table(spark, path, months=True)
+    for df, n in ((in_days(written, "Date", datetime.date(2000, 3, 10), datetime.date(2000, 4, 9)), 30),
+                  (last_movement(written, datetime.date(2000, 2, 1)), 1)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "month_of_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+        assert df.count() == n and "month_of_date" not in df.columns

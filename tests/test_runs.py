@@ -215,6 +215,58 @@ def test_report_tables_for_pages(spark, frame):
     assert {n: df.count() for n, df in tables.items() if df.count()} == {"exec_kpi": 1}
 
 
+def test_refresh_refuses_broken_records_and_large_numbers(spark, exports, base):
+    path = f"{exports}/PRODUCT.csv"
+    good = open(path, encoding="utf-8").read()
+    for bad, found in (('p3,"two\nlines",t,c,b,s,pcs,1,2,3,4,009' + ",x" * 18, "broken record"),
+                       ("p3,n,t,c,b,s,pcs,1,2,3,4,009" + ",x" * 19, "broken record"),
+                       ("p3,n,t,c,b,s,pcs,100000000000000,2,3,4,009" + ",x" * 18, "too large")):
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(good + bad + "\n")
+        with pytest.raises(ValueError, match=found):
+            run_refresh(spark, exports, f"{base}/out", RUN)
+    assert not lake.is_published(spark, f"{base}/out")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(good + 'p3,"two\nlines",t,c,b,s,pcs,1,2,3,4,009' + ",x" * 18 + "\n")
+    run_refresh(spark, exports, f"{base}/out", RUN, options={"multiLine": "true"})
+    names = {r["Product Name"] for r in lake.current(spark, f"{base}/out", "stg_product").collect()}
+    assert names == {"Cable, 1m", "No number", "two\nlines"}
+
+
+def test_refresh_fails_on_a_lost_offset(spark, exports, base, monkeypatch):
+    from shelfwise.sources import row_ids
+    whole = row_ids.split_offsets
+    monkeypatch.setattr(row_ids, "split_offsets", lambda *a: whole(*a).limit(0))
+    with pytest.raises(Exception, match="no row offset"):
+        run_refresh(spark, exports, f"{base}/out", RUN)
+    assert not lake.is_published(spark, f"{base}/out")
+
+
+def test_refresh_publishes_quality_and_keys(spark, exports, base):
+    import refresh
+    out = f"{base}/out"
+    refresh.main(["--src", exports, "--dst", out, "--run-date", "2024-03-01", "--page",
+                  "phones=phones,solar", "--as-of-strict", "--safe-keys"], spark)
+    report = {(r.table_name, r.field, r.rule): r.n
+              for r in lake.current(spark, out, "quality_report").collect() if r.n}
+    assert report["sales", "Date", "unparsed date"] == 1
+    assert lake.current(spark, out, "key_check").count() == 0
+    assert lake.current(spark, out, "segment_phones").count() == 0
+
+
+def test_folded_state_survives_a_repeated_batch(spark, base):
+    src, dst, mark = f"{base}/in", f"{base}/state", f"{base}/mark"
+    for k in range(3):
+        spark.createDataFrame([("a", k), ("b", 10 - k)], "k string, v int").coalesce(1) \
+            .write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(src)
+    sums = stream.groupBy("k").agg(F.sum("v").alias("v"))
+    X.run_folded(sums, dst, mark, ["k"])
+    assert rows(X.folded(spark, dst)) == [("a", 3), ("b", 27)]
+    X.run_folded(sums, dst, f"{base}/mark2", ["k"])  # all batches again: their versions are there
+    assert rows(X.folded(spark, dst)) == [("a", 3), ("b", 27)]
+
+
 def test_catalog_table(spark):
     lake.save_table(spark.range(3).toDF("Product No."), "stg_saved")
     lake.save_table(spark.range(2).toDF("Product No."), "stg_saved")

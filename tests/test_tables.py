@@ -226,6 +226,24 @@ def test_quality_report(frame):
         ("stock_balance_details", "Closing-Quantity", "not a number"): 1}
 
 
+def test_quality_of_balance_cells(frame):
+    raw = {**raw_tables(frame), "stock_balance": sheet(
+        frame, ["A- Stock on Hand", "B- Stock on Hand"],
+        ("1", " nan ", "1.123456"), ("2", "\t", "1e14"), ("3", "\u00a0", "x"))}
+    got = {r.rule: r.n for r in Q.quality_report(raw).collect()
+           if (r.table_name, r.field) == ("stock_balance", "Stock on Hand")}
+    assert got == {"not a number": 1, "rounded": 1, "too large": 1}
+
+
+def test_numbers_too_large_are_refused(frame):
+    from shelfwise.functions import clean as C
+    df = frame(["x"], ("99999999999999",), ("1e14",), ("inf",), ("x",), (None,))
+    good = df.where("x <> '1e14' or x is null").orderBy("_row_id").select(C.zero_filled(F.col("x")))
+    assert [float(r[0]) for r in good.collect()] == [99999999999999.0, 0, 0, 0]
+    with pytest.raises(Exception, match="too large"):
+        df.select(C.zero_filled(F.col("x"))).collect()
+
+
 def test_row_conservation(frame):
     from shelfwise.plans.refresh import stage_all
     raw = raw_tables(frame)
