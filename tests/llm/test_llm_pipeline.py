@@ -7,6 +7,8 @@ import plain
 import pytest
 
 from shelfwise.llm.store import materialise
+from test_llm_operators import _frame as odd_frame
+from test_llm_operators import _rows as odd_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,6 +63,20 @@ def test_run_is_the_stages(spark, tables):
     assert sorted(map(key, got.collect())) == sorted(map(key, tables[-1].collect()))
 
 
+def test_odd_rows_and_clashing_names(spark, tmp_path):
+    """Every stage on its own over nulls, blanks, long texts, repeated rows and extra columns."""
+    path = str(tmp_path / "documents.parquet")
+    odd_frame(spark, odd_rows()).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        texts = {r.text for r in docs.collect()}
+        assert out.count() > 0 and (name == "mixing" or {r.text for r in out.collect()} <= texts)
+    got = pipeline.STAGES[-1][1](spark, docs, SF)
+    assert got.count() == docs.count()
+
+
 def test_no_rows(spark, tables, tmp_path):
     docs = tables[0].limit(0)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
