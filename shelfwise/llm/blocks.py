@@ -19,8 +19,6 @@ from shelfwise.llm.text import binary, joined, lengths
 
 #: log2 of the rows of a block.
 BLOCK_BITS = 11
-#: Buckets for each shuffle partition, so that AQE can even them out.
-BUCKETS_PER_PARTITION = 2
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -29,7 +27,8 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def buckets(spark: SparkSession) -> int:
-    return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many as shuffle partitions, which the submitter sizes to the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucket_rows(block: int, keys: np.ndarray, others: list[np.ndarray], n: int) -> list[tuple]:

@@ -6,15 +6,17 @@ taken in column blocks (buckets of n-gram hashes), which add up the overlaps of
 is kept small by bounds that follow from a row's size n:
 
 - a partner has between 4/5 n and 5/4 n n-grams;
-- it shares at least 4/5 n of them, so it shares one of any n - ceil(4/5 n) + 1. Rows enter the
-  column blocks only with their first so many n-grams, rarest first. Which n-grams are frequent
-  comes from counts in each block of documents; the order changes the work, never the result.
-
-Inside a column all rows are laid against the smallest row of like size, not against each other.
-These pairs' overlaps are completed exactly, links give components, and columns that still hold
-rows of several components give all pairs between those for a second round. So every link
-between documents of different components is found, and copies are never paired with each other.
-Equal rows of a block of documents enter once.
+- it shares at least 4/5 n of them, so the first k that both have, in one order of all n-grams,
+  are among the first n - ceil(4/5 n) + k of either. Rows enter the column blocks only with so
+  many n-grams, rarest first, and pairs that share fewer than k of those are discarded; k is
+  1 + n // SHARE of the smaller row. Which n-grams are frequent comes from counts in each block
+  of documents; the order changes the work, never the result.
+
+Inside a column all rows are laid against the smallest row of like size, not against each other,
+and each row is compared with the partner it shares most columns with: links give components.
+Columns that still hold rows of several components then add up the counts of all pairs between
+those, for a second round. So every link between documents of different components is found,
+and copies are never paired with each other. Equal rows of a block of documents enter once.
 
 Defined results: texts without words and null texts have no n-grams and link to nothing; so do
 rows without id, whose component is null; rows that repeat an id link by their texts like any
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import blocks as B
 from shelfwise.llm.components import components
-from shelfwise.llm.store import materialise, needs, workers_import
+from shelfwise.llm.store import materialise, needs, workers_import, wrapped
 from shelfwise.llm.text import Words, binary, joined, lengths, mix, text_bytes, whole_windows, windows
 
 WORDS = 5
@@ -44,6 +46,8 @@ FREQUENT_IN_BLOCK = 4
 #: ... and so many of the most frequent ones are known by every task (8 bytes each).
 FREQUENT_KNOWN = 200_000
 LEVELS = 16
+#: A pair must share one n-gram more than this part of the smaller row within the prefixes.
+SHARE = 10
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -156,7 +160,7 @@ def _entries(shipped, n: int):
             valid = np.array(table["doc_id"].combine_chunks().is_valid())
             rows = incidence(table, valid, frequent, rank)
             use = valid & (rows.first == np.arange(len(table)))
-            prefix = rows.sizes - (4 * rows.sizes + 4) // 5 + 1
+            prefix = rows.sizes - (4 * rows.sizes + 4) // 5 + rows.sizes // SHARE + 1
             chosen = use[rows.owner] & (rows.place < prefix[rows.owner])
             owner = rows.owner[chosen]
             number = table["_row"].to_numpy() - (block << B.BLOCK_BITS)
@@ -168,62 +172,53 @@ def _entries(shipped, n: int):
 
 
 def _columns(table: pa.Table) -> pa.Table:
-    """kind 0: a row pair and its shared n-grams here (d = 1: nowhere else to be compared).
-    kind 1: column, row, size of columns with more than two rows."""
+    """kind 0: the smallest row of like size in some columns, a row, how many, the former's size.
+    kind 1: column, row, size, and how many columns have these same rows."""
     grams, block = B.entries(table, "keys", np.uint64)
     row = (block << B.BLOCK_BITS) | joined(table["rows"], np.uint16).astype(np.int64)
     size = joined(table["sizes"], np.uint32).astype(np.int64)
-    order = np.argsort(grams, kind="stable")
+    order = np.lexsort((row, size, grams))
     grams, row, size = grams[order], row[order], size[order]
+    names = ["kind", "a", "b", "c", "d"]
     first = B.groups(grams)
-    many = B.spread(first, np.diff(np.append(first, len(grams))), len(grams)) if len(first) \
-        else np.zeros(0, np.int64)
-    grams, row, size, many = (x[many > 1] for x in (grams, row, size, many))
-    order = np.lexsort((row, size))
-    order = order[np.argsort(grams[order], kind="stable")]
-    grams, row, size, many = (x[order] for x in (grams, row, size, many))
-    # The smallest row of like size is laid against the others, band by band.
-    low, high, alone = [], [], []
-    g, r, s, m = grams, row, size, many
-    while len(g):
+    if len(first):
+        several = B.spread(first, np.diff(np.append(first, len(grams))) > 1, len(grams))
+        grams, row, size = grams[several], row[several], size[several]
+    first = B.groups(grams)
+    if not len(first):
+        return pa.table([pa.array([], pa.int32())] + [pa.array([], pa.int64())] * 4, names=names)
+    # Columns of the same rows say the same: one of them stays, with their number.
+    marks = np.add.reduceat(mix(row.astype(np.uint64) ^ _SALT), first)
+    _, kept, times = np.unique(marks, return_index=True, return_counts=True)
+    weight = np.zeros(len(first), np.int64)
+    weight[kept] = times
+    weight = B.spread(first, weight, len(grams))
+    grams, row, size, weight = (x[weight > 0] for x in (grams, row, size, weight))
+    low, high, counts, sizes = [], [], [], []
+    g, r, s, w = grams, row, size, weight
+    while len(g):  # band by band of sizes
         first = B.groups(g)
         pivot, least = B.spread(first, r[first], len(g)), B.spread(first, s[first], len(g))
         near = 4 * s <= 5 * least
         pair = near & (r != pivot)
         low.append(pivot[pair])
         high.append(r[pair])
-        alone.append(m[pair] == 2)
-        g, r, s, m = (x[~near] for x in (g, r, s, m))
-    names = ["kind", "a", "b", "c", "d"]
-    out = []
-    if low:
-        a, b, one = (np.concatenate(x) for x in (low, high, alone))
-        order = np.lexsort((b, a))
-        a, b, one = a[order], b[order], one[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        first = np.flatnonzero(new)
-        if len(first):
-            counts = np.diff(np.append(first, len(a)))
-            must = np.logical_or.reduceat(one, first)
-            out.append([np.zeros(len(first), np.int32), a[first], b[first], counts,
-                        must.astype(np.int64)])
-    more = many > 2
-    grams, row, size = grams[more], row[more], size[more]
-    first = B.groups(grams)
-    if len(first):
-        # Columns of the same rows say the same: one of them stays.
-        order = np.lexsort((row, grams))
-        marks = np.add.reduceat(mix(row[order].astype(np.uint64) ^ _SALT), first)
-        _, kept = np.unique(marks, return_index=True)
-        stay = np.zeros(len(first), bool)
-        stay[kept] = True
-        stay = B.spread(first, stay, len(grams))
-        out.append([np.ones(int(stay.sum()), np.int32), grams[stay].view(np.int64), row[stay],
-                    size[stay], np.zeros(int(stay.sum()), np.int64)])
-    if not out:
-        return pa.table([pa.array([], pa.int32())] + [pa.array([], pa.int64())] * 4, names=names)
-    return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
+        counts.append(w[pair])
+        sizes.append(least[pair])
+        g, r, s, w = (x[~near] for x in (g, r, s, w))
+    a, b, n, least = (np.concatenate(x) for x in (low, high, counts, sizes))
+    order = np.lexsort((b, a))
+    a, b, n, least = a[order], b[order], n[order], least[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    n = np.add.reduceat(n, first) if len(first) else n
+    pairs, entries = len(first), len(grams)
+    return pa.table([
+        pa.array(np.repeat(np.array([0, 1], np.int32), [pairs, entries])),
+        pa.array(np.concatenate([a[first], grams.view(np.int64)])),
+        pa.array(np.concatenate([b[first], row])), pa.array(np.concatenate([n, size])),
+        pa.array(np.concatenate([least[first], weight]))], names=names)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,32 +281,33 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         docs.mapInArrow(_entries(shipped, n),
                         "bucket long, block long, keys binary, rows binary, sizes binary")
         .groupBy("bucket").applyInArrow(_columns, kinds), "columns")
+    # First round: each row and the partner it shares most columns with, if these are not far too
+    # few. Counts are partial here, as a row's columns may differ in their smallest rows.
     pairs = product.filter("kind = 0").groupBy("a", "b").agg(
-        F.sum("c").alias("shared"), F.max("d").alias("must"))
-    # A row needs its best partner only, besides pairs that no later round would compare.
-    best = pairs.groupBy("b").agg(F.max(F.struct("shared", -F.col("a"))).alias("_best"))
-    best = best.select(F.col("b").alias("_b"), (-F.col("_best")["col2"]).alias("_a"))
-    first = materialise(
-        pairs.join(best, F.col("b") == F.col("_b"), "left")
-        .filter((F.col("must") == 1) | (F.col("a") == F.col("_a"))).select("a", "b"), "pairs")
-    links = _linked(docs, first)
-    labels = components(links)
-    # Second round: columns whose rows are not all of one component yet.
+        F.sum("c").alias("shared"), F.max("d").alias("size")) \
+        .filter(F.col("shared") > F.floor(F.col("size") / (2 * SHARE)))
+    best = pairs.groupBy("b").agg(
+        F.max(F.struct("shared", (-F.col("a")).alias("last"))).alias("_best"))
+    first = materialise(best.select((-F.col("_best.last")).alias("a"), "b"), "pairs")
+    labels = components(_linked(docs, first))
+    # Second round: columns whose rows are not all of one component yet. Here pairs get their
+    # whole counts, and those with too small a count for their sizes are discarded.
     column = product.filter("kind = 1").select(
-        F.col("a").alias("column"), F.col("b").alias("row"), F.col("c").alias("size"))
+        F.col("a").alias("column"), F.col("b").alias("row"), F.col("c").alias("size"),
+        F.col("d").alias("times"))
     known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
     column = materialise(column.join(known, F.col("row") == F.col("_n"), "left").select(
-        "column", "row", "size", F.coalesce("_c", "row").alias("label")), "columns")
+        "column", "row", "size", "times", F.coalesce("_c", "row").alias("label")), "columns")
     mixed = column.groupBy("column").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
         .filter(F.col("low") < F.col("high")).select("column")
     open_rows = column.join(mixed, "column", "left_semi")
     x, y = open_rows.alias("x"), open_rows.alias("y")
+    least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
     second = x.join(y, (F.col("x.column") == F.col("y.column"))
-                    & (F.col("x.label") < F.col("y.label"))
-                    & (5 * F.least(F.col("x.size"), F.col("y.size"))
-                       >= 4 * F.greatest(F.col("x.size"), F.col("y.size")))) \
-        .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")) \
-        .distinct()
+                    & (F.col("x.label") < F.col("y.label")) & (5 * least >= 4 * most)) \
+        .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")) \
+        .agg(F.sum("x.times").alias("shared"), F.min(least).alias("size")) \
+        .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = materialise(second.join(done, ["a", "b"], "left_anti"), "pairs")
     more = _linked(docs, second)
@@ -336,6 +332,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs without the others of their component, in the columns of docs."""
     gone = materialise(similar_documents(docs).filter(~F.col("kept")).select(
         F.col("row").alias("_gone")), "copies")
-    numbered = B.numbered(docs)
-    return numbered.join(gone, F.col("_row") == F.col("_gone"), "left_anti") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = B.numbered(docs.select(wrapped(docs)))
+    return numbered.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("doc.*")
