@@ -12,11 +12,11 @@ is kept small by bounds that follow from a row's size n:
   1 + n // SHARE of the smaller row. Which n-grams are frequent comes from counts in each block
   of documents; the order changes the work, never the result.
 
-Inside a column all rows are laid against the smallest row of like size, not against each other,
-and each row is compared with the partner it shares most columns with: links give components.
-Columns that still hold rows of several components then add up the counts of all pairs between
-those, for a second round. So every link between documents of different components is found,
-and copies are never paired with each other. Equal rows of a block of documents enter once.
+Inside a column rows are not laid against each other but against a hub, and each row is compared
+with the hub it shares most columns with: links give components. Columns that then still hold
+rows of several components add up the whole counts of all pairs between those, for a last round.
+So every link between documents of different components is found, and copies are never paired
+with each other. Equal rows of a block of documents enter once.
 
 Defined results: texts without words and null texts have no n-grams and link to nothing; so do
 rows without id, whose component is null; rows that repeat an id link by their texts like any
@@ -27,6 +27,7 @@ same partitions and order whenever it is run: rows are named by that place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +47,8 @@ FREQUENT_IN_BLOCK = 4
 #: ... and so many of the most frequent ones are known by every task (8 bytes each).
 FREQUENT_KNOWN = 200_000
 LEVELS = 16
+#: Rounds of comparing rows with hubs, by where bands of like size begin.
+HUB_ROUNDS = (0.0, 0.5)
 #: A pair must share one n-gram more than this part of the smaller row within the prefixes.
 SHARE = 10
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -172,53 +175,28 @@ def _entries(shipped, n: int):
 
 
 def _columns(table: pa.Table) -> pa.Table:
-    """kind 0: the smallest row of like size in some columns, a row, how many, the former's size.
-    kind 1: column, row, size, and how many columns have these same rows."""
+    """column, row, size of the row, how many columns have these same rows, and how many rows."""
     grams, block = B.entries(table, "keys", np.uint64)
     row = (block << B.BLOCK_BITS) | joined(table["rows"], np.uint16).astype(np.int64)
     size = joined(table["sizes"], np.uint32).astype(np.int64)
-    order = np.lexsort((row, size, grams))
+    order = np.lexsort((row, grams))
     grams, row, size = grams[order], row[order], size[order]
-    names = ["kind", "a", "b", "c", "d"]
     first = B.groups(grams)
     if len(first):
         several = B.spread(first, np.diff(np.append(first, len(grams))) > 1, len(grams))
         grams, row, size = grams[several], row[several], size[several]
     first = B.groups(grams)
-    if not len(first):
-        return pa.table([pa.array([], pa.int32())] + [pa.array([], pa.int64())] * 4, names=names)
-    # Columns of the same rows say the same: one of them stays, with their number.
-    marks = np.add.reduceat(mix(row.astype(np.uint64) ^ _SALT), first)
-    _, kept, times = np.unique(marks, return_index=True, return_counts=True)
-    weight = np.zeros(len(first), np.int64)
-    weight[kept] = times
-    weight = B.spread(first, weight, len(grams))
-    grams, row, size, weight = (x[weight > 0] for x in (grams, row, size, weight))
-    low, high, counts, sizes = [], [], [], []
-    g, r, s, w = grams, row, size, weight
-    while len(g):  # band by band of sizes
-        first = B.groups(g)
-        pivot, least = B.spread(first, r[first], len(g)), B.spread(first, s[first], len(g))
-        near = 4 * s <= 5 * least
-        pair = near & (r != pivot)
-        low.append(pivot[pair])
-        high.append(r[pair])
-        counts.append(w[pair])
-        sizes.append(least[pair])
-        g, r, s, w = (x[~near] for x in (g, r, s, w))
-    a, b, n, least = (np.concatenate(x) for x in (low, high, counts, sizes))
-    order = np.lexsort((b, a))
-    a, b, n, least = a[order], b[order], n[order], least[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    first = np.flatnonzero(new)
-    n = np.add.reduceat(n, first) if len(first) else n
-    pairs, entries = len(first), len(grams)
-    return pa.table([
-        pa.array(np.repeat(np.array([0, 1], np.int32), [pairs, entries])),
-        pa.array(np.concatenate([a[first], grams.view(np.int64)])),
-        pa.array(np.concatenate([b[first], row])), pa.array(np.concatenate([n, size])),
-        pa.array(np.concatenate([least[first], weight]))], names=names)
+    times = np.zeros(len(first), np.int64)
+    rows = np.diff(np.append(first, len(grams)))
+    if len(first):
+        # Columns of the same rows say the same: one of them stays, with their number.
+        marks = np.add.reduceat(mix(row.astype(np.uint64) ^ _SALT), first)
+        _, kept, counts = np.unique(marks, return_index=True, return_counts=True)
+        times[kept] = counts
+    times, rows = B.spread(first, times, len(grams)), B.spread(first, rows, len(grams))
+    stay = times > 0
+    return pa.table([pa.array(x[stay]) for x in (grams.view(np.int64), row, size, times, rows)],
+                    names=["column", "row", "size", "times", "rows"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,6 +239,48 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                        "links")
 
 
+def _hub_pairs(entries: DataFrame, shift: float) -> DataFrame:
+    """a, b: each row b and the hub it shares most columns with, if these are not far too few.
+
+    The hub of a column, for rows of like size, is the row that has most company in all its
+    columns: of an original and its altered copies the original. Rows of one label are not
+    compared. This only decides what is compared first.
+    """
+    banded = entries.withColumn("band", F.floor(F.log("size") / math.log(5 / 4) + shift))
+    hubs = banded.groupBy("column", "band").agg(
+        F.max_by("row", "rank").alias("hub"), F.max_by("size", "rank").alias("hub_size"),
+        F.max_by("label", "rank").alias("hub_label"), F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").drop("n")
+    least, most = F.least("size", "hub_size"), F.greatest("size", "hub_size")
+    shared = banded.join(hubs, ["column", "band"]) \
+        .filter((F.col("label") != F.col("hub_label")) & (5 * least >= 4 * most)) \
+        .groupBy("row", "hub").agg(F.sum("times").alias("shared"), F.min(least).alias("size")) \
+        .filter(F.col("shared") > F.floor(F.col("size") / (2 * SHARE)))
+    return shared.groupBy("row").agg(F.max_by("hub", "shared").alias("a")) \
+        .select("a", F.col("row").alias("b"))
+
+
+def _open_columns(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries with their rows' new labels, of columns whose rows do not all have the same."""
+    known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    named = materialise(entries.join(known, F.col("row") == F.col("_n"), "left").withColumn(
+        "label", F.coalesce("_c", "row")).select(*entries.columns), "columns")
+    mixed = named.groupBy("column").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
+        .filter(F.col("low") < F.col("high")).select("column")
+    return materialise(named.join(mixed, "column", "left_semi"), "columns")
+
+
+def _other_pairs(entries: DataFrame) -> DataFrame:
+    """a, b: all row pairs of different labels whose sizes and whole counts allow a link."""
+    x, y = entries.alias("x"), entries.alias("y")
+    least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    return x.join(y, (F.col("x.column") == F.col("y.column"))
+                  & (F.col("x.label") < F.col("y.label")) & (5 * least >= 4 * most)) \
+        .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")) \
+        .agg(F.sum("x.times").alias("shared"), F.min(least).alias("size")) \
+        .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """row, doc_id, n_shingles, component_id, kept of every document.
 
@@ -270,62 +290,44 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     workers_import(spark)
     docs = B.numbered(needs(docs, "doc_id", "text")).select(
         "_row", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kinds = "kind int, a long, b long, c long, d long"
-    facts = materialise(docs.mapInArrow(_facts, kinds), "facts")
+    facts = materialise(docs.mapInArrow(_facts, "kind int, a long, b long, c long, d long"), "facts")
     rows = facts.filter("kind = 1").select(
         F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"),
         F.col("d").alias("first"))
     shipped = spark.sparkContext.broadcast(_frequent(facts.filter("kind = 0").select("a", "b")))
-    n = B.buckets(spark)
-    product = materialise(
-        docs.mapInArrow(_entries(shipped, n),
+    entries = materialise(
+        docs.mapInArrow(_entries(shipped, B.buckets(spark)),
                         "bucket long, block long, keys binary, rows binary, sizes binary")
-        .groupBy("bucket").applyInArrow(_columns, kinds), "columns")
-    # First round: each row and the partner it shares most columns with, if these are not far too
-    # few. Counts are partial here, as a row's columns may differ in their smallest rows.
-    pairs = product.filter("kind = 0").groupBy("a", "b").agg(
-        F.sum("c").alias("shared"), F.max("d").alias("size")) \
-        .filter(F.col("shared") > F.floor(F.col("size") / (2 * SHARE)))
-    best = pairs.groupBy("b").agg(
-        F.max(F.struct("shared", (-F.col("a")).alias("last"))).alias("_best"))
-    first = materialise(best.select((-F.col("_best.last")).alias("a"), "b"), "pairs")
-    labels = components(_linked(docs, first))
-    # Second round: columns whose rows are not all of one component yet. Here pairs get their
-    # whole counts, and those with too small a count for their sizes are discarded.
-    column = product.filter("kind = 1").select(
-        F.col("a").alias("column"), F.col("b").alias("row"), F.col("c").alias("size"),
-        F.col("d").alias("times"))
-    known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-    column = materialise(column.join(known, F.col("row") == F.col("_n"), "left").select(
-        "column", "row", "size", "times", F.coalesce("_c", "row").alias("label")), "columns")
-    mixed = column.groupBy("column").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-        .filter(F.col("low") < F.col("high")).select("column")
-    open_rows = column.join(mixed, "column", "left_semi")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    second = x.join(y, (F.col("x.column") == F.col("y.column"))
-                    & (F.col("x.label") < F.col("y.label")) & (5 * least >= 4 * most)) \
-        .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")) \
-        .agg(F.sum("x.times").alias("shared"), F.min(least).alias("size")) \
-        .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = materialise(second.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = _linked(docs, second)
-    # The first round's components, the second round's links, and equal rows of a block.
-    every = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more) \
-        .unionAll(rows.filter((F.col("row") != F.col("first")) & F.col("doc_id").isNotNull())
-                  .select(F.col("row").alias("a"), F.col("first").alias("b")))
-    final = components(every.filter(F.col("a") != F.col("b")))
-    member = rows.join(final, F.col("row") == F.col("node"), "left").select(
-        "row", "doc_id", "n_shingles", F.col("component").alias("_component"))
-    member = materialise(member, "members")
-    heads = member.filter(F.col("_component").isNotNull()).groupBy("_component").agg(
-        F.min(F.struct("doc_id", "row")).alias("_head")) \
-        .select(F.col("_component").alias("_of"), "_head")
-    return member.join(heads, F.col("_component") == F.col("_of"), "left").select(
-        "row", "doc_id", "n_shingles",
-        F.coalesce(F.col("_head.doc_id"), F.col("doc_id")).alias("component_id"),
-        F.coalesce(F.col("_head.row") == F.col("row"), F.lit(True)).alias("kept"))
+        .groupBy("bucket").applyInArrow(
+            _columns, "column long, row long, size long, times long, rows long"), "columns")
+    company = entries.groupBy(F.col("row").alias("_r")).agg(
+        (F.sum(F.col("times") * (F.col("rows") - 1)) / F.max("size")).alias("_company"))
+    # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
+    rank = F.floor(F.col("_company") * 4096).cast("long") * (1 << 20) \
+        + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
+    entries = materialise(entries.join(company, F.col("row") == F.col("_r")).select(
+        "column", "row", "size", "times", rank.alias("rank"), F.col("row").alias("label")), "columns")
+    found = rows.filter((F.col("row") != F.col("first")) & F.col("doc_id").isNotNull()) \
+        .select(F.col("row").alias("a"), F.col("first").alias("b"))
+    for shift in HUB_ROUNDS:
+        found = found.unionAll(_linked(docs, materialise(_hub_pairs(entries, shift), "pairs")))
+        entries = _open_columns(entries, components(found))
+    found = found.unionAll(_linked(docs, materialise(_other_pairs(entries), "pairs")))
+    final = components(found)
+    member = materialise(rows.join(final, F.col("row") == F.col("node"), "left").select(
+        "row", "doc_id", "n_shingles", F.col("component").alias("_component")), "members")
+    linked, alone = (member.filter(F.col("_component").isNotNull()),
+                     member.filter(F.col("_component").isNull()))
+    heads = linked.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
+    # Ids may repeat: of the rows with the smallest one the first stays.
+    named = linked.join(heads, "_component")
+    stay = named.filter(F.col("doc_id") == F.col("component_id")).groupBy("_component").agg(
+        F.min("row").alias("_stay"))
+    named = named.join(stay, "_component").select(
+        "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("_stay")).alias("kept"))
+    return named.unionAll(alone.select("row", "doc_id", "n_shingles",
+                                       F.col("doc_id").alias("component_id"),
+                                       F.lit(True).alias("kept")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
