@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,8 +87,13 @@ def commit(spark: SparkSession, dst: str, version: str) -> None:
 
 def is_published(spark: SparkSession, dst: str) -> bool:
     """Whether anything was committed yet."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{dst}/{COMMITS}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    try:
+        spark.read.schema(COMMIT_SCHEMA).parquet(f"{dst}/{COMMITS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def current_version(spark: SparkSession, dst: str) -> str | None:
