@@ -77,7 +77,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     spans = [(s, 0, e) for s, e in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            parts = [p.lstrip("0") or "0" for p in m.group().split(".")]
+            if all(len(p) <= 3 and int(p) <= 255 for p in parts):
                 spans.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())

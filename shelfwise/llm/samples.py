@@ -13,8 +13,9 @@ from shelfwise.llm.store import hash60
 def bounded_sample(rows: DataFrame, label: str, per_label: dict | int, seed: str) -> DataFrame:
     """About per_label rows of each label (all, if there are fewer), picked by a hash of doc_id.
 
-    Labels are counted without reading texts; the rows are picked by a filter, so none is
-    shuffled. The number of labels is taken to be small.
+    Labels are counted without reading texts; the rows are picked by a filter. Its result is near
+    what is wanted unless very many rows repeat one id; twice as many are returned at most. The
+    number of labels is taken to be small.
     """
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     want = {k: per_label if isinstance(per_label, int) else per_label[k] for k in counts}
@@ -23,7 +24,7 @@ def bounded_sample(rows: DataFrame, label: str, per_label: dict | int, seed: str
         return rows.limit(0)
     share = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col(label)]
     unit = hash60(F.lit(seed), F.col("doc_id").cast("string")).cast("double") / float(1 << 60)
-    return rows.filter(unit <= share)
+    return rows.filter(unit <= share).limit(2 * sum(want.values()) + 100)
 
 
 def held_out(modulus: int, rest: int) -> Column:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,9 +101,12 @@ LEDGER = "blob string, rules string, spans array<struct<start:int,rank:int,end:i
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All entries; an empty ledger where nothing was written yet."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(LEDGER).parquet(path) if there else spark.createDataFrame([], LEDGER)
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
 
 
 def scan_new_blobs(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
