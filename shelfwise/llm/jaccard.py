@@ -7,10 +7,15 @@ is kept small by bounds that follow from a row's size n:
 
 - a partner has between 4/5 n and 5/4 n n-grams;
 - it shares at least 4/5 n of them, so the first k that both have, in one order of all n-grams,
-  are among the first n - ceil(4/5 n) + k of either. Rows enter the column blocks only with so
-  many n-grams, rarest first, and pairs that share fewer than k of those are discarded; k is
-  1 + n // SHARE of the smaller row. Which n-grams are frequent comes from counts in each block
-  of documents; the order changes the work, never the result.
+  are among its first n - ceil(4/5 n) + k (its outer prefix, with k = 1 + n // SHARE). Rows enter
+  the column blocks only with so many n-grams, rarest first;
+- both share at least 4/9 of the sum of their sizes, so for a partner of the same size or a larger
+  one the first n - ceil(8/9 n) + k are enough (the inner prefix), and for partners a little
+  smaller some prefix in between. Pairs that share fewer than k there are discarded.
+
+Which n-grams are frequent comes from counts in each block of documents; the order changes the
+work, never the result. Altered copies have their own n-grams first, so those too unlike to link
+hardly meet.
 
 Inside a column rows are not laid against each other but against a hub, and each row is compared
 with the hub it shares most columns with: links give components. Columns that then still hold
@@ -39,7 +44,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm import blocks as B
 from shelfwise.llm.components import components
 from shelfwise.llm.store import materialise, needs, workers_import, wrapped
-from shelfwise.llm.text import Words, binary, joined, lengths, mix, text_bytes, whole_windows, windows
+from shelfwise.llm.text import (Words, binary, joined, lengths, mix, slices, text_bytes,
+                                whole_windows, windows)
 
 WORDS = 5
 #: An n-gram that so many different documents of a block have counts as frequent...
@@ -47,10 +53,17 @@ FREQUENT_IN_BLOCK = 4
 #: ... and so many of the most frequent ones are known by every task (8 bytes each).
 FREQUENT_KNOWN = 200_000
 LEVELS = 16
+#: N-grams of row pairs that a task lays side by side at once.
+GRAMS_AT_ONCE = 1 << 20
+#: Prefixes of a row, by the largest partner-to-row ratio (in percent) of sizes they serve; the
+#: first is the inner prefix, for partners of the same size or larger, the last the outer one.
+RATIOS = (100, 107, 115, 125)
 #: Rounds of comparing rows with hubs, by where bands of like size begin.
 HUB_ROUNDS = (0.0, 0.5)
-#: A pair must share one n-gram more than this part of the smaller row within the prefixes.
-SHARE = 10
+#: A pair must share one n-gram more than this part of the smaller row within the prefixes...
+SHARE = 60
+#: ... and to be compared in a hub round, this part of it.
+HUB_SHARE = 10
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -155,27 +168,43 @@ def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], rank[order]
 
 
+def prefix(n: np.ndarray, ratio: int) -> np.ndarray:
+    """How many n-grams of a row of n must be looked at for partners of n * 100 / ratio or more.
+
+    Both share at least 4/9 of the sum of their sizes (rounded up where that is exact).
+    """
+    shared = {100: (8 * n + 8) // 9, 125: (4 * n + 4) // 5}.get(
+        ratio, 4 * n * (100 + ratio) // (9 * ratio))
+    return n - shared + n // SHARE + 1
+
+
 def _entries(shipped, n: int):
-    """Prefix n-grams of a block's different rows, a row for each column block."""
+    """Prefix n-grams of a block's different rows, a row for each column block.
+
+    sizes: the row's size times len(RATIOS), plus the first of its prefixes with the n-gram.
+    """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = shipped.value
         for block, table in B.per_block(batches, 0):
             valid = np.array(table["doc_id"].combine_chunks().is_valid())
             rows = incidence(table, valid, frequent, rank)
             use = valid & (rows.first == np.arange(len(table)))
-            prefix = rows.sizes - (4 * rows.sizes + 4) // 5 + rows.sizes // SHARE + 1
-            chosen = use[rows.owner] & (rows.place < prefix[rows.owner])
+            n_grams = rows.sizes
+            ends = np.stack([prefix(n_grams, r) for r in RATIOS])
+            chosen = use[rows.owner] & (rows.place < ends[-1][rows.owner])
             owner = rows.owner[chosen]
+            part = (rows.place[chosen] >= ends[:-1, owner]).sum(axis=0)
             number = table["_row"].to_numpy() - (block << B.BLOCK_BITS)
             got = B.bucket_rows(block, rows.grams[chosen],
                                 [number[owner].astype(np.uint16),
-                                 rows.sizes[owner].astype(np.uint32)], n)
+                                 (n_grams[owner] * len(RATIOS) + part).astype(np.uint32)], n)
             yield from B.to_table(got, ["bucket", "block", "keys", "rows", "sizes"]).to_batches()
     return emit
 
 
 def _columns(table: pa.Table) -> pa.Table:
-    """column, row, size of the row, how many columns have these same rows, and how many rows."""
+    """column, row, size of the row, the first of its prefixes with this column, how many columns
+    have these same rows, and how many rows."""
     grams, block = B.entries(table, "keys", np.uint64)
     row = (block << B.BLOCK_BITS) | joined(table["rows"], np.uint16).astype(np.int64)
     size = joined(table["sizes"], np.uint32).astype(np.int64)
@@ -190,45 +219,57 @@ def _columns(table: pa.Table) -> pa.Table:
     rows = np.diff(np.append(first, len(grams)))
     if len(first):
         # Columns of the same rows say the same: one of them stays, with their number.
-        marks = np.add.reduceat(mix(row.astype(np.uint64) ^ _SALT), first)
+        part = row * len(RATIOS) + size % len(RATIOS)
+        marks = np.add.reduceat(mix(part.astype(np.uint64) ^ _SALT), first)
         _, kept, counts = np.unique(marks, return_index=True, return_counts=True)
         times[kept] = counts
     times, rows = B.spread(first, times, len(grams)), B.spread(first, rows, len(grams))
     stay = times > 0
-    return pa.table([pa.array(x[stay]) for x in (grams.view(np.int64), row, size, times, rows)],
-                    names=["column", "row", "size", "times", "rows"])
+    found = (grams.view(np.int64), row, size // len(RATIOS), size % len(RATIOS), times, rows)
+    return pa.table([pa.array(x[stay]) for x in found],
+                    names=["column", "row", "size", "part", "times", "rows"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        rows = incidence(table)
-        ends = np.cumsum(rows.sizes)
-        parts = [np.sort(p) for p in np.split(rows.grams, ends[:-1])]
-        yield pa.RecordBatch.from_arrays([batch.column(0), binary(parts)], names=["row", "grams"])
+        for low, high in slices(batch):
+            part = batch.slice(low, high - low)
+            rows = incidence(pa.Table.from_batches([part]))
+            ends = np.cumsum(rows.sizes)
+            sets = [np.sort(p) for p in np.split(rows.grams, ends[:-1])]
+            yield pa.RecordBatch.from_arrays([part.column(0), binary(sets)], names=["row", "grams"])
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row pairs with their n-grams -> pairs that link."""
+    """Row pairs with their n-grams -> pairs that link, a block of pairs at a time."""
     for batch in batches:
-        a, b = batch.column(2), batch.column(3)
-        na, nb = lengths(a, 8), lengths(b, 8)
-        ga, gb = joined(a, np.uint64), joined(b, np.uint64)
-        pair = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
-        grams = np.concatenate([ga, gb])
-        order = np.argsort(grams, kind="stable")
-        order = order[np.argsort(pair[order].astype(np.int32), kind="stable")]
-        grams, pair = grams[order], pair[order]
-        both = (grams[1:] == grams[:-1]) & (pair[1:] == pair[:-1])
-        shared = np.bincount(pair[1:][both], minlength=len(na))
-        link = pa.array(100 * shared >= 80 * (na + nb - shared))
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(link), batch.column(1).filter(link)],
-                                         names=["a", "b"])
+        sizes = lengths(batch.column(2), 8) + lengths(batch.column(3), 8)
+        total, low = np.append(0, np.cumsum(sizes)), 0
+        while low < batch.num_rows:
+            high = max(low + 1, int(np.searchsorted(total, total[low] + GRAMS_AT_ONCE, "right")) - 1)
+            yield _block_overlaps(batch.slice(low, high - low))
+            low = high
+
+
+def _block_overlaps(batch: pa.RecordBatch) -> pa.RecordBatch:
+    a, b = batch.column(2), batch.column(3)
+    na, nb = lengths(a, 8), lengths(b, 8)
+    pair = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
+    grams = np.concatenate([joined(a, np.uint64), joined(b, np.uint64)])
+    order = np.argsort(grams, kind="stable")
+    order = order[np.argsort(pair[order].astype(np.int32), kind="stable")]
+    grams, pair = grams[order], pair[order]
+    both = (grams[1:] == grams[:-1]) & (pair[1:] == pair[:-1])
+    shared = np.bincount(pair[1:][both], minlength=len(na))
+    link = pa.array(100 * shared >= 80 * (na + nb - shared))
+    return pa.RecordBatch.from_arrays([batch.column(0).filter(link), batch.column(1).filter(link)],
+                                      names=["a", "b"])
 
 
 def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose overlap suffices. Each row's n-grams are made once."""
-    wanted = pairs.select(F.col("a").alias("_r")).unionAll(pairs.select("b")).distinct()
+    # A plain merge, whatever the size: a broadcast of ids would grow with the documents.
+    wanted = pairs.select(F.col("a").alias("_r")).unionAll(pairs.select("b")).distinct().hint("merge")
     sets = materialise(
         docs.join(wanted, F.col("_row") == F.col("_r"), "left_semi").select("_row", "text")
         .mapInArrow(_sets, "row long, grams binary"), "sets")
@@ -255,7 +296,7 @@ def _hub_pairs(entries: DataFrame, shift: float) -> DataFrame:
     shared = banded.join(hubs, ["column", "band"]) \
         .filter((F.col("label") != F.col("hub_label")) & (5 * least >= 4 * most)) \
         .groupBy("row", "hub").agg(F.sum("times").alias("shared"), F.min(least).alias("size")) \
-        .filter(F.col("shared") > F.floor(F.col("size") / (2 * SHARE)))
+        .filter(F.col("shared") > F.floor(F.col("size") / HUB_SHARE))
     return shared.groupBy("row").agg(F.max_by("hub", "shared").alias("a")) \
         .select("a", F.col("row").alias("b"))
 
@@ -271,13 +312,21 @@ def _open_columns(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _other_pairs(entries: DataFrame) -> DataFrame:
-    """a, b: all row pairs of different labels whose sizes and whole counts allow a link."""
-    x, y = entries.alias("x"), entries.alias("y")
-    least, most = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    return x.join(y, (F.col("x.column") == F.col("y.column"))
-                  & (F.col("x.label") < F.col("y.label")) & (5 * least >= 4 * most)) \
-        .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")) \
-        .agg(F.sum("x.times").alias("shared"), F.min(least).alias("size")) \
+    """a, b: all row pairs of different labels whose sizes and whole counts allow a link.
+
+    Of the smaller row x the inner prefix counts, of the other that for the ratio of their sizes.
+    Both hold the first n // SHARE + 1 n-grams that a linked pair has in common.
+    """
+    x, y = entries.filter("part = 0").alias("x"), entries.alias("y")
+    nx, ny = F.col("x.size"), F.col("y.size")
+    needed = F.lit(len(RATIOS) - 1)
+    for k in reversed(range(len(RATIOS) - 1)):
+        needed = F.when(100 * ny <= RATIOS[k] * nx, k).otherwise(needed)
+    ordered = (nx < ny) | ((nx == ny) & (F.col("x.row") < F.col("y.row")))
+    return x.join(y, (F.col("x.column") == F.col("y.column")) & ordered & (5 * nx >= 4 * ny)
+                  & (F.col("x.label") != F.col("y.label")) & (F.col("y.part") <= needed)) \
+        .groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")) \
+        .agg(F.sum("x.times").alias("shared"), F.min(nx).alias("size")) \
         .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
 
 
@@ -299,14 +348,15 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         docs.mapInArrow(_entries(shipped, B.buckets(spark)),
                         "bucket long, block long, keys binary, rows binary, sizes binary")
         .groupBy("bucket").applyInArrow(
-            _columns, "column long, row long, size long, times long, rows long"), "columns")
+            _columns, "column long, row long, size long, part long, times long, rows long"),
+        "columns")
     company = entries.groupBy(F.col("row").alias("_r")).agg(
         (F.sum(F.col("times") * (F.col("rows") - 1)) / F.max("size")).alias("_company"))
     # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
     rank = F.floor(F.col("_company") * 4096).cast("long") * (1 << 20) \
         + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
     entries = materialise(entries.join(company, F.col("row") == F.col("_r")).select(
-        "column", "row", "size", "times", rank.alias("rank"), F.col("row").alias("label")), "columns")
+        "column", "row", "size", "part", "times", rank.alias("rank"), F.col("row").alias("label")), "columns")
     found = rows.filter((F.col("row") != F.col("first")) & F.col("doc_id").isNotNull()) \
         .select(F.col("row").alias("a"), F.col("first").alias("b"))
     for shift in HUB_ROUNDS:
