@@ -23,11 +23,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = edges.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(
             F.min("component").alias("near"))
-        low = materialise(
-            labels.join(near, F.col("node") == F.col("a"), "left").select(
-                "node", F.least("component", "near").alias("low"),
-                F.col("component").alias("before")), "labels")
-        jump = low.select(F.col("node").alias("over"), F.col("low").alias("further"))
+        low = labels.join(near, F.col("node") == F.col("a"), "left").select(
+            "node", F.least("component", "near").alias("low"), F.col("component").alias("before"))
+        jump = labels.select(F.col("node").alias("over"), F.col("component").alias("further"))
         after = materialise(low.join(jump, F.col("low") == F.col("over"), "left").select(
             "node", F.least("low", "further").alias("component"), "before"), "labels")
         if after.filter(F.col("component") != F.col("before")).isEmpty():

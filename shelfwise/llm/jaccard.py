@@ -58,11 +58,11 @@ GRAMS_AT_ONCE = 1 << 20
 #: Prefixes of a row, by the largest partner-to-row ratio (in percent) of sizes they serve; the
 #: first is the inner prefix, for partners of the same size or larger, the last the outer one.
 RATIOS = (100, 107, 115, 125)
-#: Rounds of comparing rows with hubs, by where bands of like size begin.
-HUB_ROUNDS = (0.0, 0.5)
+#: Where bands of like size begin, in parts of a band.
+BAND_SHIFTS = (0.0, 0.5)
 #: A pair must share one n-gram more than this part of the smaller row within the prefixes...
 SHARE = 60
-#: ... and to be compared in a hub round, this part of it.
+#: ... and to be compared with a hub, this part of it.
 HUB_SHARE = 10
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
@@ -280,22 +280,24 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                        "links")
 
 
-def _hub_pairs(entries: DataFrame, shift: float) -> DataFrame:
+def _hub_pairs(entries: DataFrame) -> DataFrame:
     """a, b: each row b and the hub it shares most columns with, if these are not far too few.
 
     The hub of a column, for rows of like size, is the row that has most company in all its
-    columns: of an original and its altered copies the original. Rows of one label are not
-    compared. This only decides what is compared first.
+    columns: of an original and its altered copies the original. Like sizes are bands, laid out
+    twice with their edges apart, so that hubs of neighbouring bands meet as well. This only
+    decides what is compared first.
     """
-    banded = entries.withColumn("band", F.floor(F.log("size") / math.log(5 / 4) + shift))
-    hubs = banded.groupBy("column", "band").agg(
+    shifts = F.array(*[F.lit(x) for x in BAND_SHIFTS])
+    banded = entries.withColumn("shift", F.explode(shifts)) \
+        .withColumn("band", F.floor(F.log("size") / math.log(5 / 4) + F.col("shift")))
+    hubs = banded.groupBy("column", "shift", "band").agg(
         F.max_by("row", "rank").alias("hub"), F.max_by("size", "rank").alias("hub_size"),
-        F.max_by("label", "rank").alias("hub_label"), F.count(F.lit(1)).alias("n")) \
-        .filter("n > 1").drop("n")
+        F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     least, most = F.least("size", "hub_size"), F.greatest("size", "hub_size")
-    shared = banded.join(hubs, ["column", "band"]) \
-        .filter((F.col("label") != F.col("hub_label")) & (5 * least >= 4 * most)) \
-        .groupBy("row", "hub").agg(F.sum("times").alias("shared"), F.min(least).alias("size")) \
+    shared = banded.join(hubs, ["column", "shift", "band"]) \
+        .filter((F.col("row") != F.col("hub")) & (5 * least >= 4 * most)) \
+        .groupBy("row", "hub", "shift").agg(F.sum("times").alias("shared"), F.min(least).alias("size")) \
         .filter(F.col("shared") > F.floor(F.col("size") / HUB_SHARE))
     return shared.groupBy("row").agg(F.max_by("hub", "shared").alias("a")) \
         .select("a", F.col("row").alias("b"))
@@ -304,8 +306,8 @@ def _hub_pairs(entries: DataFrame, shift: float) -> DataFrame:
 def _open_columns(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with their rows' new labels, of columns whose rows do not all have the same."""
     known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-    named = materialise(entries.join(known, F.col("row") == F.col("_n"), "left").withColumn(
-        "label", F.coalesce("_c", "row")).select(*entries.columns), "columns")
+    named = entries.join(known, F.col("row") == F.col("_n"), "left").withColumn(
+        "label", F.coalesce("_c", "row")).select(*entries.columns, "label")
     mixed = named.groupBy("column").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
         .filter(F.col("low") < F.col("high")).select("column")
     return materialise(named.join(mixed, "column", "left_semi"), "columns")
@@ -356,12 +358,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     rank = F.floor(F.col("_company") * 4096).cast("long") * (1 << 20) \
         + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
     entries = materialise(entries.join(company, F.col("row") == F.col("_r")).select(
-        "column", "row", "size", "part", "times", rank.alias("rank"), F.col("row").alias("label")), "columns")
+        "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
     found = rows.filter((F.col("row") != F.col("first")) & F.col("doc_id").isNotNull()) \
         .select(F.col("row").alias("a"), F.col("first").alias("b"))
-    for shift in HUB_ROUNDS:
-        found = found.unionAll(_linked(docs, materialise(_hub_pairs(entries, shift), "pairs")))
-        entries = _open_columns(entries, components(found))
+    found = found.unionAll(_linked(docs, materialise(_hub_pairs(entries), "pairs")))
+    entries = _open_columns(entries, components(found))
     found = found.unionAll(_linked(docs, materialise(_other_pairs(entries), "pairs")))
     final = components(found)
     member = materialise(rows.join(final, F.col("row") == F.col("node"), "left").select(
