@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from shelfwise.llm.store import hash60, materialise, n_words, needs, running_sum, words, wrapped
+from shelfwise.llm.store import (hash60, materialise, n_words, needs, numbered, running_sum, stored,
+                                 words, wrapped)
 
 #: Weights of the sources by rank, over and over.
 WEIGHTS = (5, 2, 1)
@@ -101,20 +102,44 @@ def mixed_documents(docs: DataFrame, mixture: DataFrame, source: str = "source",
 
     Only the key at which each source is cut is joined to the texts, so these are not shuffled.
     A document taken twice comes twice. The document at the cut comes with the words that were
-    due: its first words joined by one space, n_chars (if there) counted anew. Rows repeated
-    exactly at the cut give the same words each. Documents without words are not taken.
+    due: its first words joined by one space, n_chars (if there) counted anew. Where rows repeat
+    at the cut (one id or none, and one text), the words of their key are dealt out by their
+    places in the files: some rows come whole, one is cut, the others do not come. Documents
+    without words are not taken.
     """
     extra = F.col("taken") - F.col("epochs") * F.col("size")
-    cuts = mixture.groupBy("source").agg(
+    per_key = mixture.groupBy("source", "key").agg(
+        F.max("epochs").alias("epochs"), F.sum(extra).alias("due"), F.sum("size").alias("all"),
+        F.count(F.lit(1)).alias("n"))
+    cuts = materialise(per_key.groupBy(F.col("source").alias("_source")).agg(
         F.max("epochs").alias("_epochs"),
-        F.min(F.when((F.col("size") > 0) & (extra < F.col("size")),
-                     F.struct("key", extra.alias("due")))).alias("_cut")) \
-        .withColumnRenamed("source", "_source")
-    keyed = docs.select(wrapped(docs), F.col(f"`{source}`").alias("_from"),
-                        mix_key(seed).alias("_key"), n_words("text").alias("_size"))
-    joined = keyed.join(cuts, F.col("_from").eqNullSafe(F.col("_source")))
+        F.min(F.when(F.col("due") < F.col("all"), F.struct("key", "due", "n"))).alias("_cut")), "cuts")
+    keys = [F.col(f"`{source}`").alias("_from"), mix_key(seed).alias("_key"),
+            n_words("text").alias("_size")]
+    same_source = F.col("_from").eqNullSafe(F.col("_source"))
+    at_cut = F.col("_key") == F.col("_cut.key")
+    due = F.col("_cut.due")
+    if cuts.filter("_cut.n > 1").isEmpty():
+        keyed = docs.select(wrapped(docs), *keys)
+    else:
+        docs = stored(docs)
+        order = hash60(F.col("_row").cast("string")).alias("_order")
+        keyed = numbered(docs, wrapped(docs), *keys).withColumn("_order", order)
+        tied = materialise(keyed.join(cuts, same_source & at_cut & (F.col("_cut.n") > 1)).select(
+            "_source", "_order", "_row", "_size", "_cut.due", "_cut.n"), "tied")
+        placed = running_sum(tied, ["_source"], "_order", "_size", ["_row"], "n", "_before")
+        left = F.greatest(F.lit(0).cast("long"), F.col("due") - F.col("_before"))
+        ties = placed.filter(left < F.col("_size")).groupBy(F.col("_source").alias("_of")).agg(
+            F.min(F.struct("_order", "_row", left.alias("due"))).alias("_tie"))
+        cuts = materialise(cuts.join(ties, F.col("_source").eqNullSafe(F.col("_of")), "left")
+                           .drop("_of"), "cuts")
+        ahead = F.struct("_order", "_row")
+        tie = F.struct("_tie._order", "_tie._row")
+        due = F.when(F.col("_tie").isNull(), due).when(ahead < tie, F.col("_size")) \
+            .when(ahead == tie, F.col("_tie.due")).otherwise(F.lit(0))
+    joined = keyed.join(cuts, same_source)
     last = F.when(F.col("_cut").isNull() | (F.col("_key") < F.col("_cut.key")), F.col("_size")) \
-        .when(F.col("_key") == F.col("_cut.key"), F.col("_cut.due")).otherwise(F.lit(0))
+        .when(at_cut, due).otherwise(F.lit(0))
     takes = F.filter(F.concat(F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")),
                               F.array(last.cast("long"))), lambda n: n > 0)
     each = joined.select("doc", "_size", F.explode(takes).alias("_take"))

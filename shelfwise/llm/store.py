@@ -10,6 +10,7 @@ import os
 from collections.abc import Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ from shelfwise.session import shared_dir
 #: Separators of the words in all contracts: space, tab, line feed, \x0b, \x0c, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SEPARATOR_PATTERN = "[\\x20\\x09-\\x0D]+"
+#: log2 of the rows that a file may have.
+FILE_BITS = 33
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -75,6 +78,38 @@ def wrapped(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
 
 
+def _place(df: DataFrame) -> list[Column]:
+    meta = df.metadataColumn("_metadata")
+    return [meta["file_path"].alias("_file"), meta["row_index"].alias("_index")]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, if each of its rows has a place of its own in a Parquet file, else a copy where it has."""
+    try:
+        places = df.select(*_place(df))
+    except AnalysisException:
+        return materialise(df, "rows")
+    # A join or an explode above the scan may repeat a place.
+    often = places.groupBy(F.xxhash64("_file"), "_index").count().filter("count > 1")
+    return df if often.isEmpty() else materialise(df, "rows")
+
+
+def numbered(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns with _row, a number that the file and the place in it fix; of a `stored` df.
+
+    However later scans are cut into partitions, a row has the same number in all of them. Rows
+    stay in the order of the scan: the files' numbers, a line per file, are broadcast.
+    """
+    placed = df.select(*columns, *_place(df))
+    names = sorted(r[0] for r in placed.select("_file").distinct().collect())
+    files = materialise(from_rows(df.sparkSession, list(enumerate(names)),
+                                  "_number long, _path string"), "files")
+    lost = F.raise_error(F.concat(F.lit("no number for "), F.col("_file"))).cast("bigint")
+    number = F.coalesce(F.shiftleft("_number", FILE_BITS) + F.col("_index"), lost)
+    return placed.join(F.broadcast(files), F.col("_file") == F.col("_path"), "left").select(
+        *[F.col(f"`{c}`") for c in placed.columns[:-2]], number.alias("_row"))
+
+
 def needs(df: DataFrame, *columns: str) -> DataFrame:
     """Just the named columns, by exact name; a missing one is an error that says so."""
     missing = [c for c in columns if c not in df.columns]

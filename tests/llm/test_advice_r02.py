@@ -1,12 +1,13 @@
 """Places where operators once did less than the whole job."""
 
+from collections import Counter
 from itertools import combinations
 
 import plain
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination
+from shelfwise.llm import decontamination, mixing, store
 
 ITEM = [f"item{i}" for i in range(13)]
 
@@ -33,3 +34,44 @@ def test_two_changed_words_of_13_never_hide_a_copy(spark):
     assert {(r.doc_id, r.doc_word, r.equal_words) for r in got} \
         == {(d, int(d.split()[0]), 11) for d, _ in rows if d != "three"}
     assert {d for d, t in rows if plain.overlaps(t, " ".join(ITEM))} == {r.doc_id for r in got}
+
+
+@pytest.mark.parametrize("share", [33, 150, 171])
+def test_mixed_rows_repeated_at_the_cut(spark, tmp_path, share):
+    """Each source comes with the words of its mixture, also where all of its rows are one."""
+    rows = [(i, s, t) for s, i, t, n in [
+        ("a", 1, "one two three four five six seven", 1000), ("b", None, "some words of b", 77),
+        ("b", 5, "others", 3), (None, None, "no source at all", 10)] for _ in range(n)]
+    rows += [(k, "c", f"text {k} of c") for k in range(50)] + [(None, "a", None), (None, "b", "")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5) \
+        .write.parquet(path)
+    files = spark.read.parquet(path)
+    for docs in (files, files.unionAll(files)):
+        mixture = mixing.mix(docs, share=share)
+        got = Counter((r.source, len(plain.words(r.text)))
+                      for r in mixing.mixed_documents(docs, mixture).collect())
+        want = Counter()
+        for r in mixture.collect():
+            want[r.source, r.size] += r.epochs
+            want[r.source, r.taken - r.epochs * r.size] += 1
+        assert got == Counter({k: n for k, n in want.items() if n and k[1]})
+
+
+def test_row_numbers_do_not_depend_on_the_scan(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(5000).selectExpr("id doc_id", "repeat(cast(id as string), 200) text") \
+        .repartition(3).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before, seen, parts = spark.conf.get(setting), [], set()
+    try:
+        for size in ("128m", "50k"):
+            spark.conf.set(setting, size)
+            docs = store.stored(spark.read.parquet(path))
+            rows = store.numbered(docs, "doc_id")
+            parts.add(rows.select(F.spark_partition_id()).distinct().count())
+            seen.append(sorted(map(tuple, rows.collect())))
+    finally:
+        spark.conf.set(setting, before)
+    assert len(parts) == 2 and seen[0] == seen[1]
+    assert len({row for _, row in seen[0]}) == 5000
