@@ -26,8 +26,8 @@ with each other. Equal rows of a block of documents enter once.
 Defined results: texts without words and null texts have no n-grams and link to nothing; so do
 rows without id, whose component is null; rows that repeat an id link by their texts like any
 others; an empty table gives an empty result; extra columns are ignored. N-grams are compared by
-64-bit hashes. The documents must be a stored table, or a plan that yields the same rows in the
-same partitions and order whenever it is run: rows are named by that place.
+64-bit hashes. Rows are named by their file and the place in it, which no cut of a scan changes;
+documents that are not rows of Parquet files are written to such files first.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import blocks as B
 from shelfwise.llm.components import components
-from shelfwise.llm.store import materialise, needs, workers_import, wrapped
+from shelfwise.llm.store import materialise, needs, numbered, stored, workers_import, wrapped
 from shelfwise.llm.text import (Words, binary, joined, lengths, mix, slices, text_bytes,
                                 whole_windows, windows)
 
@@ -125,8 +125,8 @@ def incidence(table: pa.Table, usable: np.ndarray | None = None,
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind 0: an n-gram and its count in a block. kind 1: row, doc_id, size, first equal row."""
-    names = ["kind", "a", "b", "c", "d"]
+    """kind 0: an n-gram and its count in a block. kind 1: row, doc_id, size."""
+    names = ["kind", "a", "b", "c"]
     for _, table in B.per_block(batches, 0):
         ids, numbers = table["doc_id"].combine_chunks(), table["_row"].to_numpy()
         valid = np.array(ids.is_valid())
@@ -140,10 +140,10 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = every[first[often]].view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(found), np.int32)), pa.array(found), pa.array(counts[often]),
-             pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], names=names)
+             pa.nulls(len(found), pa.int64())], names=names)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(len(table), np.int32)), pa.array(numbers), ids,
-             pa.array(rows.sizes.astype(np.int64)), pa.array(numbers[rows.first])], names=names)
+             pa.array(rows.sizes.astype(np.int64))], names=names)
 
 
 def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +181,9 @@ def prefix(n: np.ndarray, ratio: int) -> np.ndarray:
 def _entries(shipped, n: int):
     """Prefix n-grams of a block's different rows, a row for each column block.
 
-    sizes: the row's size times len(RATIOS), plus the first of its prefixes with the n-gram.
+    sizes: the row's size times len(RATIOS), plus the first of its prefixes with the n-gram. A row
+    without keys has the block's other rows, and as sizes the rows that these are equal to: which
+    of equal rows enters is told where it is decided, as another scan may cut a block in two.
     """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = shipped.value
@@ -198,13 +200,25 @@ def _entries(shipped, n: int):
             got = B.bucket_rows(block, rows.grams[chosen],
                                 [number[owner].astype(np.uint16),
                                  (n_grams[owner] * len(RATIOS) + part).astype(np.uint32)], n)
+            equal = np.flatnonzero(valid & ~use)
+            if len(equal):
+                got.append((block % n, block, np.zeros(0, np.uint64), number[equal].astype(np.uint16),
+                            number[rows.first[equal]].astype(np.uint32)))
             yield from B.to_table(got, ["bucket", "block", "keys", "rows", "sizes"]).to_batches()
     return emit
 
 
 def _columns(table: pa.Table) -> pa.Table:
     """column, row, size of the row, the first of its prefixes with this column, how many columns
-    have these same rows, and how many rows."""
+    have these same rows, and how many rows. Part -1: row and, as column, the row it is equal to."""
+    entered = lengths(table["keys"], 8) > 0
+    told = table.filter(pa.array(~entered))
+    table = table.filter(pa.array(entered))
+    above = np.repeat(told["block"].to_numpy() << B.BLOCK_BITS, lengths(told["rows"], 2))
+    equal = above | joined(told["rows"], np.uint16).astype(np.int64)
+    first_equal = above | joined(told["sizes"], np.uint32).astype(np.int64)
+    none = np.zeros(len(equal), np.int64)
+    links = (first_equal, equal, none, none - 1, none, none)
     grams, block = B.entries(table, "keys", np.uint64)
     row = (block << B.BLOCK_BITS) | joined(table["rows"], np.uint16).astype(np.int64)
     size = joined(table["sizes"], np.uint32).astype(np.int64)
@@ -226,7 +240,7 @@ def _columns(table: pa.Table) -> pa.Table:
     times, rows = B.spread(first, times, len(grams)), B.spread(first, rows, len(grams))
     stay = times > 0
     found = (grams.view(np.int64), row, size // len(RATIOS), size % len(RATIOS), times, rows)
-    return pa.table([pa.array(x[stay]) for x in found],
+    return pa.table([pa.array(np.concatenate([x[stay], y])) for x, y in zip(found, links, strict=True)],
                     names=["column", "row", "size", "part", "times", "rows"])
 
 
@@ -339,12 +353,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     workers_import(spark)
-    docs = B.numbered(needs(docs, "doc_id", "text")).select(
-        "_row", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = materialise(docs.mapInArrow(_facts, "kind int, a long, b long, c long, d long"), "facts")
+    docs = numbered(stored(needs(docs, "doc_id", "text")),
+                    F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .select("_row", "doc_id", "text")
+    facts = materialise(docs.mapInArrow(_facts, "kind int, a long, b long, c long"), "facts")
     rows = facts.filter("kind = 1").select(
-        F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"),
-        F.col("d").alias("first"))
+        F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"))
     shipped = spark.sparkContext.broadcast(_frequent(facts.filter("kind = 0").select("a", "b")))
     entries = materialise(
         docs.mapInArrow(_entries(shipped, B.buckets(spark)),
@@ -352,6 +366,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .groupBy("bucket").applyInArrow(
             _columns, "column long, row long, size long, part long, times long, rows long"),
         "columns")
+    found = entries.filter("part < 0").select(F.col("row").alias("a"), F.col("column").alias("b"))
+    entries = entries.filter("part >= 0")
     company = entries.groupBy(F.col("row").alias("_r")).agg(
         (F.sum(F.col("times") * (F.col("rows") - 1)) / F.max("size")).alias("_company"))
     # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
@@ -359,8 +375,6 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
     entries = materialise(entries.join(company, F.col("row") == F.col("_r")).select(
         "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
-    found = rows.filter((F.col("row") != F.col("first")) & F.col("doc_id").isNotNull()) \
-        .select(F.col("row").alias("a"), F.col("first").alias("b"))
     found = found.unionAll(_linked(docs, materialise(_hub_pairs(entries), "pairs")))
     entries = _open_columns(entries, components(found))
     found = found.unionAll(_linked(docs, materialise(_other_pairs(entries), "pairs")))
@@ -383,7 +397,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs without the others of their component, in the columns of docs."""
+    docs = stored(docs)
     gone = materialise(similar_documents(docs).filter(~F.col("kept")).select(
         F.col("row").alias("_gone")), "copies")
-    numbered = B.numbered(docs.select(wrapped(docs)))
-    return numbered.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("doc.*")
+    rows = numbered(docs, wrapped(docs))
+    return rows.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("doc.*")

@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, mixing, store
+from shelfwise.llm import decontamination, jaccard, mixing, store
 
 ITEM = [f"item{i}" for i in range(13)]
 
@@ -75,3 +75,39 @@ def test_row_numbers_do_not_depend_on_the_scan(spark, tmp_path):
         spark.conf.set(setting, before)
     assert len(parts) == 2 and seen[0] == seen[1]
     assert len({row for _, row in seen[0]}) == 5000
+
+
+def test_similar_documents_whatever_cut_each_scan_has(spark, tmp_path, monkeypatch):
+    """As if executors came and went: every scan is cut into partitions of another size."""
+    texts = [" ".join(f"t{k // 3}w{i}x{k % 3 if i > 55 else 0}" for i in range(60)) for k in range(600)]
+    texts += texts[100:400]
+    path, setting = str(tmp_path / "documents.parquet"), "spark.sql.files.maxPartitionBytes"
+    spark.createDataFrame([((k * 7919) % 10_007, t) for k, t in enumerate(texts)],
+                          "doc_id long, text string").repartition(2) \
+        .write.option("parquet.block.size", 16 * 1024).parquet(path)
+    docs = spark.read.parquet(path)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    before, sizes = spark.conf.get(setting), ["128m", "20k", "7k"]
+    write = jaccard.materialise
+
+    def recut():
+        spark.conf.set(setting, sizes[0])
+        sizes.append(sizes.pop(0))
+
+    def elsewhere(df, purpose):
+        recut()
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard, "materialise", elsewhere)
+    try:
+        recut()
+        found = jaccard.similar_documents(docs)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
+        left = jaccard.one_of_each(docs)
+        recut()
+        ids = sorted(r.doc_id for r in left.collect())
+    finally:
+        spark.conf.set(setting, before)
+    want = plain.components(rows)
+    assert got == sorted((d, *w) for (d, _), w in zip(rows, want))
+    assert ids == sorted({c for _, c in want})
