@@ -2,10 +2,9 @@
 
 Seeds are the spans that fixed rules find (addresses, numbers that pass their checks). The two
 words to the left of a seed form a lexical pattern. Every pattern extracts instances: words with
-digits or an @ that follow it, seeds or not. Patterns and instances form a graph which Spark
-scores in rounds: a pattern is as good as the instances it extracts, an unknown instance as good
-as its best pattern. Patterns that end up sure, with enough different seeds, then name the
-unknown instances behind them as personal data too.
+digits or an @ that follow it, seeds or not. A pattern is as good as the share of seeds among the
+instances it extracts. Patterns that are sure, with enough different seeds, then name the unknown
+instances behind them as personal data too.
 
 A text is read once, in Arrow batches; only spans and the words around them leave that scan.
 
@@ -40,7 +39,6 @@ _BARE = re.compile(r"^\W+|\W+$")
 LEARNED = "learned"
 #: Digits that an unknown word needs to be an instance.
 MIN_DIGITS = 5
-ROUNDS = 3
 MIN_CONFIDENCE = 0.8
 #: Different seeds behind a pattern before it may name unknown words.
 MIN_SEEDS = 5
@@ -154,27 +152,18 @@ def extract(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(read, f"doc_id {kinds}, spans {SPANS}, seen {SEEN}")
 
 
-def sure_patterns(edges: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+def sure_patterns(edges: DataFrame, min_confidence: float = MIN_CONFIDENCE,
                   min_seeds: int = MIN_SEEDS) -> DataFrame:
     """Patterns to trust, from rows of pattern, instance, seed.
 
-    All groups are sums and maxima, combined before the shuffle. Patterns without enough seeds
-    can never be trusted, so their edges leave the graph first.
+    All groups are sums and maxima, combined before the shuffle. A pattern's confidence is the
+    share of seeds among its instances; an unknown instance is no evidence for the pattern that
+    extracts it.
     """
     graph = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    usable = graph.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds")) \
-        .filter(F.col("seeds") >= min_seeds).select("pattern")
-    graph = materialise(graph.join(usable, "pattern", "left_semi"), "patterns")
-    scores = graph.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = materialise(
-            graph.join(scores, "instance").groupBy("pattern")
-            .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"),
-                 F.sum(F.col("seed").cast("int")).alias("seeds")), "patterns")
-        scores = graph.join(patterns, "pattern").groupBy("instance").agg(
-            F.max(F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("confidence"))).alias("score"))
-    return patterns.filter((F.col("confidence") >= min_confidence)
+    patterns = graph.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"),
+                                            F.count(F.lit(1)).alias("n"))
+    return patterns.filter((F.col("seeds") / (F.col("n") + 1) >= min_confidence)
                            & (F.col("seeds") >= min_seeds)).select("pattern")
 
 

@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, jaccard, mixing, store
+from shelfwise.llm import decontamination, jaccard, mixing, personal, store
 
 ITEM = [f"item{i}" for i in range(13)]
 
@@ -111,3 +111,19 @@ def test_similar_documents_whatever_cut_each_scan_has(spark, tmp_path, monkeypat
     want = plain.components(rows)
     assert got == sorted((d, *w) for (d, _), w in zip(rows, want))
     assert ids == sorted({c for _, c in want})
+
+
+def _learned(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = personal.digest(personal.find_personal(docs)).collect()
+    texts = dict(rows)
+    spans = [(r.doc_id, s.split(":")) for r in found for s in r.spans.split(",")]
+    return {(d, texts[d][int(s[1]):int(s[2])]) for d, s in spans if s[0] == "learned"}
+
+
+def test_unknown_instances_are_no_evidence_for_their_own_pattern(spark):
+    """As many plain numbers as seeds behind a pattern, then few enough of them."""
+    rows = [(i, f"the code is +1 702 555 {1000 + i} here") for i in range(20)]
+    rows += [(100 + i, f"the code is {5_000_000 + 37 * i} here") for i in range(20)]
+    assert _learned(spark, rows) == set()
+    assert _learned(spark, rows[:22]) == {(100, "5000000"), (101, "5000037")}
