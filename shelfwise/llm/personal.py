@@ -2,9 +2,11 @@
 
 Seeds are the spans that fixed rules find (addresses, numbers that pass their checks). The two
 words to the left of a seed form a lexical pattern. Every pattern extracts instances: words with
-digits or an @ that follow it, seeds or not. A pattern is as good as the share of seeds among the
-instances it extracts. Patterns that are sure, with enough different seeds, then name the unknown
-instances behind them as personal data too.
+digits or an @ that follow it, digit groups in a row as one, seeds or not. Patterns and instances
+form a graph which Spark scores in rounds: a pattern is as good as the instances it extracts, and
+an unknown instance as good as the best pattern that was sure of it before. Patterns that end up
+sure, with enough different seeds or instances found before, then name the unknown instances
+behind them as personal data too.
 
 A text is read once, in Arrow batches; only spans and the words around them leave that scan.
 
@@ -16,6 +18,7 @@ points, the end is exclusive.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -35,12 +38,18 @@ _MAIL_LEFT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BARE = re.compile(r"^\W+|\W+$")
+_MARK = re.compile(r"[0-9@]")
+_LEFT_SIGNS = re.compile(r"^[^\w@]+")
+_RIGHT_SIGNS = re.compile(r"[^\w@]+\Z")
+_INSIDE = re.compile(r"\w")
+_LETTER = re.compile(r"[^\W\d_]|@")
 #: Kind of the spans that patterns add.
 LEARNED = "learned"
-#: Digits that an unknown word needs to be an instance.
-MIN_DIGITS = 5
+#: A word that ends with one of these ends a run of digit groups.
+STOPS = ",;:.!?"
+ROUNDS = 3
 MIN_CONFIDENCE = 0.8
-#: Different seeds behind a pattern before it may name unknown words.
+#: Different seeds, or instances found in earlier rounds, behind a pattern before it may name unknown words.
 MIN_SEEDS = 5
 #: Characters looked at to the left for the two words of a pattern.
 CONTEXT = 120
@@ -97,9 +106,12 @@ def _pattern(text: str, start: int) -> str | None:
 
 
 def _unknown(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Words with MIN_DIGITS digits that touch no span, without the signs around them."""
-    after = 0
-    for d in _DIGIT.finditer(text):
+    """Words with digits or an @ that touch no span, without the signs around them.
+
+    Words of digits and signs in a row on one line, up to a word that ends with a stop, are one.
+    """
+    after, k, reach, run = 0, 0, 0, None
+    for d in _MARK.finditer(text):
         if d.start() < after:
             continue
         low = d.start()
@@ -108,13 +120,33 @@ def _unknown(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int
         high = d.end()
         while high < len(text) and not text[high].isspace():
             high += 1
-        after = high
+        gap, after = text[after:low], high
         bare = text[low:high]
-        low += len(bare) - len(re.sub(r"^\W+", "", bare))
-        high -= len(bare) - len(re.sub(r"\W+$", "", bare))
-        if sum(c in "0123456789" for c in text[low:high]) >= MIN_DIGITS \
-                and not any(s < high and e > low for s, _, e in spans):
+        low += len(bare) - len(_LEFT_SIGNS.sub("", bare))
+        high -= len(bare) - len(_RIGHT_SIGNS.sub("", bare))
+        while k < len(spans) and spans[k][0] < high:
+            reach = max(reach, spans[k][2])
+            k += 1
+        if run and (reach > low or _LETTER.search(text, low, high) or not gap.isspace()
+                    or "\n" in gap or "\r" in gap):
+            yield run
+            run = None
+        if reach > low or not _INSIDE.search(text, low, high):
+            continue
+        if _LETTER.search(text, low, high):
             yield low, high
+        else:
+            run = (run[0] if run else low, high)
+            if text[after - 1] in STOPS:
+                yield run
+                run = None
+    if run:
+        yield run
+
+
+def _name(text: str) -> str:
+    """An instance as the graph knows it: a long one by a hash."""
+    return text if len(text) <= CONTEXT else hashlib.sha256(text.encode()).hexdigest()
 
 
 SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
@@ -140,9 +172,9 @@ def extract(docs: DataFrame) -> DataFrame:
                 found = base_spans(text)
                 spans.append([{"start": s, "rank": k, "end": e} for s, k, e in found])
                 ends = [(s, e, True) for s, _, e in found]
-                if _DIGIT.search(text):
+                if _MARK.search(text):
                     ends += [(s, e, False) for s, e in _unknown(text, found)]
-                around = [(_pattern(text, s), text[s:e], seed, s, e) for s, e, seed in ends]
+                around = [(_pattern(text, s), _name(text[s:e]), seed, s, e) for s, e, seed in ends]
                 seen.append([{"pattern": p, "instance": w, "seed": seed, "start": s, "end": e}
                              for p, w, seed, s, e in around if p])
             yield pa.RecordBatch.from_arrays(
@@ -152,19 +184,40 @@ def extract(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(read, f"doc_id {kinds}, spans {SPANS}, seen {SEEN}")
 
 
-def sure_patterns(edges: DataFrame, min_confidence: float = MIN_CONFIDENCE,
+def sure_patterns(edges: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
                   min_seeds: int = MIN_SEEDS) -> DataFrame:
     """Patterns to trust, from rows of pattern, instance, seed.
 
-    All groups are sums and maxima, combined before the shuffle. A pattern's confidence is the
-    share of seeds among its instances; an unknown instance is no evidence for the pattern that
-    extracts it.
+    All groups are sums and maxima, combined before the shuffle. An unknown instance behind a
+    pattern that became sure counts in the next rounds as much as that pattern's confidence, and
+    as one of the seeds, for the patterns that are not sure yet: no evidence goes in a circle.
     """
     graph = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    patterns = graph.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"),
-                                            F.count(F.lit(1)).alias("n"))
-    return patterns.filter((F.col("seeds") / (F.col("n") + 1) >= min_confidence)
-                           & (F.col("seeds") >= min_seeds)).select("pattern")
+    seeds = F.sum(F.col("seed").cast("int")).alias("seeds")
+    # Fewer instances than seeds needed, known or not, can never do.
+    sizes = materialise(graph.groupBy("pattern").agg(seeds, F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") >= min_seeds), "patterns")
+    graph = materialise(graph.filter(~F.col("seed")).join(sizes, "pattern", "left_semi")
+                        .select("pattern", "instance"), "instances")
+    scored = sizes.select("*", F.col("seeds").cast("double").alias("score"))
+    sure = known = None
+    for k in range(rounds):
+        new = scored.withColumn("confidence", F.col("score") / (F.col("n") + 1)).filter(
+            (F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds)) \
+            .select("pattern", "confidence")
+        new = materialise(new if sure is None else new.join(sure, "pattern", "left_anti"), "sure")
+        sure = new if sure is None else sure.unionAll(new)
+        if k + 1 == rounds or new.isEmpty():
+            break
+        found = graph.join(new, "pattern").select("instance", "confidence")
+        known = materialise((found if known is None else found.unionAll(known)).groupBy("instance")
+                            .agg(F.max("confidence").alias("confidence")), "promoted")
+        more = graph.join(known, "instance").groupBy("pattern").agg(
+            F.sum("confidence").alias("_more"), F.count(F.lit(1)).alias("_known"))
+        scored = sizes.join(more, "pattern", "left").select(
+            "pattern", (F.col("seeds") + F.coalesce("_known", F.lit(0))).alias("seeds"), "n",
+            (F.col("seeds") + F.coalesce("_more", F.lit(0.0))).alias("score"))
+    return sure.select("pattern")
 
 
 def find_personal(docs: DataFrame) -> DataFrame:

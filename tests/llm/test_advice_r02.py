@@ -127,3 +127,29 @@ def test_unknown_instances_are_no_evidence_for_their_own_pattern(spark):
     rows += [(100 + i, f"the code is {5_000_000 + 37 * i} here") for i in range(20)]
     assert _learned(spark, rows) == set()
     assert _learned(spark, rows[:22]) == {(100, "5000000"), (101, "5000037")}
+
+
+def test_found_identifiers_lead_to_further_patterns(spark):
+    rows = [(i, f"please call me at +1 702 555 {1000 + i} or write") for i in range(400)]
+    rows += [(500 + i, f"then call me at 70255{500 + i} and later") for i in range(20)]
+    rows += [(600 + i, f"my other line 70255{500 + i} works too") for i in range(20)]
+    rows += [(700, "my other line 9911223 works too"), (800, "the page number 9911223 is torn")]
+    got = _learned(spark, rows)
+    assert got == {(d, t) for d, text in rows if 500 <= d <= 700
+                   for t in text.split() if t.isdigit()}
+
+
+def test_instances_are_whole_identifiers(spark):
+    rows = [(i, f"please call me at +1 702 555 {1000 + i} or write") for i in range(60)]
+    ends = ["702 555 9999", "(702) 555-9998", "4111 1111 1111 1112", "1234", "@some_name", "AB12 CD34",
+            "702 555 9997. 20 people", "702 555 9996\n12 more"]
+    rows += [(100 + k, f"now call me at {e} today") for k, e in enumerate(ends)]
+    assert _learned(spark, rows) == {
+        (100, "702 555 9999"), (101, "702) 555-9998"), (102, "4111 1111 1111 1112"), (103, "1234"),
+        (104, "@some_name"), (105, "AB12"), (106, "702 555 9997"), (107, "702 555 9996")}
+
+
+def test_runs_keep_off_the_spans_of_rules():
+    text = "at 10.0.0.1 55 a@b.org 66 77 x@ _ 1_2 @ 88"
+    found = list(personal._unknown(text, personal.base_spans(text)))
+    assert [text[s:e] for s, e in found] == ["55", "66 77", "x@", "1_2", "88"]
