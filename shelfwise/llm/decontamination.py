@@ -7,8 +7,9 @@ a window of 13 words has at most two different ones. Whichever two of its 13 wor
 mask at one place in the window looks at none of them, so no such window is missed.
 
 Words are lower-cased runs of letters and digits, so case, punctuation and ornaments between
-words do not hide a copy. The benchmark is broadcast in blocks of at most BLOCK_WORDS words,
-however large it is: each block is one scan of the documents and one round of the same plan.
+words do not hide a copy. The benchmark is broadcast in blocks of about BLOCK_WORDS positions,
+however large it or one of its items is: a position goes with the few words that its windows may
+have, and each block is one scan of the documents and one round of the same plan.
 
 Only built-in expressions run here. Defined results: null or empty texts on either side match
 nothing; benchmark items of fewer than 13 words hold no window and match nothing; a document
@@ -33,9 +34,12 @@ STRIDE = 1
 WINDOW = 13
 #: Equal words that a window needs.
 MIN_EQUAL = 11
-#: Benchmark words broadcast at once (each costs about 100 bytes on every executor).
+#: Benchmark positions broadcast at once; each is a row of at most REACH words for each mask, or
+#: some 500 bytes on every executor, whatever the length of its item.
 BLOCK_WORDS = 300_000
-#: Documents are cut into pieces of so many window starts, which every probe carries along.
+#: Words that the windows around one seed may have.
+REACH = 2 * WINDOW - SPAN
+#: Texts are cut into pieces of so many window starts, which every probe carries along.
 PIECE = 64
 
 
@@ -64,6 +68,30 @@ def _hashed(texts: DataFrame, *keep: str) -> DataFrame:
     return words.select(*keep, F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"))
 
 
+def _pieces(hashed: DataFrame, *keep: str) -> DataFrame:
+    """Every text in pieces of the windows that start in PIECE words: each window is in just one.
+
+    Each step on a piece is a projection or an outer explode of its own: a filter above, or the
+    filter that an inner explode implies, would have the steps below it done twice.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(PIECE))
+    return hashed.select(*keep, F.posexplode_outer(F.transform(
+        starts, lambda s: F.slice("_h", s + 1, PIECE + WINDOW - 1))).alias("_piece", "_h"))
+
+
+def _targets(benchmark: DataFrame) -> DataFrame:
+    """_block (a hash), item_id, _seed, _item, _to: the words around every seed, and its place there."""
+    items = _hashed(benchmark, "item_id").filter(F.size("_h") >= WINDOW).distinct()
+    seeded = _pieces(items, "item_id").select("item_id", "_piece", "_h", _seeds("_h", 1).alias("_seeds"))
+    each = seeded.select("item_id", "_piece", "_h", F.posexplode_outer("_seeds").alias("_j", "_seed"))
+    at = F.expr(f"_j div {len(MASKS)}").cast("int")
+    first = F.greatest(at - (WINDOW - SPAN), F.lit(0))
+    around = F.slice("_h", first + 1, at - first + WINDOW)
+    return each.filter(F.col("_seed").isNotNull()).select(
+        F.xxhash64("item_id", "_piece", "_j", "_h").alias("_block"), "item_id", "_seed",
+        around.alias("_item"), (at - first).alias("_to"))
+
+
 def _equal_at(shift: int) -> Column:
     """Equal words of document and item in the window that starts `shift` before the hit."""
     at, to = F.col("_at") - shift, F.col("_to") - shift
@@ -82,31 +110,20 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame,
     most equal words in a window.
     """
     docs, benchmark = needs(docs, "doc_id", "text"), needs(benchmark, "item_id", "text")
-    items = materialise(_hashed(benchmark, "item_id").filter(F.size("_h") >= WINDOW)
-                        .select(F.xxhash64("item_id", "_h").alias("_block"), "item_id",
-                                F.col("_h").alias("_item")), "benchmark")
-    total = items.agg(F.sum(F.size("_item"))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
+    targets = materialise(_targets(benchmark), "benchmark")
+    blocks = max(1, -(-targets.count() // (block_words * len(MASKS))))
     hashed = _hashed(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
                      "doc_id", "text_key")
-    # A piece holds every window that starts in its PIECE words, so each window lies in one piece.
-    # Each step is a projection or an outer explode of its own: a filter above, or the filter that
-    # an inner explode implies, would have the steps below it done twice.
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(PIECE))
-    pieces = hashed.select("doc_id", "text_key", F.posexplode_outer(F.transform(
-        starts, lambda s: F.slice("_h", s + 1, PIECE + WINDOW - 1))).alias("_piece", "_h"))
+    pieces = _pieces(hashed, "doc_id", "text_key")
     seeded = pieces.select("doc_id", "text_key", "_piece", "_h", _seeds("_h", STRIDE).alias("_seeds"))
     probes = seeded.select("doc_id", "text_key", "_piece", "_h",
                            F.posexplode_outer("_seeds").alias("_i", "_seed"))
     found = []
     for block in range(blocks):
-        part = items.filter(F.pmod("_block", F.lit(blocks)) == block)
-        targets = part.select("item_id", "_item", _seeds("_item", 1).alias("_seeds")) \
-            .select("item_id", "_item", F.posexplode_outer("_seeds").alias("_j", "_seed"))
-        hits = probes.join(F.broadcast(targets), "_seed").select(
+        part = targets.filter(F.pmod("_block", F.lit(blocks)) == block).drop("_block")
+        hits = probes.join(F.broadcast(part), "_seed").select(
             "doc_id", "text_key", "_piece", "item_id", "_h", "_item",
-            (F.expr(f"_i div {len(MASKS)}") * STRIDE).cast("int").alias("_at"),
-            F.expr(f"_j div {len(MASKS)}").cast("int").alias("_to"))
+            (F.expr(f"_i div {len(MASKS)}") * STRIDE).cast("int").alias("_at"), "_to")
         around = F.array(*[F.struct(_equal_at(s).alias("n"), (F.col("_at") - s).alias("at"))
                            for s in range(WINDOW - SPAN + 1)])
         # Exploded before it is filtered, or the test would become part of the join.

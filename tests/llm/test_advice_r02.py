@@ -153,3 +153,30 @@ def test_runs_keep_off_the_spans_of_rules():
     text = "at 10.0.0.1 55 a@b.org 66 77 x@ _ 1_2 @ 88"
     found = list(personal._unknown(text, personal.base_spans(text)))
     assert [text[s:e] for s, e in found] == ["55", "66 77", "x@", "1_2", "88"]
+
+
+def _windows(a, b):
+    """The first window of a that some window of b is like, and the most equal words; or None."""
+    counts = [(i, sum(map(str.__eq__, a[i:i + 13], b[j:j + 13])))
+              for i in range(len(a) - 12) for j in range(len(b) - 12)]
+    like = [c for c in counts if c[1] >= 11]
+    return (min(i for i, _ in like), max(n for _, n in like)) if like else None
+
+
+def test_long_items_are_broadcast_by_their_seeds(spark, monkeypatch):
+    """No row carries more than the words around its seed, and blocks share one long item."""
+    words = [f"b{i}" for i in range(1500)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words)), (2, " ".join(words[:40]))],
+                                  "item_id long, text string")
+    rows = [(k, " ".join(["x"] * (k % 70) + words[k:k + 13])) for k in (0, 27, 28, 63, 64, 65, 130, 1487)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sent = []
+    monkeypatch.setattr(decontamination.F, "broadcast",
+                        lambda df, whole=F.broadcast: sent.append(df) or whole(df))
+    got = decontamination.benchmark_overlaps(docs, bench, 150).collect()
+    want = [(k, i, *found) for k, t in rows for i, item in ((1, words), (2, words[:40]))
+            if (found := _windows(t.split(), item))]
+    assert sorted((r.doc_id, r.item_id, r.doc_word, r.equal_words) for r in got) == sorted(want)
+    sizes = [df.select("_item").agg(F.count("_item"), F.max(F.size("_item"))).first() for df in sent]
+    assert len(sizes) > 5 and max(n for n, _ in sizes) < 2 * 300
+    assert max(w for _, w in sizes) <= 16
