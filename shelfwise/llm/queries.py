@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (decontamination, jaccard, language, mixing, personal, quality,
-                           secrets_scan, sharding, substrings, toxicity)
+                           resampling, secrets_scan, sharding, simhash, substrings, toxicity,
+                           vector_codes)
 from shelfwise.llm.samples import held_out
 from shelfwise.llm.store import table
 
@@ -64,7 +65,22 @@ def op10_jaccard(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.encode(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
+def op13_resampling(spark, sf_dir):
+    return resampling.resample(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_language, op2_quality, op3_toxicity, op4_mixing, op5_sharding, op6_substrings,
-        op7_decontamination, op8_secrets, op9_personal, op10_jaccard)}
+        op7_decontamination, op8_secrets, op9_personal, op10_jaccard, op11_vector_codes, op12_simhash,
+        op13_resampling)}

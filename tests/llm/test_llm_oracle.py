@@ -18,6 +18,9 @@ COLUMNS = {
     8: ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     9: ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     10: ["doc_id", "n_shingles", "component_id"],
+    11: ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    12: ["doc_id", "fingerprint", "component_id"],
+    13: ["doc_id", "n_features", "weight", "score", "rank"],
 }
 
 
