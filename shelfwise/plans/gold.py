@@ -70,28 +70,51 @@ def aging_profile(ageing: DataFrame, by: list[str] | None = None) -> DataFrame:
         "units", "value")
 
 
+def sku_numbers(df: DataFrame) -> DataFrame:
+    """product_no, sku: numbers that are dense within each range of products.
+
+    Every task numbers its own sorted range, so nothing passes through one task and a lost range
+    gets its numbers again.
+    """
+    return df.select("product_no").distinct().orderBy("product_no").select(
+        "product_no", F.monotonically_increasing_id().alias("sku"))
+
+
 def aging_cube(ageing: DataFrame) -> DataFrame:
-    """G2 over brand, warehouse, category and overall at once (GROUPING SETS).
+    """G2 over brand, warehouse, category and overall at once (GROUPING SETS), with SKU counts.
 
-    `dimension` names the set, `member` its value. Rows are summed up over all three first, so
-    the sets multiply a few cells and not the table.
+    `dimension` names the set, `member` its value. Distinct products are exact: a cell holds a
+    bitmap over a page of dense product numbers, and bitmaps of cells are merged, so the sets
+    multiply cells and not the table. Warehouses have cells of their own, as cells of all three
+    dimensions at once would be about as many as rows.
     """
-    cells = ageing.groupBy("brand", "warehouse", "category", "aging_bucket").agg(
-        F.count("*").alias("n_rows"), F.sum("stock_on_hand").cast(S.TOTAL).alias("units"),
-        F.sum("asset_value").cast(S.TOTAL).alias("value"))
-    return ageing.sparkSession.sql(
+    rows = ageing.select("brand", "warehouse", "category", "aging_bucket", "product_no",
+                         "stock_on_hand", "asset_value").join(sku_numbers(ageing), "product_no")
+    page = F.bitmap_bucket_number("sku").alias("page")
+
+    def cells(*dimensions: str) -> DataFrame:
+        return rows.groupBy(*dimensions, "aging_bucket", page).agg(
+            F.count("*").alias("n_rows"), F.sum("stock_on_hand").cast(S.TOTAL).alias("units"),
+            F.sum("asset_value").cast(S.TOTAL).alias("value"),
+            F.bitmap_construct_agg(F.bitmap_bit_position("sku")).alias("skus"))
+
+    rolled = ageing.sparkSession.sql(
         """
         SELECT CASE WHEN grouping(brand) = 0 THEN 'brand'
-                    WHEN grouping(warehouse) = 0 THEN 'warehouse'
                     WHEN grouping(category) = 0 THEN 'category' ELSE 'all' END AS dimension,
-               coalesce(brand, warehouse, category) AS member, aging_bucket,
-               sum(n_rows) AS n_rows,
-               cast(sum(units) AS decimal(38,4)) AS units,
-               cast(coalesce(sum(value), 0) AS decimal(38,4)) AS value
+               coalesce(brand, category) AS member, aging_bucket, page,
+               sum(n_rows) AS n_rows, sum(units) AS units, sum(value) AS value,
+               bitmap_or_agg(skus) AS skus
         FROM {cells}
-        GROUP BY GROUPING SETS ((aging_bucket), (brand, aging_bucket),
-                                (warehouse, aging_bucket), (category, aging_bucket))
-        """, cells=cells)
+        GROUP BY GROUPING SETS ((aging_bucket, page), (brand, aging_bucket, page),
+                                (category, aging_bucket, page))
+        """, cells=cells("brand", "category"))
+    places = cells("warehouse").select(F.lit("warehouse").alias("dimension"),
+                                       F.col("warehouse").alias("member"), "aging_bucket", "page",
+                                       "n_rows", "units", "value", "skus")
+    return rolled.unionByName(places).groupBy("dimension", "member", "aging_bucket").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum(F.bitmap_count("skus")).alias("n_skus"),
+        total("units").alias("units"), total("value").alias("value"))
 
 
 def exec_kpi(ageing: DataFrame, sales: DataFrame) -> DataFrame:

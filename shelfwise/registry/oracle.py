@@ -138,6 +138,11 @@ from (select b.*, l.last_movement_date,
         on b.product_no = l.product_no and b.warehouse = l.warehouse)"""
 
 
+CTES["hot_log"] = """
+select * replace (case when mod(cast(split_part(document_no, '-', 1) as bigint), 3) = 1 then '7'
+    else product_no end as product_no,
+  case when mod(cast(split_part(document_no, '-', 1) as bigint), 3) = 1 then 'NATION_7'
+    else warehouse end as warehouse) from stg_movement"""
 CTES["stg_aging"] = aged("stg_movement")
 CTES["stg_aging_recent"] = aged("mv_recent")
 
@@ -304,6 +309,15 @@ from (select stock_on_hand, date_diff('day', l.last_d, date '{d}') as age from s
                  where date <= date '{d}' group by 1, 2) l
       on b.product_no = l.product_no and b.warehouse = l.warehouse) group by 2"""
         for d in ("1999-06-30", "2000-12-31", "2001-08-01"))
+    weekly = f"""
+select run_date, {bucket('age')} as aging_bucket, count(*) as n_rows,
+  {d38('sum(stock_on_hand)')} as units
+from (select run_date, stock_on_hand, date_diff('day', l.date, run_date) as age
+      from (select b.*, cast(run_date as date) as run_date
+            from stg_balance b, range(date '1994-01-01', date '2001-09-01', interval 7 day) r(run_date)) p
+      asof left join stg_movement l
+      on p.product_no = l.product_no and p.warehouse = l.warehouse and run_date >= l.date)
+group by 1, 2"""
     return {
         "c2_clean_category": q(cleaned_brand.format("category")),
         "c3_clean_brand": q(cleaned_brand.format("brand")),
@@ -395,7 +409,8 @@ where day <= (select max(cast(l_shipdate as date)) - 30 from lineitem)""",
         "g2_aging_profile_by_brand": profile("brand"),
         "g2_aging_cube": q(" union all ".join(
             f"""select '{d}' as dimension, {c} as member, aging_bucket, count(*) as n_rows,
-  {d38('sum(stock_on_hand)')} as units, {d38('sum(asset_value)')} as value
+  count(distinct product_no) as n_skus, {d38('sum(stock_on_hand)')} as units,
+  {d38('coalesce(sum(asset_value), 0)')} as value
 from stg_aging group by 2, 3"""
             for d, c in (("all", "cast(null as varchar)"), ("brand", "brand"),
                          ("warehouse", "warehouse"), ("category", "category")))),
@@ -466,7 +481,18 @@ select brand, rank, product_no, value from (
     row_number() over (partition by brand order by value desc, product_no) as rank
   from (select brand, product_no, {d38('sum(amount)')} as value from stg_sales group by 1, 2))
 where rank <= 3"""),
+        "a1_stored_last_movement": q("""select product_no, warehouse,
+  max(date) as last_movement_date from hot_log group by 1, 2"""),
+        "t5_stored_aging": q("select * from hot_aging", hot_aging=aged("hot_log")),
+        "q3_stored_key_check": q("""select 'stg_stock_movement' as table_name,
+  product_no || ' | ' || warehouse as key, count(*) as n_rows from hot_log
+group by product_no, warehouse having count(*) > 1"""),
+        "g16_stored_reconcile": reconcile(f"""
+select product_no, warehouse, {d38('closing')} as closing
+  from (select *, row_number() over (partition by product_no, warehouse
+          order by date desc, document_no desc, closing desc) as rn from hot_log) where rn = 1"""),
         "x2_asof_series": q(asof),
+        "x2_asof_weekly": q(weekly),
         "x3_streaming_channel_days": q(f"""
 select date as day, channel, count(*) as n_rows, {d38('sum(amount)')} as amount,
   {d38('sum(qty)')} as qty, {d38('sum(profit)')} as profit from stg_sales group by 1, 2"""),

@@ -20,7 +20,7 @@ from shelfwise.plans import gold as G
 from shelfwise.plans import star
 from shelfwise.plans.refresh import run_refresh, stage_all
 from shelfwise.session import shared_dir
-from shelfwise.sinks import lake
+from shelfwise.sinks import lake, stored
 from shelfwise.sources import driver_tables as D
 from shelfwise.sources.exports import TABLES, read_raw
 from shelfwise.streaming import incremental as X
@@ -207,6 +207,44 @@ def p2_published_aging(spark, sf):
     return T.gold_names(lake.current(spark, dst, "stg_stock_aging"))
 
 
+def _stored(spark, sf):
+    """The balance and a log of which a third is one pair's, stored by pair."""
+    dst = shared_dir(spark, "by-pair")
+    written = {}
+    for name, df in (("balance", _balance(spark, sf)), ("movement", _hot_movement(spark, sf))):
+        df.write.parquet(f"{dst}/plain/{name}")
+        written[name] = spark.read.parquet(f"{dst}/plain/{name}")
+    stored.write(spark, dst, written, A.KEYS)
+    return stored.read(spark, dst)
+
+
+def _hot_movement(spark, sf):
+    return T.stage_movement(D.raw_movement_hot(spark, sf), D.HOUSE)
+
+
+def a1_stored_last_movement(spark, sf):
+    """A1 over buckets."""
+    return T.gold_names(_stored(spark, sf).apply(lambda t, _: A.last_movement(t["movement"])))
+
+
+def t5_stored_aging(spark, sf):
+    """J1 and T5 over buckets."""
+    return T.gold_names(_stored(spark, sf).apply(lambda t, bucketed: A.stock_ageing(
+        t["balance"], t["movement"], D.RUN_DATE, bucketed=bucketed)))
+
+
+def q3_stored_key_check(spark, sf):
+    """Q3 over buckets: pairs that the log repeats."""
+    return _stored(spark, sf).apply(
+        lambda t, _: Q.key_violations(t["movement"], A.KEYS, "stg_stock_movement"))
+
+
+def g16_stored_reconcile(spark, sf):
+    """G16 over buckets, by closing quantity."""
+    return _stored(spark, sf).apply(
+        lambda t, _: G.reconcile(T.gold_names(t["balance"]), T.gold_names(t["movement"])))
+
+
 # --- quality --------------------------------------------------------------------------------
 def q1_row_conservation(spark, sf):
     raw = _raw(spark, sf)
@@ -417,6 +455,13 @@ def x2_asof_series(spark, sf):
     return A.asof_series(_balance(spark, sf), _movement(spark, sf), AS_OF_DATES)
 
 
+def x2_asof_weekly(spark, sf):
+    """400 run dates, from before the first movement on."""
+    first = datetime.date(1994, 1, 1)
+    return A.asof_series(_balance(spark, sf), _movement(spark, sf),
+                         [first + datetime.timedelta(days=7 * k) for k in range(400)])
+
+
 def x3_streaming_channel_days(spark, sf):
     table, mark = shared_dir(spark, "channel-days"), shared_dir(spark, "checkpoint")
     sales = _sales(spark, sf, CHANNEL_COLUMNS, D.lineitem_stream(spark, sf))
@@ -424,36 +469,49 @@ def x3_streaming_channel_days(spark, sf):
     return X.latest_channel_days(spark, table)
 
 
-def _lines_by_date(spark, sf, files=4):
-    """lineitem as a stream of files, one a batch, in the order of the ship dates."""
+def _deliveries(spark, sf, run, n=4):
+    """lineitem as a stream that arrives in the order of the ship dates; `run` takes each arrival.
+
+    The parts are written in one pass, lines without a date to one of their own, which comes
+    first. A part is then many files that arrive together, so a batch is as many tasks.
+    """
     path, kind = shared_dir(spark, "lines"), D.SCHEMAS["lineitem"]
     lines = D.table(spark, sf, "lineitem")
     lo, hi = lines.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
-    days = F.datediff("l_shipdate", F.lit(lo)) / ((hi - lo).days + 1)
-    part = F.least(F.floor(days * files), F.lit(files - 1))
-    for k in range(files):
-        lines.where(part == k).coalesce(1).write.parquet(f"{path}/part={k}")
-    return (spark.readStream.schema(kind).option("maxFilesPerTrigger", 1)
-            .option("recursiveFileLookup", "true").parquet(path))
+    part = F.lit(0)
+    if lo is not None:
+        days = F.datediff("l_shipdate", F.lit(lo)) / ((hi - lo).days + 1)
+        part = F.coalesce(F.floor(days * n) + 1, F.lit(0))
+    lines.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(f"{path}/parts")
+    for k in range(n + 1):
+        spark.read.schema(f"{kind}, part int").parquet(f"{path}/parts").where(F.col("part") == k) \
+            .drop("part").write.mode("append").parquet(f"{path}/arrived")
+        run(spark.readStream.schema(kind).parquet(f"{path}/arrived"))
 
 
 def x1_folded_last_movement(spark, sf):
-    """Several batches folded into one state table."""
+    """Ten batches, each upserted into one keyed table that keeps the maxima."""
     dst, mark = shared_dir(spark, "last-state"), shared_dir(spark, "checkpoint")
-    log = D.raw_movement(spark, sf, lines=_lines_by_date(spark, sf))
-    X.run_folded(X.moving_last_movement(T.stage_movement(log, D.HOUSE)), dst, mark, A.KEYS)
-    return T.gold_names(X.folded(spark, dst)).where(F.col("last_movement_date").isNotNull())
+
+    def run(lines):
+        log = T.stage_movement(D.raw_movement(spark, sf, lines=lines), D.HOUSE)
+        X.run_folded(log, dst, mark, A.KEYS, "append", ["Last Movement Date"], A.last_movement,
+                     buckets=8)
+
+    _deliveries(spark, sf, run, 9)
+    return T.gold_names(X.folded(spark, dst))
 
 
 def x3_folded_channel_days(spark, sf):
-    """Sums per ship day and channel, several batches folded into one state table."""
+    """Sums per ship day and channel, five batches upserted into one keyed table."""
     dst, mark = shared_dir(spark, "days-state"), shared_dir(spark, "checkpoint")
-    X.run_folded(X.channel_days(_shipped(spark, sf)), dst, mark, ["day", "channel"])
+    _deliveries(spark, sf, lambda lines: X.run_folded(
+        X.channel_days(_shipped(lines)), dst, mark, ["day", "channel"], buckets=4))
     return X.folded(spark, dst)
 
 
-def _shipped(spark, sf):
-    return _lines_by_date(spark, sf).select(
+def _shipped(lines):
+    return lines.select(
         F.col("l_shipdate").cast("date").alias("date"), F.col("l_returnflag").alias("channel"),
         *[F.col("l_quantity").cast("decimal(18,4)").alias(c) for c in ("amount", "qty", "profit")])
 
@@ -461,7 +519,8 @@ def _shipped(spark, sf):
 def x3_watermarked_channel_days(spark, sf):
     """Tumbling days behind a watermark of 30 days: days that are over by then, each once."""
     table, mark = shared_dir(spark, "final-days"), shared_dir(spark, "checkpoint")
-    X.run_available(X.channel_days(_shipped(spark, sf), "30 days"), table, mark, mode="append")
+    _deliveries(spark, sf, lambda lines: X.run_available(
+        X.channel_days(_shipped(lines), "30 days"), table, mark, mode="append"))
     return spark.read.parquet(table).drop(X.BATCH)
 
 
@@ -482,5 +541,6 @@ def queries() -> dict[str, Query]:
              g12_dim_warehouse, g13_dim_category, g14_fact_sales, g15_fact_stock_aging,
              g16_reconcile, g16_reconcile_closing, g17_orphans, g18_top_brands,
              g18_top_skus_aged, g18_top_skus_per_brand, x1_streaming_last_movement,
-             x2_asof_series, x3_streaming_channel_days]
+             a1_stored_last_movement, t5_stored_aging, q3_stored_key_check,
+             g16_stored_reconcile, x2_asof_series, x2_asof_weekly, x3_streaming_channel_days]
     return {f.__name__: f for f in found}

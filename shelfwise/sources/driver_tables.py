@@ -203,6 +203,18 @@ def raw_movement_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_lines(spark, sf_dir, with_part=True).selectExpr(*exprs)
 
 
+def raw_movement_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with every third movement on one product in one warehouse."""
+    hot = "l_orderkey % 3 = 1"
+    replaced = {"Product No.": f"CASE WHEN {hot} THEN '7' ELSE cast(l_partkey AS string) END",
+                "Warehouse": f"CASE WHEN {hot} THEN 'NATION_7' ELSE n_name END"}
+    exprs = []
+    for line in movement_columns():
+        name = line.rsplit("`", 2)[1]
+        exprs.append(f"{replaced[name]} AS `{name}`" if name in replaced else line)
+    return _log_lines(spark, sf_dir).selectExpr(*exprs)
+
+
 def raw_movement_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log with dates 0 to 90 days before the run date, so that few brands are slow."""
     back = ("CASE WHEN l_partkey % 40 < cast(substr(p_brand, 7) AS int) % 12 THEN 46 ELSE 0 END "

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise import schemas as S
 from shelfwise.functions.clean import quoted as q
-from shelfwise.sinks import lake
+from shelfwise.sinks import keyed
 
 BATCH = "batch"
 
@@ -82,34 +82,28 @@ def latest_channel_days(spark: SparkSession, table: str) -> DataFrame:
             .select("day", "channel", *[f"last.{c}" for c in sums]))
 
 
-STATE = "state"
-
-
 def run_folded(stream: DataFrame, dst: str, checkpoint: str, keys: list[str],
-               mode: str = "update") -> StreamingQuery:
-    """Process what has arrived, then stop; every batch is folded into one state table.
-
-    A batch's rows replace those of the same keys. Each batch writes the whole state as a version
-    of its own and commits it, so readers (`folded`) see one version and read one row per key,
-    however many batches there were. A batch that is run again after a failure finds either its
-    version committed, and does nothing, or the one before it.
+               mode: str = "update", order: list[str] = (),
+               per_batch: Callable[[DataFrame], DataFrame] | None = None,
+               **layout) -> StreamingQuery:
+    """Process what has arrived, then stop; every batch is folded into one keyed table.
+
+    A batch's rows replace those of the same keys, or, with `order`, those that are not larger by
+    these columns. It writes about as much as it changes (`sinks.keyed`), and readers (`folded`)
+    see all of it or nothing. A batch that is run again after a failure is either there already,
+    and does nothing, or replaces what its first run left.
+
+    X1 needs no stream state at all with mode "append", `per_batch=last_movement` and
+    `order=["Last Movement Date"]`: the table itself keeps the maxima.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"batch-{batch_id:012d}"
-        before = lake.current_version(spark, dst) if lake.is_published(spark, dst) else None
-        if before is not None and before >= version:
+        before = keyed.manifest(spark, dst)
+        if before is not None and before.seq >= batch_id:
             batch.write.format("noop").mode("overwrite").save()  # the stream's own state must go on
             return
-        columns = batch.columns
-        rows = batch.withColumn("_new", F.lit(1))
-        if before is not None:
-            rows = rows.unionByName(lake.read_table(
-                spark, lake.version_path(dst, before, STATE)).withColumn("_new", F.lit(0)))
-        values = [F.max_by(q(c), "_new").alias(c) for c in columns if c not in keys]
-        rows.groupBy(*[q(k) for k in keys]).agg(*values).select(*[q(c) for c in columns]) \
-            .write.mode("overwrite").parquet(lake.version_path(dst, version, STATE))
-        lake.commit(spark, dst, version)
+        rows = per_batch(batch) if per_batch else batch
+        keyed.upsert(spark, dst, rows, keys, batch_id, order, **layout)
 
     query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).foreachBatch(write).start())
@@ -118,5 +112,5 @@ def run_folded(stream: DataFrame, dst: str, checkpoint: str, keys: list[str],
 
 
 def folded(spark: SparkSession, dst: str) -> DataFrame:
-    """The state that the last committed batch left."""
-    return lake.current(spark, dst, STATE)
+    """The rows that the last committed batch left."""
+    return keyed.read(spark, dst)

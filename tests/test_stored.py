@@ -1,0 +1,258 @@
+"""Keyed tables that take batches, tables stored by pair, and series over stored movements."""
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise import schemas as S
+from shelfwise.operators import ageing as G
+from shelfwise.operators.quality import key_violations
+from shelfwise.plans import gold
+from shelfwise.sinks import files, keyed, stored
+from shelfwise.streaming import incremental as X
+
+DAY = datetime.date(2024, 1, 1)
+
+
+@pytest.fixture
+def base(tmp_path):
+    return str(tmp_path)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+# --- keyed tables ---------------------------------------------------------------------------
+def numbers(spark, low, high, value, step=1):
+    return spark.range(low, high, step).select(
+        F.concat(F.lit("key "), F.col("id").cast("string")).alias("Key No."),
+        F.when(F.col("id") % 7 > 0, "x").alias("part"), F.lit(value).alias("v"),
+        F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(value))), 512).alias("filler"))
+
+
+def test_a_small_batch_writes_about_its_own_size(spark, base):
+    keys = ["Key No.", "part"]
+    keyed.upsert(spark, base, numbers(spark, 0, 20_000, 0), keys, 0, buckets=8)
+    whole = files.size(spark, base)
+    for batch in range(1, 11):
+        before = files.size(spark, base)
+        keyed.upsert(spark, base, numbers(spark, batch, 20_000, batch, 100), keys, batch)
+        assert files.size(spark, base) - before < 0.04 * whole  # 1 % of the keys
+    got = {r["Key No."]: r.v for r in keyed.read(spark, base).collect()}
+    assert len(got) == 20_000
+    assert all(got[f"key {k}"] == (k % 100 if 1 <= k % 100 <= 10 else 0) for k in range(20_000))
+
+
+def test_settled_buckets_are_read_without_a_shuffle(spark, base):
+    keyed.upsert(spark, base, numbers(spark, 0, 1000, 0), ["Key No."], 0, buckets=8)
+    plan = keyed.read(spark, base)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Union")[-1].split("HashAggregate")[0]
+    assert keyed.read(spark, base).count() == 1000
+
+
+@pytest.mark.parametrize("order", [(), ("v",)])
+def test_batches_equal_a_dictionary(spark, base, order):
+    """Random batches, null keys, compactions, and every batch run twice."""
+    rng, want = random.Random(4), {}
+    for batch in range(12):
+        chosen = {rng.choice([None, *range(40)]) for _ in range(rng.choice([0, 3, 30]))}
+        data = [(k, rng.randrange(100)) for k in chosen]
+        for k, v in data:
+            want[k] = max(v, want.get(k, -1)) if order else v
+        df = spark.createDataFrame(data, "k int, v int")
+        for _ in range(2):
+            keyed.upsert(spark, base, df, ["k"], batch, order, buckets=3, compact_at=0.3)
+        assert rows(keyed.read(spark, base)) == sorted(want.items(), key=str)
+    m = keyed.manifest(spark, base)
+    assert len(m.parts) == 3 and any(b is not None for b, _, _ in m.parts.values())
+
+
+def test_an_interrupted_batch_leaves_the_table_as_it_was(spark, base, monkeypatch):
+    one = spark.createDataFrame([(1, 1), (2, 1)], "k int, v int")
+    two = spark.createDataFrame([(2, 2), (3, 2)], "k int, v int")
+    keyed.upsert(spark, base, one, ["k"], 0)
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_save", lambda *a: (_ for _ in ()).throw(RuntimeError()))
+        with pytest.raises(RuntimeError):
+            keyed.upsert(spark, base, two, ["k"], 1)
+    assert rows(keyed.read(spark, base)) == [(1, 1), (2, 1)]
+    keyed.upsert(spark, base, two, ["k"], 1)
+    assert rows(keyed.read(spark, base)) == [(1, 1), (2, 2), (3, 2)]
+
+
+def test_a_batch_of_another_kind_is_refused(spark, base):
+    keyed.upsert(spark, base, spark.createDataFrame([(1, 1)], "k int, v int"), ["k"], 0)
+    with pytest.raises(ValueError, match="holds"):
+        keyed.upsert(spark, base, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], 1)
+    with pytest.raises(ValueError, match="nothing published"):
+        keyed.read(spark, f"{base}/none")
+
+
+def test_vacuum_keeps_what_manifests_and_readers_need(spark, base):
+    for batch in range(8):
+        keyed.upsert(spark, base, spark.range(20).select("id", F.lit(batch).alias("v")), ["id"],
+                     batch, buckets=2)
+    reader = keyed.read(spark, base)
+    # All are younger than an hour, so only deltas that were compacted at once go.
+    assert all(g.startswith("delta/") for g in keyed.vacuum(spark, base, keep=2))
+    assert len(files.children(spark, f"{base}/manifest")) == 8
+    assert keyed.vacuum(spark, base, keep=2, min_age=0)
+    assert len(files.children(spark, f"{base}/manifest")) == 2
+    assert reader.agg(F.count("*"), F.min("v")).first()[:] == (20, 7)
+    keyed.upsert(spark, base, spark.range(25).select("id", F.lit(9).alias("v")), ["id"], 9)
+    assert keyed.read(spark, base).agg(F.count("*"), F.min("v")).first()[:] == (25, 9)
+    assert keyed.vacuum(spark, f"{base}/none") == []
+
+
+def test_maxima_of_a_log_without_stream_state(spark, base):
+    src, dst, mark = f"{base}/in", f"{base}/state", f"{base}/mark"
+    arrivals = [[("p", "A", 3), ("q", "A", 5)], [("p", "A", 1), ("r", "B", None)], [("p", "A", 9)]]
+    for data in arrivals:
+        spark.createDataFrame([(p, w, None if d is None else DAY + datetime.timedelta(d))
+                               for p, w, d in data],
+                              "`Product No.` string, Warehouse string, Date date") \
+            .write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        X.run_folded(stream, dst, mark, G.KEYS, "append", ["Last Movement Date"], G.last_movement)
+    assert rows(X.folded(spark, dst)) == [("p", "A", DAY + datetime.timedelta(9)),
+                                          ("q", "A", DAY + datetime.timedelta(5))]
+
+
+# --- tables stored by pair -------------------------------------------------------------------
+def moves(spark, n=3000):
+    third = F.col("id") % 3 == 0
+    return spark.range(n).select(
+        F.when(third, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 50)).alias("Product No."),
+        F.when(third, "W0").otherwise(F.concat(F.lit("W"), F.col("id") % 4)).alias("Warehouse"),
+        F.date_add(F.lit(DAY), (F.col("id") * 37 % 200).cast("int")).alias("Date"),
+        F.col("id").cast("string").alias("Document No."),
+        *[F.lit(None).cast(S.NUMBER).alias(c) for c in ("Inbound-Quantity", "Outbound-Quantity")],
+        (F.col("id") % 5).cast(S.NUMBER).alias("Closing-Quantity"))
+
+
+def stocks(spark):
+    pairs = spark.range(220).select(
+        F.when(F.col("id") < 4, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 55))
+        .alias("Product No."), F.concat(F.lit("W"), F.col("id") % 4).alias("Warehouse"),
+        (F.col("id") % 5).cast(S.NUMBER).alias("Stock on Hand"))
+    return pairs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                               for f in S.STG_STOCK_BALANCE if f.name not in pairs.columns])
+
+
+@pytest.fixture
+def by_pair(spark, tmp_path):
+    made = {"balance": stocks(spark), "movement": moves(spark)}
+    for name, df in made.items():
+        df.write.parquet(f"{tmp_path}/plain/{name}")
+        made[name] = spark.read.parquet(f"{tmp_path}/plain/{name}")
+    stored.write(spark, f"{tmp_path}/stored", made, G.KEYS, buckets=6)
+    return made, stored.read(spark, f"{tmp_path}/stored")
+
+
+RUN = datetime.date(2024, 6, 1)
+WORK = {
+    "A1": lambda t, b: G.last_movement(t["movement"]),
+    "T5": lambda t, b: G.stock_ageing(t["balance"], t["movement"], RUN, bucketed=b),
+    "Q3": lambda t, b: key_violations(t["movement"], G.KEYS, "log"),
+    "G16": lambda t, b: gold.reconcile(
+        t["balance"].selectExpr("`Product No.` product_no", "Warehouse warehouse",
+                                "`Stock on Hand` stock_on_hand"),
+        t["movement"].selectExpr("`Product No.` product_no", "Warehouse warehouse", "Date date",
+                                 "`Document No.` document_no", "`Closing-Quantity` closing")),
+}
+
+
+@pytest.mark.parametrize("name", sorted(WORK))
+def test_stored_tables_give_the_same_rows_without_exchange(spark, by_pair, name):
+    made, kept = by_pair
+    assert rows(kept.apply(WORK[name])) == rows(WORK[name](made, False))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = WORK[name](kept.common, True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+
+
+def test_hot_pairs_are_not_in_the_buckets(spark, by_pair):
+    made, kept = by_pair
+    for name, df in made.items():
+        assert kept.common[name].unionByName(kept.hot[name]).count() == df.count()
+        assert kept.common[name].where("`Product No.` = 'hot' and Warehouse = 'W0'").isEmpty()
+    assert kept.hot["movement"].count() == 1000 and kept.hot["balance"].count() == 1
+
+
+def test_another_session_registers_the_buckets(spark, by_pair, tmp_path):
+    for t in spark.catalog.listTables():
+        if t.name.startswith("stored_"):
+            spark.sql(f"DROP TABLE {t.name}")
+    again = stored.read(spark, f"{tmp_path}/stored")
+    assert rows(again.apply(WORK["A1"])) == rows(WORK["A1"](by_pair[0], False))
+
+
+# --- series of run dates ---------------------------------------------------------------------
+def plain_series(balance, log, dates):
+    out = {}
+    for d in set(dates):
+        last = {}
+        for p, w, day in log:
+            if day is not None and day <= d:
+                last[p, w] = max(day, last.get((p, w), day))
+        for p, w, units in balance:
+            age = (d - last[p, w]).days if (p, w) in last else None
+            label = S.NO_MOVEMENT if age is None else next(
+                (b[1] for b in S.AGING_BUCKETS if age <= b[0]), S.OLDEST_BUCKET[0])
+            n, u = out.get((d, label), (0, 0))
+            out[d, label] = (n + 1, u + units)
+    return sorted((d, b, n, u) for (d, b), (n, u) in out.items())
+
+
+@pytest.mark.parametrize("dates", [[0], [5, 5, -40, 300], list(range(-20, 260, 3)),
+                                   [15, 16, 30, 31, 45, 46, 60, 61, 90, 91]])
+def test_series_against_plain_counting(spark, dates):
+    rng = random.Random(len(dates))
+    day = [DAY + datetime.timedelta(k) for k in range(-50, 220)]
+    balance = [(f"p{k % 9}", f"w{k % 2}", k) for k in range(30)]
+    log = [(f"p{rng.randrange(11)}", f"w{rng.randrange(2)}", rng.choice([None, *day]))
+           for _ in range(60)] + [("p0", "w0", DAY)] * 20
+    dates = [DAY + datetime.timedelta(k) for k in dates]
+    got = G.asof_series(
+        spark.createDataFrame(balance, "`Product No.` string, Warehouse string, `Stock on Hand` int"),
+        spark.createDataFrame(log, "`Product No.` string, Warehouse string, Date date"), dates)
+    assert sorted((r.run_date, r.aging_bucket, r.n_rows, int(r.units)) for r in got.collect()) == \
+        plain_series(balance, log, dates)
+
+
+def test_a_long_series_costs_no_aggregate_per_date(spark):
+    def plan(n):
+        dates = [DAY + datetime.timedelta(k) for k in range(n)]
+        df = G.asof_series(stocks(spark), moves(spark), dates)
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    short, long = plan(3), plan(400)
+    for word in ("Aggregate", "max(", "Join", "Window"):
+        assert short.count(word) == long.count(word)
+
+
+# --- cube --------------------------------------------------------------------------------------
+def test_cube_counts_products_once(spark):
+    rng = random.Random(2)
+    data = [(f"b{rng.randrange(3)}", f"w{rng.randrange(4)}", f"c{rng.randrange(2)}",
+             rng.choice(["0-15 Days", "90+ Days"]), f"p{rng.randrange(300)}", 2, None)
+            for _ in range(4000)]
+    df = spark.createDataFrame(data, "brand string, warehouse string, category string, aging_bucket "
+                               "string, product_no string, stock_on_hand int, asset_value int")
+    want = {}
+    for b, w, c, bucket, p, units, _ in data:
+        for key in (("all", None), ("brand", b), ("warehouse", w), ("category", c)):
+            n, skus, u = want.setdefault((*key, bucket), [0, set(), 0])
+            want[(*key, bucket)] = [n + 1, skus | {p}, u + units]
+    got = {(r.dimension, r.member, r.aging_bucket): [r.n_rows, r.n_skus, int(r.units)]
+           for r in gold.aging_cube(df).collect()}
+    assert got == {k: [n, len(s), u] for k, (n, s, u) in want.items()}
+    assert all(r.value == 0 for r in gold.aging_cube(df).collect())
+
