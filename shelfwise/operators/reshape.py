@@ -73,7 +73,8 @@ def _cells(wide: DataFrame, positions: list[int | None]) -> str:
 
 
 def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
-                    warehouses: list[str] | None = None) -> DataFrame:
+                    warehouses: list[str] | None = None,
+                    sheet_rows: int | None = None) -> DataFrame:
     """|raw| x #warehouses rows, zero stock included, summary columns left out.
 
     One scan and no shuffle. The cells of each kind are gathered in an array, the fixed list of
@@ -81,7 +82,8 @@ def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
     reads no cost columns, and the generated code stays small however many warehouses there are
     (an Expand over all columns outgrows what the JVM compiles). Category and brand are cleaned
     on the wide rows, once per product. `warehouses` builds only those blocks; a filter on the
-    result would still read all columns.
+    result would still read all columns. `sheet_rows` is the length of the sheet, if `raw` is not
+    all of it.
     """
     names = raw.columns
     require_columns(raw.columns, S.RAW_REQUIRED["stock_balance"], "stock_balance")
@@ -109,7 +111,7 @@ def unpivot_balance(raw: DataFrame, house_category: str = S.HOUSE_CATEGORY,
     if S.ROW_ID in names:
         ids["id_row"] = F.col(f"c{names.index(S.ROW_ID)}")
         # Position in the unpivoted table: all rows of earlier warehouses come first.
-        n_rows = wide.agg(F.count("*")).scalar()
+        n_rows = wide.agg(F.count("*")).scalar() if sheet_rows is None else F.lit(sheet_rows)
         row_id = F.col("block") * n_rows + F.col("id_row")
     else:
         row_id = None

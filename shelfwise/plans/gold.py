@@ -257,6 +257,69 @@ def reconcile(balance: DataFrame, movement: DataFrame, mode: str = "closing") ->
         .otherwise("VARIANCE").alias("class"))
 
 
+def first_divergence(movement: DataFrame, scratch: str) -> DataFrame:
+    """G16 in detail: where the running balance of a pair first leaves the logged closing quantity.
+
+    Movements of a pair are taken in the order of date (those without one last), document
+    number, and quantities. The balance that the first logged closing implies is carried forward
+    by inbound minus outbound; the first movement whose closing quantity is another one is
+    returned with both. Pairs that never diverge, or log no second closing, have no row.
+
+    The log is written below `scratch` sorted by range, so that a file is a stretch of the order
+    and a pair that holds much of the log lies in many files. Sums run inside (file, pair); what
+    a file hands on, its net quantity and its last closing, runs along the files of the pair.
+    So no window sees more than a file's rows or a line per file.
+    """
+    keys = ["product_no", "warehouse"]
+    zero = F.lit(0).cast(S.TOTAL)
+    net = F.coalesce(F.col("inbound").cast(S.TOTAL), zero) - F.coalesce(
+        F.col("outbound").cast(S.TOTAL), zero)
+    narrow = movement.select(*keys, "date", "document_no", net.cast(S.TOTAL).alias("net"),
+                             F.col("closing").cast(S.TOTAL).alias("closing"))
+    last = [F.col(c).asc_nulls_last() for c in ("date", "document_no", "net", "closing")]
+    narrow.orderBy(*keys, *last).write.mode("overwrite").parquet(scratch)
+    meta = F.col("_metadata")
+    part = F.regexp_extract(meta["file_name"], r"part-(\d+)", 1).cast("int")
+    rows = movement.sparkSession.read.schema(narrow.schema).parquet(scratch).select(
+        "*", part.alias("file"), meta["row_index"].alias("at"))
+
+    inside = Window.partitionBy("file", *keys).orderBy("at")
+    # The balance before the file, as a closing tells it; NULL where none is logged.
+    told = F.col("closing") - F.sum("net").over(inside)
+    lines = rows.select("*", told.cast(S.TOTAL).alias("told"))
+    earlier = F.last("told", ignorenulls=True).over(
+        inside.rowsBetween(Window.unboundedPreceding, -1))
+    lines = lines.select("*", earlier.alias("earlier"))
+    event = F.struct("date", "document_no", "closing", "told", "earlier")
+    given = F.col("told").isNotNull()
+    files = lines.groupBy("file", *keys).agg(
+        F.sum("net").cast(S.TOTAL).alias("net"),
+        F.min_by(event, F.when(given, F.col("at"))).alias("first"),
+        F.max_by("told", F.when(given, F.col("at"))).alias("last"),
+        F.min_by(event, F.when(F.col("told") != F.col("earlier"), F.col("at"))).alias("change"))
+
+    along = Window.partitionBy(*keys).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("net").over(along), zero).cast(S.TOTAL)
+    placed = files.select(*keys, "file", "first", "last", "change", before.alias("before"))
+    opening = (F.col("last") - F.col("before")).cast(S.TOTAL)
+    handed = F.last(opening, ignorenulls=True).over(along)
+    placed = placed.select("*", handed.alias("handed"))
+    at_edge = (F.col("first.told") - F.col("before")) != F.col("handed")
+    found = placed.select(*keys, "file", F.when(at_edge, F.struct(
+        F.col("first.date").alias("date"), F.col("first.document_no").alias("document_no"),
+        F.col("first.closing").alias("closing"),
+        (F.col("first.closing") - (F.col("first.told") - F.col("before") - F.col("handed")))
+        .cast(S.TOTAL).alias("balance"))).when(F.col("change").isNotNull(), F.struct(
+            F.col("change.date").alias("date"), F.col("change.document_no").alias("document_no"),
+            F.col("change.closing").alias("closing"),
+            (F.col("change.closing") - (F.col("change.told") - F.col("change.earlier")))
+            .cast(S.TOTAL).alias("balance"))).alias("event"))
+    return found.where(F.col("event").isNotNull()).groupBy(*keys).agg(
+        F.min_by("event", "file").alias("e")).select(
+        *keys, F.col("e.date").alias("date"), F.col("e.document_no").alias("document_no"),
+        F.col("e.balance").alias("balance"), F.col("e.closing").alias("closing"))
+
+
 def orphans(product: DataFrame, **sources: DataFrame) -> DataFrame:
     """Products used by a source but absent from the product master.
 

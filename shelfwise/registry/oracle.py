@@ -491,6 +491,42 @@ group by product_no, warehouse having count(*) > 1"""),
 select product_no, warehouse, {d38('closing')} as closing
   from (select *, row_number() over (partition by product_no, warehouse
           order by date desc, document_no desc, closing desc) as rn from hot_log) where rn = 1"""),
+        "q1_content_conservation": q("""
+select table_name, cast(n as bigint) as expected_rows, cast(n as bigint) as actual_rows, true as ok
+from (select 'stg_product' as table_name, count(*) as n from part
+union all select 'stg_sales', count(*) from lineitem
+union all select 'stg_stock_balance', (select count(*) from part) * (select count(*) from nation)
+union all select 'stg_stock_movement', count(*) from lineitem
+union all select 'stg_stock_aging', (select count(*) from part) * (select count(*) from nation))"""),
+        "q2_rejected_rows": q("""
+select 'product' as table_name, row_id as position, 'Retail Price' as field, 'too large' as reason,
+  cast(price as varchar) || 'e15' as text from fx_product where row_id % 50 = 3"""),
+        "x3_closed_channel_days": """
+with lines as (select l_orderkey % 4 as k, cast(l_shipdate as date) as day, l_returnflag as channel,
+    cast(l_quantity as decimal(18,4)) as x from lineitem),
+closed as (select b as k, max(day) - 30 as day from lines, range(1, 5) r(b) where k < b group by b),
+marked as (select l.*, coalesce(l.day < c.day, false) as late from lines l left join closed c using (k))
+select day, channel, count(*) as n_rows, count(*) filter (late) as n_late,
+  cast(sum(x) as decimal(38,4)) as amount, cast(sum(x) as decimal(38,4)) as qty,
+  cast(sum(x) as decimal(38,4)) as profit,
+  coalesce(day < (select max(day) - 30 from lines), false) as closed
+from marked group by day, channel""",
+        "g16_first_divergence": f"""
+with log as (select case when l_orderkey % 3 = 1 then '7' else cast(l_partkey as varchar) end as product_no,
+  case when l_orderkey % 3 = 1 then 'NATION_7' else n_name end as warehouse,
+  cast(l_shipdate as date) as date, cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as document_no,
+  cast(case when l_orderkey % 11 = 4 and l_partkey % 3 = 0 then 2 else 0 end as decimal(38,4)) as net,
+  cast(case when l_orderkey % 11 <> 4 and l_orderkey % 4 <> 3 then 100 + case when l_partkey % 5 = 1
+    and l_orderkey % 3 <> 1 and l_shipdate > timestamp '1999-06-30' then 5 else 0 end end as decimal(38,4)) as closing
+  from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey),
+placed as (select *, sum(net) over w as moved, row_number() over w as nth from log window w as
+  (partition by product_no, warehouse order by date nulls last, document_no, net, closing nulls last)),
+opened as (select product_no, warehouse, arg_min(closing - moved, nth) as opening
+  from placed where closing is not null group by 1, 2)
+select product_no, warehouse, date, document_no, {d38('opening + moved')} as balance,
+  {d38('closing')} as closing from placed join opened using (product_no, warehouse)
+where closing <> opening + moved
+qualify row_number() over (partition by product_no, warehouse order by nth) = 1""",
         "x2_asof_series": q(asof),
         "x2_asof_weekly": q(weekly),
         "x3_streaming_channel_days": q(f"""

@@ -14,6 +14,7 @@ from shelfwise.functions import clean as C
 from shelfwise.functions.clean import quoted as q
 from shelfwise.operators import ageing as A
 from shelfwise.operators import quality as Q
+from shelfwise.operators import rejects
 from shelfwise.operators import reshape as R
 from shelfwise.operators import staging as T
 from shelfwise.plans import gold as G
@@ -251,6 +252,20 @@ def q1_row_conservation(spark, sf):
     return Q.row_conservation(raw, stage_all(raw, D.RUN_DATE, D.HOUSE))
 
 
+def q1_content_conservation(spark, sf):
+    raw = _raw(spark, sf)
+    return Q.content_conservation(raw, stage_all(raw, D.RUN_DATE, D.HOUSE))
+
+
+def q2_rejected_rows(spark, sf):
+    """Exports of which every 50th product has a price that no staged number holds."""
+    raw = _raw(spark, sf)
+    huge = F.col("`Retail Price`").cast("string")
+    raw["product"] = raw["product"].withColumn("Retail Price", F.when(
+        F.col(S.ROW_ID) % 50 == 3, F.concat(huge, F.lit("e15"))).otherwise(huge))
+    return rejects.split_all(raw)[1].drop("file")
+
+
 def q2_dq_report(spark, sf):
     return Q.quality_report(_raw(spark, sf))
 
@@ -423,6 +438,12 @@ def g16_reconcile_closing_gaps(spark, sf):
     return G.reconcile(T.gold_names(_balance(spark, sf)), log)
 
 
+def g16_first_divergence(spark, sf):
+    """Over a log whose closings miss some quantities, a third of it one pair's."""
+    log = T.gold_names(T.stage_movement(D.raw_movement_kept(spark, sf), D.HOUSE))
+    return G.first_divergence(log, shared_dir(spark, "sorted-log"))
+
+
 def g17_orphans(spark, sf):
     return G.orphans(t1_product(spark, sf), stg_sales=_sales(spark, sf, ()),
                      stg_stock_balance=T.gold_names(_balance(spark, sf)),
@@ -451,6 +472,20 @@ def x1_streaming_last_movement(spark, sf):
     return T.gold_names(X.latest_movements(spark, table))
 
 
+def x3_closed_channel_days(spark, sf):
+    """Batches in the order of the order keys, so that many rows come after their day has closed."""
+    dst, mark, path = (shared_dir(spark, p) for p in ("closed-days", "checkpoint", "lines"))
+    kind = D.SCHEMAS["lineitem"]
+    D.table(spark, sf, "lineitem").withColumn("part", F.expr("cast(l_orderkey % 4 AS int)")) \
+        .write.partitionBy("part").parquet(f"{path}/parts")
+    for k in range(4):
+        spark.read.schema(f"{kind}, part int").parquet(f"{path}/parts").where(F.col("part") == k) \
+            .drop("part").write.mode("append").parquet(f"{path}/arrived")
+        lines = spark.readStream.schema(kind).parquet(f"{path}/arrived")
+        X.run_closed_days(_shipped(lines), dst, mark, 30, buckets=4)
+    return X.closed_days(spark, dst, 30)
+
+
 def x2_asof_series(spark, sf):
     return A.asof_series(_balance(spark, sf), _movement(spark, sf), AS_OF_DATES)
 
@@ -541,6 +576,7 @@ def queries() -> dict[str, Query]:
              g12_dim_warehouse, g13_dim_category, g14_fact_sales, g15_fact_stock_aging,
              g16_reconcile, g16_reconcile_closing, g17_orphans, g18_top_brands,
              g18_top_skus_aged, g18_top_skus_per_brand, x1_streaming_last_movement,
-             a1_stored_last_movement, t5_stored_aging, q3_stored_key_check,
+             q1_content_conservation, q2_rejected_rows, g16_first_divergence,
+             x3_closed_channel_days, a1_stored_last_movement, t5_stored_aging, q3_stored_key_check,
              g16_stored_reconcile, x2_asof_series, x2_asof_weekly, x3_streaming_channel_days]
     return {f.__name__: f for f in found}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import re
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,9 +17,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.clean import quoted as q
 from shelfwise.functions.dates import MONTH
+from shelfwise.sinks import files
 
 COMMITS = "commits"
 COMMIT_SCHEMA = "version string, committed_at timestamp"
+#: As `new_version` makes them; other folders below a destination are not this module's.
+VERSION_NAME = re.compile(r"v\d{8}T\d{12}-[0-9a-f]{8}")
 
 # How each table is laid out: facts by month of their date, stock tables by brand.
 BY_MONTH = {"stg_sales": "Date", "stg_stock_movement": "Date"}
@@ -110,6 +115,35 @@ def current(spark: SparkSession, dst: str, name: str) -> DataFrame:
     return read_table(spark, version_path(dst, version, name))
 
 
+def retain(spark: SparkSession, dst: str, keep: int = 3, min_age: float = 3600) -> list[str]:
+    """Remove versions that are neither among the last `keep` committed ones nor in use; returns those.
+
+    A version that was the current one within the last `min_age` seconds stays, as readers may be
+    at it. So does a folder that no commit names while it is younger, as its run may go on; when
+    it is older, that run has failed.
+    """
+    if not is_published(spark, dst):
+        return []
+    log = spark.read.schema(COMMIT_SCHEMA).parquet(f"{dst}/{COMMITS}")
+    commits = [(r.version, r.at) for r in log.select(
+        "version", F.col("committed_at").cast("double").alias("at")).orderBy(
+        "committed_at", "version").collect()]
+    limit = time.time() - min_age
+    stay = {version for version, _ in commits[-keep:]}
+    stay |= {version for (version, _), (_, until) in zip(commits, commits[1:], strict=False)
+             if until > limit}
+    known = {version for version, _ in commits}
+    gone = []
+    for name in files.children(spark, dst):
+        path = f"{dst}/{name}"
+        if name in stay or not VERSION_NAME.fullmatch(name):
+            continue
+        if name in known or files.modified(spark, path) <= limit:
+            files.remove(spark, path)
+            gone.append(name)
+    return gone
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], dst: str,
             check: Callable[[dict[str, DataFrame]], None] | None = None,
             snapshots: bool = False, version: str | None = None) -> str:

@@ -111,6 +111,52 @@ def run_folded(stream: DataFrame, dst: str, checkpoint: str, keys: list[str],
     return query
 
 
+SUMS = ["amount", "qty", "profit"]
+COUNTS = ["n_rows", "n_late"]
+
+
+def run_closed_days(stream: DataFrame, dst: str, checkpoint: str, delay_days: int,
+                    **layout) -> StreamingQuery:
+    """X3 behind a watermark, without losing what comes later than that: process, then stop.
+
+    A day is closed once a day more than `delay_days` after it has been seen in an earlier batch.
+    Rows of closed days are late: they are added to their day all the same, and counted. Rows
+    without a date have a group of their own, which never closes. The table is keyed by day and
+    channel and adds up, so a batch that is run again after a failure counts once, whatever the
+    order of the rows the sums are those of a batch over all of them, and nothing is kept in the
+    state of the stream.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = F.col("date").cast("date")
+        closed = _closed_before(spark, dst, delay_days)
+        late = F.lit(False) if closed is None else F.coalesce(day < F.lit(closed), F.lit(False))
+        rows = batch.groupBy(day.alias("day"), "channel").agg(
+            F.count("*").alias("n_rows"), F.count_if(late).alias("n_late"),
+            *[F.sum(c).cast(S.TOTAL).alias(c) for c in SUMS])
+        keyed.upsert(spark, dst, rows, ["day", "channel"], batch_id, summed=[*COUNTS, *SUMS],
+                     **layout)
+
+    query = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).foreachBatch(write).start())
+    query.awaitTermination()
+    return query
+
+
+def _closed_before(spark: SparkSession, dst: str, delay_days: int):
+    """Days before this one are closed; None while there is no dated row."""
+    if keyed.manifest(spark, dst) is None:
+        return None
+    return keyed.read(spark, dst).agg(F.date_sub(F.max("day"), delay_days)).first()[0]
+
+
+def closed_days(spark: SparkSession, dst: str, delay_days: int) -> DataFrame:
+    """Sums per day and channel, how many rows came after the day had closed, and whether it has."""
+    closed = _closed_before(spark, dst, delay_days)
+    over = F.lit(False) if closed is None else F.coalesce(F.col("day") < F.lit(closed), F.lit(False))
+    return keyed.read(spark, dst).select("day", "channel", *COUNTS, *SUMS, over.alias("closed"))
+
+
 def folded(spark: SparkSession, dst: str) -> DataFrame:
     """The rows that the last committed batch left."""
     return keyed.read(spark, dst)

@@ -11,7 +11,7 @@ EAGER = {"s2_product_csv", "k3_csv_snapshot", "p2_published_aging", "x1_streamin
          "x3_streaming_channel_days", "s3_sales_csv", "s4_balance_csv", "s5_movement_csv",
          "x1_folded_last_movement", "x3_folded_channel_days", "x3_watermarked_channel_days",
          "a1_stored_last_movement", "t5_stored_aging", "q3_stored_key_check",
-         "g16_stored_reconcile"}
+         "g16_stored_reconcile", "g16_first_divergence", "x3_closed_channel_days"}
 QUERIES = {n: f for n, f in queries().items() if n not in EAGER}
 
 

@@ -233,6 +233,102 @@ def test_refresh_refuses_broken_records_and_large_numbers(spark, exports, base):
     assert names == {"Cable, 1m", "No number", "two\nlines"}
 
 
+BAD_ROWS = {
+    "PRODUCT": ['p3,"two\nlines",t,c,b,s,pcs,1,2,3,4,009' + ",x" * 18,
+                "p4,n,t,c,b,s,pcs,100000000000000,2,3e20,4,009" + ",x" * 18],
+    "STOCK_BALANCE": ["p5,Big,s,c,b,pcs,1e15,1,1,0,0", ",No number,s,c,b,pcs,2,1,1,0,2"],
+}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_rows_that_do_not_fit_are_rejected_with_place_and_reason(spark, exports, base, fmt):
+    for name, bad in BAD_ROWS.items():
+        with open(f"{exports}/{name}.csv", "a", encoding="utf-8") as f:
+            f.writelines(line + "\r\n" for line in bad)
+    src = exports
+    if fmt == "parquet":
+        from shelfwise.sources.exports import TABLES, read_raw
+        src = f"{base}/parquet"
+        for table, stem in TABLES.items():
+            df = read_raw(spark, table, f"{exports}/{stem}.csv", row_ids=False, broken=True)
+            df = df.where(df[S.BROKEN].isNull()).drop(S.BROKEN)
+            if table == "stock_balance":  # Parquet has no names that differ in case only
+                df = df.toDF(*[n.replace("main-", "second-") for n in df.columns])
+            df.coalesce(1).write.parquet(f"{src}/{stem}.parquet")
+    with pytest.raises(ValueError, match="refused"):
+        run_refresh(spark, src, f"{base}/out", RUN, fmt)
+    with pytest.raises(ValueError, match="above 0.2"):
+        run_refresh(spark, src, f"{base}/out", RUN, fmt, max_rejected=0.2)
+    run_refresh(spark, src, f"{base}/out", RUN, fmt, max_rejected=0.7)
+    found = lake.current(spark, f"{base}/out", "rejected").collect()
+    lines = {(r.table_name, r.position, r.field, r.reason) for r in found}
+    broken = {("product", 2, "(record)", "broken record"), ("product", 3, "(record)", "broken record")}
+    at = 4 if fmt == "csv" else 2  # a line break in quotes makes two records of a line
+    assert lines == (broken if fmt == "csv" else set()) | {
+        ("product", at, "Purchase Price", "too large"), ("product", at, "Retail Price", "too large"),
+        ("stock_balance", 2, "Main- Stock on Hand", "too large")}
+    assert all(r.file.split("/")[-2 if fmt == "parquet" else -1].startswith(
+        {"product": "PRODUCT", "stock_balance": "STOCK_BALANCE"}[r.table_name]) for r in found)
+    assert {r.text for r in found if r.field == "Retail Price"} == {"3e20"}
+    tables = {n: lake.current(spark, f"{base}/out", n) for n in S.STAGED}
+    assert {n: df.count() for n, df in tables.items()} == {
+        "stg_product": 2, "stg_sales": 2, "stg_stock_balance": 6, "stg_stock_movement": 3,
+        "stg_stock_aging": 6}
+    # Row 3 of a sheet of 4: positions are those in the file, whatever was rejected.
+    assert {r[0] for r in tables["stg_stock_balance"].select("`Product No.`").collect()} == {
+        "p1", "UNSPECIFIED-1", "UNSPECIFIED-3", "UNSPECIFIED-5", "UNSPECIFIED-7"}
+
+
+@pytest.mark.parametrize("stage", ["stage_product", "stage_sales", "stage_movement"])
+def test_a_row_swapped_for_a_copy_of_another_is_noticed(spark, exports, base, monkeypatch, stage):
+    """Counts stay as they are, contents do not."""
+    from shelfwise.plans import refresh
+    whole = getattr(refresh, stage)
+
+    def swapped(*args):
+        df = whole(*args)
+        by = [f"`{c}`" for c in df.columns]
+        first, last = df.orderBy(*by).limit(1), df.orderBy(*[F.col(c).desc() for c in by]).limit(1)
+        return df.exceptAll(first).unionByName(last)
+
+    monkeypatch.setattr(refresh, stage, swapped)
+    with pytest.raises(ValueError, match="contents not conserved"):
+        run_refresh(spark, exports, f"{base}/out", RUN)
+    assert not lake.is_published(spark, f"{base}/out")
+
+
+def test_a_stock_cell_of_another_product_is_noticed(spark, exports, base, monkeypatch):
+    from shelfwise.plans import refresh
+    whole = refresh.unpivot_balance
+
+    def moved(*args, **kw):
+        df = whole(*args, **kw)
+        stock = F.col("`Stock on Hand`")
+        return df.withColumn("Stock on Hand", F.when(stock == 4, 1).when(stock == 1, 4).otherwise(
+            stock).cast(S.NUMBER))
+
+    monkeypatch.setattr(refresh, "unpivot_balance", moved)
+    with pytest.raises(ValueError, match="stg_stock_balance"):
+        run_refresh(spark, exports, f"{base}/out", RUN)
+
+
+def test_refreshes_keep_the_declared_versions(spark, exports, base):
+    out = f"{base}/out"
+    os.makedirs(f"{out}/notes")
+    lake.publish(spark, {"a": spark.range(1)}, out)
+    kept = [lake.publish(spark, {"a": spark.range(k)}, out) for k in range(2, 10)]
+    reader = lake.current(spark, out, "a")
+    failed = lake.new_version()
+    spark.range(3).write.parquet(lake.version_path(out, failed, "a"))
+    assert lake.retain(spark, out, keep=2) == []  # all were current within the last hour
+    last = run_refresh(spark, exports, out, RUN, keep=2)
+    assert lake.retain(spark, out, keep=2, min_age=0)
+    left = {n for n in os.listdir(out) if lake.VERSION_NAME.fullmatch(n)}
+    assert left == {kept[-1], last} and os.path.isdir(f"{out}/notes")
+    assert reader.count() == 9 and lake.current(spark, out, "stg_product").count() == 2
+    assert lake.retain(spark, f"{base}/none") == []
+
+
 def test_refresh_fails_on_a_lost_offset(spark, exports, base, monkeypatch):
     from shelfwise.sources import row_ids
     whole = row_ids.split_offsets

@@ -238,6 +238,88 @@ def test_a_long_series_costs_no_aggregate_per_date(spark):
         assert short.count(word) == long.count(word)
 
 
+# --- where a log first leaves its closings ------------------------------------------------------
+def plain_divergence(log):
+    out, pairs = [], {}
+    for p, w, *rest in log:
+        pairs.setdefault((p, w), []).append(rest)
+    for (p, w), moves in pairs.items():
+        def place(m):
+            day, no, into, away, closing = m
+            return (day is None, day or DAY, no is None, no or "", (into or 0) - (away or 0),
+                    closing is None, closing or 0)
+
+        balance = None
+        for day, no, into, away, closing in sorted(moves, key=place):
+            if balance is not None:
+                balance += (into or 0) - (away or 0)
+            if closing is not None:
+                if balance is not None and balance != closing:
+                    out.append((p, w, day, no, balance, closing))
+                    break
+                balance = closing
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("n", [0, 40, 900])
+def test_first_divergence_against_plain_walk(spark, base, n):
+    """Random walks with gaps, a pair with half of the log over several files."""
+    rng, log, stock = random.Random(n), [], {}
+    for k in range(n):
+        pair = ("hot", "W") if k % 2 else (f"p{rng.randrange(12)}", f"w{rng.randrange(2)}")
+        into, away = rng.choice([None, 0, 3, 5]), rng.choice([None, 0, 1, 4])
+        stock[pair] = stock.get(pair, 10) + (into or 0) - (away or 0) + (rng.random() < 0.004)
+        closing = rng.choice([None, stock[pair], stock[pair]])
+        log.append((*pair, DAY + datetime.timedelta(k // 9), f"d{k:05d}", into, away, closing))
+    log += [("q", "w", None, None, 1, None, 3), ("q", "w", DAY, "a", None, None, 3),
+            ("r", "w", None, "x", 1, None, None), ("s", "w", DAY, "x", 1, None, 5)] if n else []
+    df = spark.createDataFrame(log, "product_no string, warehouse string, date date, document_no "
+                               "string, inbound int, outbound int, closing int").repartition(5)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = gold.first_divergence(df, f"{base}/sorted").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted(((r.product_no, r.warehouse, r.date, r.document_no, int(r.balance),
+                    int(r.closing)) for r in got), key=str) == plain_divergence(log)
+    if n == 900:
+        hot = spark.read.parquet(f"{base}/sorted").where("product_no = 'hot'")
+        assert hot.select("_metadata.file_name").distinct().count() > 1
+
+
+# --- days that close ------------------------------------------------------------------------------
+def test_late_rows_reach_their_closed_day(spark, base):
+    src, dst, mark = f"{base}/in", f"{base}/days", f"{base}/mark"
+    schema = ("date date, channel string, amount decimal(18,4), qty decimal(18,4), "
+              "profit decimal(18,4)")
+    rng, sold = random.Random(3), []
+    for k in range(5):
+        part = [(None if rng.random() < 0.1 else DAY + datetime.timedelta(
+            k * 5 + rng.randrange(-12, 5)), rng.choice("RO")) for _ in range(60)]
+        spark.createDataFrame(part, "date date, channel string").select(
+            "*", *[F.lit(n).cast("decimal(18,4)").alias(c)
+                   for n, c in enumerate(X.SUMS, 1)]).write.mode("append").parquet(src)
+        seen = [d for d, _ in sum(sold, []) if d]
+        closed = max(seen) - datetime.timedelta(6) if seen else None
+        sold.append(part)
+        stream = spark.readStream.schema(schema).parquet(src)
+        X.run_closed_days(stream, dst, mark, 6, buckets=2)
+        want = sum(d is not None and closed is not None and d < closed for d, _ in part)
+        total = X.closed_days(spark, dst, 6).agg(F.sum("n_late")).first()[0]
+        late = want if k == 0 else late + want
+        assert total == late
+    assert late > 20
+    got = {(r.day, r.channel): (r.n_rows, int(r.amount), int(r.qty), int(r.profit))
+           for r in X.closed_days(spark, dst, 6).collect()}
+    every = sum(sold, [])
+    assert got == {k: (every.count(k), every.count(k), 2 * every.count(k), 3 * every.count(k))
+                   for k in set(every)}
+    last = max(d for d, _ in every if d) - datetime.timedelta(6)
+    assert {r.day for r in X.closed_days(spark, dst, 6).where("closed").collect()} == {
+        d for d, _ in every if d and d < last}
+
+
 # --- cube --------------------------------------------------------------------------------------
 def test_cube_counts_products_once(spark):
     rng = random.Random(2)
