@@ -1,7 +1,7 @@
 """Language identification with a string kernel.
 
-The blended-spectrum presence kernel of two texts is the number of different character n-grams
-(n = 1 to 3, hashed) that both have, over the root of the product of how many each has. Landmark
+The presence kernel over character n-grams of one to three characters (hashed) of two texts is
+the number of different ones that both have, over the root of the product of how many each has. Landmark
 texts of every language span a Nystroem approximation of its feature space, in which one kernel
 ridge regression per language is fitted, one versus the rest. A batch of texts is scored by two
 matrix products: texts by landmark grams, and kernel values by coefficients.
