@@ -10,8 +10,8 @@ whole.
 
 Defined results: null and empty texts get the score of a text without grams; several labels of
 one document count as toxic if one is; null labels and labels without a document teach nothing;
-without both labels every score is 0; null ids are scored but never learned from; repeated rows
-get equal scores; an empty table gives an empty result; extra columns are ignored.
+without both labels every score is 0; null ids are scored but never learned from; an id with
+several texts teaches the first of them in their order; repeated rows get equal scores; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,11 +110,12 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, rest: int = 2,
     counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    # The sample is bounded by SAMPLE, whatever the tables hold, so it may be broadcast.
+    # The sample is bounded by SAMPLE, whatever the tables hold, so it may be broadcast. An id that
+    # many rows repeat brings one text to the driver, the first of them.
     picked = bounded_sample(known, "toxic", sample or SAMPLE, "toxicity")
     body = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS)
     got = sorted((tuple(r) for r in body.join(F.broadcast(picked), "doc_id")
-                  .select("doc_id", "toxic", "text").collect()))
+                  .groupBy("doc_id", "toxic").agg(F.min("text")).collect()))
     toxic = np.array([r[1] for r in got], int)
     if not len(toxic) or toxic.min() == toxic.max():
         return None
