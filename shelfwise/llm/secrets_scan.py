@@ -54,11 +54,11 @@ VERSION = "1"
 SPAN = "struct<kind:string,rank:int,start:int,end:int>"
 
 
-def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
-    """array<struct<kind, rank, start, end>> of a rule's matches in a text.
+STEPS = "array<struct<long:int,part:int,gap:int>>"
 
-    The text must be a finished column, for it is read several times.
-    """
+
+def rule_steps(text: Column, rule: Rule) -> Column:
+    """STEPS: length, length of the group, and distance from the match before, of each match."""
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     part = whole if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
@@ -67,25 +67,61 @@ def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
         F.length(a).alias("long"), F.length(b).alias("part"))), F.slice(gaps, 1, F.size(whole)),
         lambda m, gap: F.struct(m["long"].alias("long"), m["part"].alias("part"),
                                 F.length(gap).alias("gap")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    return F.when(text.rlike(rule.hint), steps).otherwise(F.array().cast(STEPS))
+
+
+def in_chunks(steps: Column) -> Column:
+    """The steps cut into about as many chunks as a chunk has steps.
+
+    Positions are running sums, and a running sum that grows an array copies it at every step:
+    in one go that is the square of the matches, in chunks and over chunks it is not.
+    """
+    size = F.ceil(F.sqrt(F.size(steps).cast("double"))).cast("int")
+    starts = F.when(F.size(steps) > 0, F.sequence(F.lit(0), size - 1)) \
+        .otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: F.slice(steps, k * size + 1, size))
+
+
+def chunk_starts(chunks: Column) -> Column:
+    """Where in the text each chunk begins."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+    def add(acc: Column, chunk: Column) -> Column:
+        length = F.aggregate(chunk, F.lit(0), lambda a, m: a + m["gap"] + m["long"])
+        return F.struct((acc["at"] + length).alias("at"),
+                        F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+
+    return F.aggregate(chunks, start, add, lambda acc: acc["starts"])
+
+
+def chunk_spans(chunks: Column, starts: Column, rule: Rule, rank: int) -> Column:
+    """array<SPAN> of the matches whose group is long enough."""
+    def spans(chunk: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+
+        def add(acc: Column, m: Column) -> Column:
+            low = acc["at"] + m["gap"]
+            high = low + m["long"]
+            span = F.struct(F.lit(rule.kind).alias("kind"), F.lit(rank).alias("rank"),
+                            low.alias("start"), high.alias("end"))
+            more = F.when(m["part"] >= rule.min_length, F.concat(acc["spans"], F.array(span))) \
+                .otherwise(acc["spans"])
+            return F.struct(high.alias("at"), more.alias("spans"))
 
-    def add(acc: Column, m: Column) -> Column:
-        low = acc["at"] + m["gap"]
-        high = low + m["long"]
-        span = F.struct(F.lit(rule.kind).alias("kind"), F.lit(rank).alias("rank"),
-                        low.alias("start"), high.alias("end"))
-        spans = F.when(m["part"] >= rule.min_length, F.concat(acc["spans"], F.array(span))) \
-            .otherwise(acc["spans"])
-        return F.struct(high.alias("at"), spans.alias("spans"))
+        return F.aggregate(chunk, start, add, lambda acc: acc["spans"])
 
-    found = F.aggregate(steps, start, add, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.hint), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.flatten(F.zip_with(chunks, starts, spans))
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blob, spans (array of kind, rank, start, end by start, then rank) of texts (blob, text)."""
-    each = blobs.select("blob", *[rule_spans(F.col("text"), r, k).alias(f"_{k}")
-                                  for k, r in enumerate(rules)])
+    # Each step is a projection of its own: lambdas then read a finished array, not its recipe.
+    n = range(len(rules))
+    steps = blobs.select("blob", *[rule_steps(F.col("text"), rules[k]).alias(f"_s{k}") for k in n])
+    chunks = steps.select("blob", *[in_chunks(F.col(f"_s{k}")).alias(f"_c{k}") for k in n])
+    placed = chunks.select("*", *[chunk_starts(F.col(f"_c{k}")).alias(f"_a{k}") for k in n])
+    each = placed.select("blob", *[chunk_spans(F.col(f"_c{k}"), F.col(f"_a{k}"), rules[k], k)
+                                   .alias(f"_{k}") for k in n])
     key = F.transform(F.concat(*[F.col(f"_{k}") for k in range(len(rules))]),
                       lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"),
                                          s["end"].alias("end"), s["kind"].alias("kind")))
