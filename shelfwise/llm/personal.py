@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,29 +31,27 @@ from shelfwise.llm.store import materialise, needs, workers_import
 
 #: The kinds in their order at one position, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address is found from its @: what may stand before it, and what must follow. A run of digits
+# is tried once, from its first one.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_MAIL_LEFT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_BARE = re.compile(r"^\W+|\W+$")
 _MARK = re.compile(r"[0-9@]")
-_LEFT_SIGNS = re.compile(r"^[^\w@]+")
-_RIGHT_SIGNS = re.compile(r"[^\w@]+\Z")
 _INSIDE = re.compile(r"\w")
 _LETTER = re.compile(r"[^\W\d_]|@")
 #: Kind of the spans that patterns add.
 LEARNED = "learned"
 #: A word that ends with one of these ends a run of digit groups.
 STOPS = ",;:.!?"
-ROUNDS = 3
 MIN_CONFIDENCE = 0.8
 #: Different seeds, or instances found in earlier rounds, behind a pattern before it may name unknown words.
 MIN_SEEDS = 5
-#: Characters looked at to the left for the two words of a pattern.
-CONTEXT = 120
+#: Patterns and instances of more characters are known by a hash.
+LONG_NAME = 120
 
 
 def luhn(digits: str) -> bool:
@@ -64,19 +63,17 @@ def luhn(digits: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    """Matches of EMAIL; it is tried only on the runs of its characters around an @."""
+    """Leftmost addresses; the characters before an @ are looked at once."""
     at, done = text.find("@"), 0
     while at >= 0:
         low = at
-        while low > done and text[low - 1] in _MAIL_LEFT:
+        while low > done and text[low - 1] in LOCAL:
             low -= 1
-        high = at + 1
-        while high < len(text) and text[high] in _MAIL_LEFT:
-            high += 1
-        for m in EMAIL.finditer(text, low, high):
-            yield m.span()
-        done = high
-        at = text.find("@", high)
+        m = DOMAIN.match(text, at) if low < at else None
+        done = m.end() if m else at + 1
+        if m:
+            yield low, done
+        at = text.find("@", done)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -98,11 +95,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _bare(text: str, low: int, high: int, also: str = "") -> tuple[int, int]:
+    """The bounds without the signs at either end; letters, digits, _ and `also` are none."""
+    def sign(c: str) -> bool:
+        return not (c.isalnum() or c == "_" or c in also)
+
+    while low < high and sign(text[low]):
+        low += 1
+    while low < high and sign(text[high - 1]):
+        high -= 1
+    return low, high
+
+
 def _pattern(text: str, start: int) -> str | None:
     """The two words to the left, bare and in lower case; None if there are no two."""
-    left = text[max(0, start - CONTEXT):start]
-    words = [b for b in (_BARE.sub("", w) for w in left.split()) if b][-2:]
-    return " ".join(words).lower() if len(words) == 2 else None
+    words, high = [], start
+    while high > 0 and len(words) < 2:
+        while high > 0 and text[high - 1].isspace():
+            high -= 1
+        low = high
+        while low > 0 and not text[low - 1].isspace():
+            low -= 1
+        a, b = _bare(text, low, high)
+        if a < b:
+            words.insert(0, text[a:b])
+        high = low
+    return _name(" ".join(words).lower()) if len(words) == 2 else None
 
 
 def _unknown(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
@@ -121,9 +139,7 @@ def _unknown(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int
         while high < len(text) and not text[high].isspace():
             high += 1
         gap, after = text[after:low], high
-        bare = text[low:high]
-        low += len(bare) - len(_LEFT_SIGNS.sub("", bare))
-        high -= len(bare) - len(_RIGHT_SIGNS.sub("", bare))
+        low, high = _bare(text, low, high, "@")
         while k < len(spans) and spans[k][0] < high:
             reach = max(reach, spans[k][2])
             k += 1
@@ -145,8 +161,8 @@ def _unknown(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int
 
 
 def _name(text: str) -> str:
-    """An instance as the graph knows it: a long one by a hash."""
-    return text if len(text) <= CONTEXT else hashlib.sha256(text.encode()).hexdigest()
+    """An instance or pattern as the graph knows it: a long one by a hash."""
+    return text if len(text) <= LONG_NAME else hashlib.sha256(text.encode()).hexdigest()
 
 
 SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
@@ -184,9 +200,9 @@ def extract(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(read, f"doc_id {kinds}, spans {SPANS}, seen {SEEN}")
 
 
-def sure_patterns(edges: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
-                  min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """Patterns to trust, from rows of pattern, instance, seed.
+def sure_patterns(edges: DataFrame, rounds: int | None = None,
+                  min_confidence: float = MIN_CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """Patterns to trust, from rows of pattern, instance, seed; rounds go on until none is new.
 
     All groups are sums and maxima, combined before the shuffle. An unknown instance behind a
     pattern that became sure counts in the next rounds as much as that pattern's confidence, and
@@ -201,7 +217,7 @@ def sure_patterns(edges: DataFrame, rounds: int = ROUNDS, min_confidence: float
                         .select("pattern", "instance"), "instances")
     scored = sizes.select("*", F.col("seeds").cast("double").alias("score"))
     sure = known = None
-    for k in range(rounds):
+    for k in count():
         new = scored.withColumn("confidence", F.col("score") / (F.col("n") + 1)).filter(
             (F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds)) \
             .select("pattern", "confidence")
