@@ -40,13 +40,31 @@ base as (select w.rid, doc_id, source, len(ws)::bigint n_words,
 judged as (select *, n_words < {Q.MIN_WORDS}
                      or 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words base_failed
            from base),
-hosts as (select source, count(*) n, count(*) filter (base_failed) f from judged group by source),
-prior as (select avg(f / n) m, var_pop(f / n) v from hosts),
-strength as (select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 0), {Q.MAX_PRIOR})
-                       else {Q.MAX_PRIOR} end k from prior)
+failed as (select source, unnest([
+             {{'rule': 'short', 'bad': n_words < {Q.MIN_WORDS}}},
+             {{'rule': 'repeats', 'bad': 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words}},
+             {{'rule': 'symbols', 'bad': 100 * n_symbols > {Q.MAX_SYMBOL_PERCENT} * n_words}},
+             {{'rule': 'lines', 'bad': 100 * n_dup_lines > {Q.MAX_DUP_LINE_PERCENT} * n_words}}]) x
+           from judged),
+hosts as (select source, x.rule r, count(*)::double n, count(*) filter (x.bad)::double f
+          from failed group by all),
+means as (select r, sum(f) / sum(n) m from hosts group by r),
+spread as (select r, m, sum(n * (f / n - m) * (f / n - m)) observed,
+                  (count(*) - 1) * m * (1 - m) chance,
+                  m * (1 - m) * (sum(n) - sum(n * n) / sum(n)) whole
+           from hosts join means using (r) group by r, m),
+rho as (select r, m, case when whole > chance
+                          then least((observed - chance) / (whole - chance), 1) else 0 end rho
+        from spread),
+prior as (select r, m, case when rho > 0 then least(1 / rho - 1, {Q.MAX_PRIOR}) else {Q.MAX_PRIOR} end k
+          from rho),
+shrunk as (select source, m, (f + m * k) / (n + k) p, n + k + 1 weight from hosts join prior using (r)),
+sure as (select source, m, p - {Q.CAUTION} * sqrt(p * (1 - p) / weight) rate from shrunk),
+verdict as (select source, bool_or(rate > {Q.MAX_HOST_RATE} and rate > {Q.MAX_HOST_RATIO} * m) bad
+            from sure group by source)
 select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and (f + m * k) / (n + k) <= {Q.MAX_HOST_RATE} kept
-from judged j join hosts h on j.source is not distinct from h.source, strength
+       not base_failed and not bad kept
+from judged j join verdict h on j.source is not distinct from h.source
 """
 
 _WEIGHT = " ".join(f"when {i} then {w}" for i, w in enumerate(M.WEIGHTS))

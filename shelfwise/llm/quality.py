@@ -1,10 +1,12 @@
 """Quality rules per document and verdicts per host.
 
-A document fails on its own when it is too short or repeats itself too much. Failures are then
-added up by host, each host's failure rate is shrunk towards the rate of all hosts with a beta
-prior fitted to the hosts themselves, and documents of hosts whose shrunk rate is too high go
-too, whatever they look like alone. A host seen twice can hardly be condemned by two failures; a
-host seen a million times stands for itself.
+A document fails on its own when it is too short or repeats itself too much; much markup and
+repeated lines are failures of further rules, which say nothing about one document but do about
+a host. The failures of each rule are added up by host, each host's rate is shrunk towards that
+of all hosts with a beta prior fitted to the hosts themselves, and documents of hosts with a rate
+that is high and far above that of all hosts go too, whatever they look like alone. What chance
+does to the rates of small hosts is taken out of the prior, so a host seen twice can hardly be
+condemned by two failures; a host seen a million times stands for itself.
 
 Only built-in expressions run here. Windows of three words are compared by 64-bit hashes.
 
@@ -24,10 +26,19 @@ from shelfwise.llm.store import SEPARATORS, materialise, needs, words
 MIN_WORDS = 50
 #: Percent of the words that may lie in repeated windows of three words.
 MAX_REPEAT_PERCENT = 50
-#: A host whose shrunk failure rate exceeds this loses all its documents.
-MAX_HOST_RATE = 0.5
-#: Pseudo-documents of the prior where all hosts fail alike (their variance is zero).
+#: More symbols in percent of the words, and repeated lines in percent of the words, are failures.
+MAX_SYMBOL_PERCENT = 20
+MAX_DUP_LINE_PERCENT = 5
+#: A host loses all its documents if its shrunk rate of some failure, less so many of its standard
+#: deviations, exceeds this...
+CAUTION = 2.0
+MAX_HOST_RATE = 0.3
+#: ... and so many times the rate of all hosts.
+MAX_HOST_RATIO = 2.0
+#: Pseudo-documents of the prior where hosts differ no more than by chance.
 MAX_PRIOR = 1e6
+#: The rules whose failures are counted by host.
+RULES = ("short", "repeats", "symbols", "dup_lines")
 SYMBOLS = "#*$%&|<>"
 _ALL = 2**31 - 1
 
@@ -79,38 +90,76 @@ def document_rules(docs: DataFrame, keep: list[str], text: str = "text",
                        *numbers, "n_repeat_words", failed.alias("base_failed"))
 
 
-def host_verdicts(judged: DataFrame, host: str, failed: str = "base_failed",
-                  max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """host, documents, failures, host_rate (posterior mean) and host_ok, a row for each host.
+def rule_failures(min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT
+                  ) -> dict[str, Column]:
+    """Whether a document with the numbers of `document_rules` fails each rule."""
+    n = F.col("n_words")
+    return {"short": n < min_words, "repeats": 100 * F.col("n_repeat_words") > max_repeat * n,
+            "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n,
+            "dup_lines": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * n}
 
-    The beta prior has the mean m of the hosts' rates and the strength m (1 - m) / v - 1 for their
-    variance v (method of moments). Hosts are counted map-side first, so a hot host costs no task
-    more than one row per partition.
+
+def _prior(hosts: DataFrame, rules: list[str]) -> DataFrame:
+    """One row: <rule>_m, <rule>_k, mean and strength of the beta prior of each rule's rate.
+
+    For hosts of n documents with a share p of failures, m is the share of all documents. The sum
+    of n (p - m)^2 is what sampling alone makes of it, (hosts - 1) m (1 - m), plus what the hosts
+    themselves differ by; the latter gives their correlation rho, and the strength 1 / rho - 1.
+    """
+    n = F.col("documents").cast("double")
+    all_n, all_n2 = F.sum(n).alias("n"), F.sum(n * n).alias("n2")
+    sums = [F.sum(F.col(r).cast("double")).alias(f"{r}_f") for r in rules]
+    squares = [F.sum(F.col(r).cast("double") * F.col(r) / n).alias(f"{r}_q") for r in rules]
+    one = hosts.agg(F.count(F.lit(1)).alias("h"), all_n, all_n2, *sums, *squares)
+    columns = []
+    for r in rules:
+        m = F.coalesce(F.try_divide(F.col(f"{r}_f"), F.col("n")), F.lit(0.0))
+        chance = (F.col("h") - 1) * m * (1 - m)
+        spread = F.col(f"{r}_q") - F.col("n") * m * m  # the sum of n (p - m)^2
+        room = m * (1 - m) * (F.col("n") - F.try_divide(F.col("n2"), F.col("n"))) - chance
+        rho = F.coalesce(F.when(room > 0, F.least((spread - chance) / room, F.lit(1.0))), F.lit(0.0))
+        k = F.when(rho > 0, F.least(1 / rho - 1, F.lit(MAX_PRIOR))).otherwise(F.lit(MAX_PRIOR))
+        columns += [m.alias(f"{r}_m"), k.alias(f"{r}_k")]
+    return one.select(*columns)
+
+
+def host_verdicts(judged: DataFrame, host: str, failures: dict[str, Column] | None = None,
+                  max_rate: float = MAX_HOST_RATE, max_ratio: float = MAX_HOST_RATIO) -> DataFrame:
+    """host, documents, <rule>_rate (posterior means) and host_ok, a row for each host.
+
+    Hosts are counted map-side first, so a hot host costs no task more than one row per
+    partition.
     """
+    failures = failures or rule_failures()
+    rules = list(failures)
     hosts = judged.groupBy(F.col(f"`{host}`").alias("host")).agg(
         F.count(F.lit(1)).alias("documents"),
-        F.sum(F.col(failed).cast("long")).alias("failures"))
-    rate = F.col("failures") / F.col("documents")
-    moments = hosts.agg(F.avg(rate).alias("_m"), F.var_pop(rate).alias("_v"))
-    strength = F.when(F.col("_v") > 0, F.least(F.greatest(
-        F.col("_m") * (1 - F.col("_m")) / F.col("_v") - 1, F.lit(0.0)), F.lit(MAX_PRIOR))) \
-        .otherwise(F.lit(MAX_PRIOR))
-    prior = moments.select(F.col("_m"), strength.alias("_k"))
-    posterior = (F.col("failures") + F.col("_m") * F.col("_k")) / (F.col("documents") + F.col("_k"))
+        *[F.count_if(c).alias(r) for r, c in failures.items()])
+
+    def rate(r: str) -> Column:
+        m, k = F.col(f"{r}_m"), F.col(f"{r}_k")
+        return (F.col(r) + m * k) / (F.col("documents") + k)
+
     # One row joins every host; the aggregate has no keys, so this is no growing product.
-    return hosts.join(F.broadcast(prior)).select(
-        "host", "documents", "failures", posterior.alias("host_rate"),
-        (posterior <= max_rate).alias("host_ok"))
+    both = hosts.join(F.broadcast(_prior(hosts, rules)))
+    bad = F.lit(False)
+    for r in rules:
+        spread = F.sqrt(rate(r) * (1 - rate(r)) / (F.col("documents") + F.col(f"{r}_k") + 1))
+        sure = rate(r) - CAUTION * spread
+        bad = bad | ((sure > max_rate) & (sure > max_ratio * F.col(f"{r}_m")))
+    return both.select("host", "documents", *[rate(r).alias(f"{r}_rate") for r in rules],
+                       (~bad).alias("host_ok"))
 
 
 def host_quality(docs: DataFrame, keep: list[str], host: str = "source", text: str = "text",
-                 max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """document_rules of every row, its host's shrunk failure rate, and whether it is kept."""
+                 max_rate: float = MAX_HOST_RATE, max_ratio: float = MAX_HOST_RATIO) -> DataFrame:
+    """document_rules of every row, its host's shrunk failure rates, and whether it is kept."""
     needs(docs, text, host, *keep)
     columns = list(dict.fromkeys([*keep, host]))
     judged = materialise(document_rules(docs, columns, text), "quality")
-    hosts = host_verdicts(judged, host, max_rate=max_rate)
+    hosts = host_verdicts(judged, host, max_rate=max_rate, max_ratio=max_ratio)
     same = judged[f"`{host}`"].eqNullSafe(hosts["host"])
-    return judged.join(hosts.select("host", "host_rate", "host_ok"), same, "left").select(
-        *[judged[f"`{c}`"] for c in judged.columns], "host_rate",
+    rates = [f"{r}_rate" for r in RULES]
+    return judged.join(hosts.select("host", *rates, "host_ok"), same, "left").select(
+        *[judged[f"`{c}`"] for c in judged.columns], *rates,
         (~F.col("base_failed") & F.col("host_ok")).alias("kept"))

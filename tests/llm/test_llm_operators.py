@@ -76,20 +76,49 @@ def test_quality_counts(request, which):
     assert not any(r.kept and r.base_failed for r in got)
 
 
+def _verdicts(spark, rows, **limits):
+    judged = spark.createDataFrame(rows, "host string, bad boolean")
+    return {r.host: r for r in quality.host_verdicts(
+        judged, "host", {"bad": F.col("bad")}, **limits).collect()}
+
+
 def test_bad_hosts_lose_their_documents(spark):
     rows = [(f"h{h}", h == 0 and i < 90 or h > 0 and i < 5 + h) for h in range(6) for i in range(100)]
     rows += [("tiny", True), ("tiny", False)]
-    judged = spark.createDataFrame(rows, "host string, base_failed boolean")
-    got = {r.host: r for r in quality.host_verdicts(judged, "host").collect()}
+    got = _verdicts(spark, rows)
     assert [h for h, r in got.items() if not r.host_ok] == ["h0"]
     rates = {h: sum(f for n, f in rows if n == h) / sum(n == h for n, _ in rows) for h in got}
-    mean = sum(rates.values()) / len(rates)
+    mean = sum(f for _, f in rows) / len(rows)
     # Shrunk towards the mean, the small host most.
-    assert all(min(mean, rates[h]) <= r.host_rate <= max(mean, rates[h]) for h, r in got.items())
-    pull = {h: (r.host_rate - rates[h]) / (mean - rates[h]) for h, r in got.items()}
+    assert all(min(mean, rates[h]) <= r.bad_rate <= max(mean, rates[h]) for h, r in got.items())
+    pull = {h: (r.bad_rate - rates[h]) / (mean - rates[h]) for h, r in got.items()}
     assert max(pull, key=pull.get) == "tiny"
 
 
+def test_hosts_of_one_document_are_not_condemned(spark):
+    """What chance does to small hosts is no difference between hosts."""
+    rows = [(f"one{h}", h % 2 == 0) for h in range(200)]
+    rows += [(f"h{h}", i < 45 + h) for h in range(5) for i in range(100)]
+    got = _verdicts(spark, rows, max_rate=0.6, max_ratio=1.2)
+    assert all(r.host_ok for r in got.values())
+    assert all(0.4 < r.bad_rate < 0.6 for r in got.values())
+    rows += [("worst", i < 98) for i in range(100)]
+    got = _verdicts(spark, rows, max_rate=0.6, max_ratio=1.2)
+    assert [h for h, r in got.items() if not r.host_ok] == ["worst"]
+
+
+def test_a_host_of_markup_loses_its_clean_documents_too(spark):
+    """Through the whole operator: a rule that says nothing about one document condemns a host."""
+    clean = " ".join(f"word{i}" for i in range(80))
+    rows = [(k, clean + f" n{k}" + (" # * | $ % & < >" * 4 if h == "wiki" and k % 3 else ""), h)
+            for h in ("wiki", "news", "blog", None) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = quality.host_quality(docs, ["doc_id", "source"]).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.source for r in got if not r.kept} == {"wiki"}
+    assert sum(r.kept for r in got) == 180
+
+
 def test_hosts_of_urls(spark):
     df = spark.createDataFrame([("https://A.example.org/x?y=1",), ("no url",), (None,)], "u string")
     assert [r[0] for r in df.select(quality.host_of_url(F.col("u"))).collect()] \
