@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -35,8 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below spark.checkpoint.dir, else below the session's warehouse folder.
 
-    Both are shared by all machines of a cluster; nothing goes to one machine's own folder.
+    Both are shared by all machines of a cluster. A warehouse on the driver's own disk, which is
+    Spark's default, is not: on a cluster it is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) \
-        or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        own = urlparse(warehouse).scheme in ("", "file")
+        if own and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{warehouse} is no folder that all machines share; set spark.checkpoint.dir")
+        base = os.path.join(warehouse, "scratch")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

@@ -172,3 +172,27 @@ def test_read_all_is_lazy_about_rows(spark, tmp_path):
 def test_unknown_format(spark):
     with pytest.raises(ValueError, match="xlsx"):
         read_raw(spark, "product", "p", fmt="xlsx")
+
+
+class _Session:
+    """Stands in for the session of a cluster."""
+
+    def __init__(self, master, **settings):
+        self.conf, self.sparkContext, self.master = settings, self, master
+
+
+@pytest.mark.parametrize("master, settings, good", [
+    ("yarn", {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}, False),
+    ("spark://host:1", {"spark.sql.warehouse.dir": "/tmp/warehouse"}, False),
+    ("yarn", {"spark.sql.warehouse.dir": "hdfs://name/warehouse"}, True),
+    ("yarn", {"spark.sql.warehouse.dir": "/tmp/w", "spark.checkpoint.dir": "/shared"}, True),
+    ("local[4]", {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}, True)])
+def test_scratch_tables_go_to_a_shared_folder(master, settings, good):
+    from shelfwise.session import shared_dir
+    session = _Session(master, **settings)
+    if good:
+        base = settings.get("spark.checkpoint.dir") or settings["spark.sql.warehouse.dir"] + "/scratch"
+        assert shared_dir(session, "x").startswith(f"{base}/x-")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session, "x")
