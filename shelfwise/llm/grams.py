@@ -34,10 +34,14 @@ class Window:
     owner: np.ndarray
     old: int
 
+    def first(self, n: int) -> np.ndarray:
+        """The first words of the runs of n words that no earlier window had."""
+        at = np.arange(max(0, self.old - n + 1), len(self.starts) - n + 1)
+        return at[self.owner[at] == self.owner[at + n - 1]]
+
     def runs(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(starts, ends, owner) of the runs of n words that no earlier window had."""
-        first = np.arange(max(0, self.old - n + 1), len(self.starts) - n + 1)
-        first = first[self.owner[first] == self.owner[first + n - 1]]
+        """(starts, ends, owner) of these runs."""
+        first = self.first(n)
         return self.starts[first], self.ends[first + n - 1], self.owner[first]
 
 

@@ -5,10 +5,11 @@ over the target. A bucket's gain is the logarithm of how much likelier the targe
 a document's weight is the mean gain of its n-grams, and with Gumbel noise from its id added, the
 highest scores are a draw without replacement in proportion to the exponentials of the weights.
 
-The n-grams of each window of a batch are interned in an open-addressed NumPy table: XXH64 keys,
-linear probing for all n-grams at once, and a comparison of bytes before a slot counts as found,
-so equal hashes do no harm. A slot holds the n-gram's bucket, worked out once, and its count; the
-first pass adds these up, the second gathers the gains of the slots of all occurrences.
+The n-grams of each window of a batch are interned in open-addressed NumPy tables: XXH64 keys,
+linear probing for all n-grams at once, and a comparison before a slot counts as found, so equal
+hashes do no harm: bytes for words, and for runs the slots of their parts, whose bytes have been
+compared. A slot holds the n-gram's bucket, worked out once, and its count; the first pass adds
+these up, the second gathers the gains of the slots of all occurrences.
 
 Both passes read texts where the scan has them. A task hands a count per bucket to the shuffle;
 the gains (BUCKETS numbers) are all that reaches the driver. The ranking sorts narrow rows by range into a
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from shelfwise.llm.grams import lowered, text_rows, windows
+from shelfwise.llm.grams import PIECE, lowered, text_rows, windows
 from shelfwise.llm.store import materialise, needs, workers_import
 from shelfwise.llm.text import slices
 
@@ -47,90 +49,141 @@ SEED = 7
 #: ASCII that is neither a digit nor, once lowered, a letter.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 TABLE = lowered(SEPARATORS)
-#: Bytes compared eight at a time; the rest of longer n-grams is compared at once.
+#: Times that words are compared by eight bytes; the rest of longer ones is compared at once.
 LANES = 8
+#: Odd numbers that mix the keys of a run's parts.
+MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93))
 
 
-class NgramTable:
-    """Slots for the n-grams of one text, which may hold `room` different ones."""
+class SlotTable:
+    """An open-addressed table with room for n items: `holder` is the item that a slot was given to."""
 
-    def __init__(self, text: bytes, room: int):
-        size = 1 << max(4, (2 * room - 1).bit_length())
-        self.text = text
-        self.mask = np.uint64(size - 1)
-        self.holder = np.full(size, -1, np.int64)
-        self.bucket = np.zeros(size, np.int64)
-        self.count = np.zeros(size, np.int64)
+    def __init__(self, n: int):
+        size = 1 << max(4, n.bit_length())  # more slots than items
+        self.holder = np.full(size, -1, np.int32)
+
+    def intern(self, keys: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray]
+               ) -> np.ndarray:
+        """The slot of each item; `same(a, b)` verifies that items of equal keys are equal."""
+        mask = len(self.holder) - 1
+        at = (keys & np.uint64(mask)).astype(np.int32)
+        slots = np.empty(len(keys), np.int32)
+        todo = np.arange(len(keys), dtype=np.int32)
+        while len(todo):
+            here = at[todo]
+            free = self.holder[here] < 0
+            self.holder[here[free]] = todo[free]  # one of those that want a free slot gets it
+            holder = self.holder[here]
+            found = keys[holder] == keys[todo]
+            found[found] = same(holder[found], todo[found])
+            slots[todo[found]] = here[found]
+            todo = todo[~found]
+            at[todo] = (at[todo] + 1) & mask
+        return slots
+
+    def used(self) -> tuple[np.ndarray, np.ndarray]:
+        """Slots in use, and an item of each."""
+        slots = np.flatnonzero(self.holder >= 0)
+        return slots, self.holder[slots]
+
+
+class Words:
+    """Whether two words of a text have the same bytes, compared eight at a time."""
+
+    def __init__(self, text: bytes, words: list[bytes], starts: np.ndarray, ends: np.ndarray):
+        self.words, self.starts, self.length = words, starts, ends - starts
         padded = np.frombuffer(text + bytes(8), np.uint8)
         self.lanes = np.ndarray((len(text) + 1,), "<u8", padded, strides=(1,))
 
-    def keys(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        digest, text = xxhash.xxh64_intdigest, self.text
-        return np.fromiter((digest(text[a:b]) for a, b in
-                            zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64,
-                           len(starts))
-
-    def equal(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray, ends: np.ndarray
-              ) -> np.ndarray:
-        """Whether n-grams a[i] and b[i] have the same bytes."""
-        length = ends - starts
-        same = length[a] == length[b]
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        same = self.length[a] == self.length[b]
         open_ = np.flatnonzero(same & (a != b))
         for lane in range(LANES):
             if not len(open_):
                 return same
-            left = length[a[open_]] - 8 * lane
-            differ = (self.lanes[starts[a[open_]] + 8 * lane]
-                      ^ self.lanes[starts[b[open_]] + 8 * lane])
+            left = self.length[a[open_]] - 8 * lane
+            differ = (self.lanes[self.starts[a[open_]] + 8 * lane]
+                      ^ self.lanes[self.starts[b[open_]] + 8 * lane])
             part = left < 8
             differ[part] &= (np.uint64(1) << (8 * left[part]).astype(np.uint64)) - np.uint64(1)
             same[open_[differ != 0]] = False
             open_ = open_[(differ == 0) & (left > 8)]
         for k in open_:
-            x, y = a[k], b[k]
-            same[k] = self.text[starts[x]:ends[x]] == self.text[starts[y]:ends[y]]
+            same[k] = self.words[a[k]] == self.words[b[k]]
         return same
 
-    def intern(self, starts: np.ndarray, ends: np.ndarray, buckets: int,
-               keys: np.ndarray | None = None) -> np.ndarray:
-        """The slot of each n-gram text[starts:ends]; called once."""
-        keys = self.keys(starts, ends) if keys is None else keys
-        at = (keys & self.mask).astype(np.int64)
-        slots = np.empty(len(keys), np.int64)
-        todo = np.arange(len(keys))
-        while len(todo):
-            here = at[todo]
-            free = self.holder[here] < 0
-            self.holder[here[free]] = todo[free]  # one of those that want a free slot gets it
-            holder = self.holder[here]
-            found = keys[holder] == keys[todo]
-            found[found] = self.equal(holder[found], todo[found], starts, ends)
-            slots[todo[found]] = here[found]
-            todo = todo[~found]
-            at[todo] = (at[todo] + 1) & int(self.mask)
-        np.add.at(self.count, slots, 1)
-        used = np.flatnonzero(self.holder >= 0)
-        first = self.holder[used]
-        crc, text = zlib.crc32, self.text
-        self.bucket[used] = np.fromiter(
-            (crc(text[a:b]) % buckets for a, b in
-             zip(starts[first].tolist(), ends[first].tolist(), strict=True)), np.int64, len(used))
-        return slots
-
 
-def interned(texts: list[bytes], orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS
-             ) -> Iterator[tuple[NgramTable, np.ndarray, np.ndarray, np.ndarray]]:
-    """(table, slot of each n-gram, its text, text of each word) by window of the texts."""
+@lru_cache(maxsize=256)
+def _behind(length: int) -> np.ndarray:
+    """What so many zero bytes make of a CRC-32, by byte of it: four tables of 256."""
+    zero = bytes(length)
+    nothing = zlib.crc32(zero)
+    bits = [zlib.crc32(zero, 1 << i) ^ nothing for i in range(32)]
+    value = np.arange(256)
+    return np.array([np.bitwise_xor.reduce(
+        [np.where(value >> i & 1, bits[8 * k + i], 0) for i in range(8)]) for k in range(4)],
+        np.uint32)
+
+
+def crc_joined(first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """CRC-32 of a + b from those of a and b and the length of b: the checksum is linear."""
+    out = second.copy()
+    for n in np.unique(length):
+        rows = np.flatnonzero(length == n)
+        table, crc = _behind(int(n)), first[rows]
+        for k in range(4):
+            out[rows] ^= table[k][crc >> np.uint32(8 * k) & np.uint32(255)]
+    return out
+
+
+def interned(texts: list[bytes], orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS,
+             digest: Callable[[bytes], int] = xxhash.xxh64_intdigest
+             ) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """By window of the texts: the text of each word, and for each order (bucket of each slot,
+    slot of each n-gram, text of each n-gram).
+
+    A run is its run without the last word and that word. Both have slots by then, so equal runs
+    are those of equal slots; its key is mixed from theirs, its CRC joined from theirs.
+    """
     for window in windows(texts, TABLE, max(orders) - 1):
-        runs = [window.runs(n) for n in orders]
-        starts, ends, owner = (np.concatenate(x) for x in zip(*runs, strict=True))
-        table = NgramTable(window.text, len(starts))
-        yield table, table.intern(starts, ends, buckets), owner, window.owner[window.old:]
+        words = window.text.split()
+        length = window.ends - window.starts
+        keys = np.fromiter(map(digest, words), np.uint64, len(words))
+        table = SlotTable(len(words))
+        slots = table.intern(keys, Words(window.text, words, window.starts, window.ends).same)
+        used, item = table.used()
+        distinct = [words[k] for k in item.tolist()]
+        crc = np.zeros(len(table.holder), np.uint32)
+        crc[used] = np.fromiter(map(zlib.crc32, distinct), np.uint32, len(used))
+        spaced = crc_joined(np.full(len(used), zlib.crc32(b" "), np.uint32), crc[used], length[item])
+        behind = np.zeros(len(table.holder), np.uint32)  # of a space and the word
+        behind[used] = spaced
+        run_keys, run_slots, run_crc, found = keys, slots, crc, []
+        for n in range(1, max(orders) + 1):
+            if n > 1:
+                first = np.flatnonzero(window.owner[:len(words) - n + 1] == window.owner[n - 1:])
+                last = first + n - 1
+                a, b = run_slots[first], slots[last]
+                mixed = (run_keys[first] * MIX[0]) ^ (keys[last] + MIX[1])
+                mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX[2]
+                mixed ^= mixed >> np.uint64(32)
+                table = SlotTable(len(first))
+                got = table.intern(mixed, lambda x, y: (a[x] == a[y]) & (b[x] == b[y]))  # noqa: B023
+                used, item = table.used()
+                joined = np.zeros(len(table.holder), np.uint32)
+                joined[used] = crc_joined(run_crc[a[item]], behind[b[item]],
+                                          length[last[item]] + 1)
+                run_keys, run_slots = np.zeros(len(words), np.uint64), np.zeros(len(words), np.int32)
+                run_keys[first], run_slots[first], run_crc = mixed, got, joined
+            if n in orders:
+                new = window.first(n)
+                found.append((run_crc % np.uint32(buckets), run_slots[new], window.owner[new]))
+        yield window.owner[window.old:], found
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
-        for low, high in slices(batch):
+        for low, high in slices(batch, limit=PIECE):
             piece = batch.slice(low, high - low)
             yield piece, text_rows(piece.column("text"))
 
@@ -139,8 +192,10 @@ def _bucket_counts(orders: tuple[int, ...], buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, np.int64)
         for _, texts in _pieces(batches):
-            for table, _, _, _ in interned(texts, orders, buckets):
-                np.add.at(counts, table.bucket, table.count)
+            for _, found in interned(texts, orders, buckets):
+                for bucket, slots, _ in found:
+                    times = np.bincount(slots, minlength=len(bucket))
+                    counts += np.bincount(bucket, times, buckets).astype(np.int64)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()),
                                           pa.array(counts[used], pa.int64())], ["bucket", "n"])
@@ -170,10 +225,11 @@ def _weights(gain: np.ndarray, orders: tuple[int, ...], schema: pa.Schema) -> Ca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in _pieces(batches):
             words, grams, total = (np.zeros(len(texts), np.int64) for _ in range(3))
-            for table, slots, owner, word_owner in interned(texts, orders, len(gain)):
+            for word_owner, found in interned(texts, orders, len(gain)):
                 words += np.bincount(word_owner, minlength=len(texts))
-                grams += np.bincount(owner, minlength=len(texts))
-                np.add.at(total, owner, gain[table.bucket][slots])
+                for bucket, slots, owner in found:
+                    grams += np.bincount(owner, minlength=len(texts))
+                    total += np.bincount(owner, gain[bucket][slots], len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(words), pa.array(grams),
                  pa.array(total // np.maximum(grams, 1))], schema=schema)
