@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +24,9 @@ BUCKETS = 16
 
 def run_incremental(spark: SparkSession, src: str, dst: str, run_date: datetime.date,
                     fmt: str = "csv", house_category: str = S.HOUSE_CATEGORY,
-                    options: dict | None = None, buckets: int = BUCKETS,
-                    keep: int | None = None, **ageing) -> parts.Manifest:
+                    options: dict | None = None,
+                    reports: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
+                    buckets: int = BUCKETS, keep: int | None = None, **ageing) -> parts.Manifest:
     """Read all, check, stage, and publish what differs from the last version.
 
     The exports are whole files, so they are read and staged in any case; what is saved is the
@@ -34,7 +36,8 @@ def run_incremental(spark: SparkSession, src: str, dst: str, run_date: datetime.
     of the last `keep` versions are removed.
     """
     raw = read_all(spark, src, fmt, row_ids="blank", options=options)
-    refuse(quality_report(read_all(spark, src, fmt, row_ids=False, options=options)))
+    report = quality_report(read_all(spark, src, fmt, row_ids=False, options=options))
+    refuse(report)
     staged = stage_all(raw, run_date, house_category, **ageing)
     cuts = {
         "stg_product": parts.by_key(["Product No."], buckets),
@@ -43,16 +46,22 @@ def run_incremental(spark: SparkSession, src: str, dst: str, run_date: datetime.
         "stg_stock_movement": parts.by_month("Date"),
     }
 
-    def derived(written: dict[str, DataFrame]) -> dict:
-        plain = {n: df.drop(cuts[n][0]) for n, df in written.items()}
-        aged = conform(stock_ageing(plain["stg_stock_balance"], written["stg_stock_movement"],
-                                    run_date, **ageing), S.STG_STOCK_AGING)
-        keys = declared_keys({**plain, "stg_stock_aging": aged})
-        return {"stg_stock_aging": (aged, cuts["stg_stock_balance"]),
-                "key_check": (keys, parts.by_key(["table_name"], 1))}
+    def aged(written: dict[str, DataFrame]) -> dict:
+        balance = written["stg_stock_balance"].drop(parts.BUCKET)
+        table = stock_ageing(balance, written["stg_stock_movement"], run_date, **ageing)
+        return {"stg_stock_aging": (conform(table, S.STG_STOCK_AGING), cuts["stg_stock_balance"])}
+
+    def reported(written: dict[str, DataFrame]) -> dict:
+        dated = {n: written[n].drop(parts.BUCKET) for n in S.STAGED}
+        made = {"key_check": declared_keys(dated), **(reports(dated) if reports else {})}
+        facts = {"fact_sales": parts.by_month("date"),
+                 "fact_stock_aging": parts.by_key(["product_no", "warehouse"], buckets)}
+        return {n: (df, facts.get(n, parts.whole())) for n, df in made.items()}
 
     notes = {"run_date": str(run_date), **{k: str(v) for k, v in sorted(ageing.items())}}
-    m = parts.publish(spark, dst, {n: (staged[n], cut) for n, cut in cuts.items()}, derived, notes)
+    tables = {"quality_report": (report, parts.whole()),
+              **{n: (staged[n], cut) for n, cut in cuts.items()}}
+    m = parts.publish(spark, dst, tables, [aged, reported], notes)
     fresh = {n: sum(v == m.version for v, _, _ in t.parts.values()) for n, t in m.tables.items()}
     for name, n in fresh.items():
         log.info("%s: wrote %s of %s parts", name, n, len(m.tables[name].parts))

@@ -16,7 +16,7 @@ staged rows had.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -150,29 +150,37 @@ def write_changed(spark: SparkSession, dst: str, version: str, name: str, df: Da
     return now
 
 
-def publish(spark: SparkSession, dst: str,
-            tables: dict[str, tuple[DataFrame, tuple[str, Column]]],
-            derived: Callable[[dict[str, DataFrame]], dict] | None = None,
-            notes: dict[str, str] | None = None) -> Manifest:
-    """A refresh: {name: (rows, cut)}, then what `derived` makes of those as written.
+def whole() -> tuple[str, Column]:
+    """One part: for reports and other small tables."""
+    return BUCKET, F.lit("0" * 6)
 
-    `derived` gets the written tables and returns more of the same kind; it is not called if
-    neither they nor the notes have changed since the last version.
+
+Cut = tuple[str, Column]
+Derived = Callable[[dict[str, DataFrame]], dict[str, tuple[DataFrame, Cut]]]
+
+
+def publish(spark: SparkSession, dst: str, tables: dict[str, tuple[DataFrame, Cut]],
+            derived: Sequence[Derived] = (), notes: dict[str, str] | None = None) -> Manifest:
+    """A refresh: {name: (rows, cut)}, then what each of `derived` makes of all written so far.
+
+    A step of `derived` gets the written tables with their folder columns and returns more of the
+    kind of `tables`. If neither these nor the notes differ from the last version, no step is
+    taken and the derived tables stay as they are.
     """
     before = manifest(spark, dst)
     old = before.tables if before else {}
     m = Manifest(lake.new_version(), {}, notes or {})
     for name, (df, cut) in tables.items():
         m.tables[name] = write_changed(spark, dst, m.version, name, df, cut, old.get(name))
-    if derived is not None:
-        rest = {n: t for n, t in old.items() if n not in tables}
-        if rest and before.notes == m.notes and all(
-                m.tables[n] == old.get(n) for n in tables):
-            m.tables |= rest
-        else:
-            made = derived({n: read(spark, dst, n, m, True) for n in tables})
-            for name, (df, cut) in made.items():
-                m.tables[name] = write_changed(spark, dst, m.version, name, df, cut, old.get(name))
+    rest = {n: t for n, t in old.items() if n not in tables}
+    if derived and rest and before.notes == m.notes and all(
+            m.tables[n] == old.get(n) for n in tables):
+        m.tables |= rest
+        derived = ()
+    for step in derived:
+        made = step({n: read(spark, dst, n, m, True) for n in m.tables})
+        for name, (df, cut) in made.items():
+            m.tables[name] = write_changed(spark, dst, m.version, name, df, cut, old.get(name))
     commit(spark, dst, m)
     return m
 
