@@ -18,10 +18,21 @@ work, never the result. Altered copies have their own n-grams first, so those to
 hardly meet.
 
 Inside a column rows are not laid against each other but against a hub, and each row is compared
-with the hub it shares most columns with: links give components. Columns that then still hold
-rows of several components add up the whole counts of all pairs between those, for a last round.
-So every link between documents of different components is found, and copies are never paired
-with each other. Equal rows of a block of documents enter once.
+with the hub it shares most columns with: links give components. A last round finds the links
+between rows of different components, in two ways.
+
+Rows near one hub, such as altered copies of one original that are all a little too unlike it,
+are joined by their differences from it. Where x lacks Dx of the hub's h n-grams and has Ex others,
+x and y share h - |Dx| - |Dy| n-grams and one more for each difference they have in common. With
+u = 5 |D| + 4 |E| a linked pair has t = ceil((ux + uy - h) / 9) common differences at least, and
+x links to the hub itself exactly if ux <= h. So t is positive for rows of different components,
+and the first common difference, in one order of all, is among the first |D| + |E| - t + 1 of both.
+Own n-grams come first in that order: those that two copies both lack hardly ever bring them
+together, and rows enter with so many differences only as their smallest t asks for.
+
+For rows of different hubs, columns that still hold several components and several hubs add up
+the whole counts of all such pairs. So every link between documents of different components is
+found, and copies are never paired with each other. Equal rows of a block of documents enter once.
 
 Defined results: texts without words and null texts have no n-grams and link to nothing; so do
 rows without id, whose component is null; rows that repeat an id link by their texts like any
@@ -38,7 +49,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import blocks as B
@@ -64,6 +75,8 @@ BAND_SHIFTS = (0.0, 0.5)
 SHARE = 60
 #: ... and to be compared with a hub, this part of it.
 HUB_SHARE = 10
+#: A row is near its hub if they share so little as a part of NEAR of both sizes (0.5 in likeness).
+NEAR = 3
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -280,18 +293,124 @@ def _block_overlaps(batch: pa.RecordBatch) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose overlap suffices. Each row's n-grams are made once."""
-    # A plain merge, whatever the size: a broadcast of ids would grow with the documents.
-    wanted = pairs.select(F.col("a").alias("_r")).unionAll(pairs.select("b")).distinct().hint("merge")
+def _grown(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the documents: never broadcast, so that a small table is
+    joined as a large one is."""
+    return side.hint("merge")
+
+
+def _paired(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """a, b, and the sorted n-grams of both, of the pairs (a, b). A row's n-grams are made once."""
+    wanted = pairs.select(F.col("a").alias("_r")).unionAll(pairs.select("b")).distinct()
     sets = materialise(
-        docs.join(wanted, F.col("_row") == F.col("_r"), "left_semi").select("_row", "text")
+        docs.join(_grown(wanted), F.col("_row") == F.col("_r"), "left_semi").select("_row", "text")
         .mapInArrow(_sets, "row long, grams binary"), "sets")
     a = sets.select(F.col("row").alias("_ra"), F.col("grams").alias("_ga"))
     b = sets.select(F.col("row").alias("_rb"), F.col("grams").alias("_gb"))
-    both = pairs.join(b, F.col("b") == F.col("_rb")).join(a, F.col("a") == F.col("_ra"))
-    return materialise(both.select("a", "b", "_ga", "_gb").mapInArrow(_overlaps, "a long, b long"),
-                       "links")
+    both = pairs.select("a", "b").join(_grown(b), F.col("b") == F.col("_rb")) \
+        .join(_grown(a), F.col("a") == F.col("_ra"))
+    return both.select("a", "b", "_ga", "_gb")
+
+
+def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose overlap suffices."""
+    return materialise(_paired(docs, pairs).mapInArrow(_overlaps, "a long, b long"), "links")
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hubs a and rows b with their n-grams -> sizes, and how b differs from a, if that is not much."""
+    for batch in batches:
+        sizes = lengths(batch.column(2), 8) + lengths(batch.column(3), 8)
+        total, low = np.append(0, np.cumsum(sizes)), 0
+        while low < batch.num_rows:
+            high = max(low + 1, int(np.searchsorted(total, total[low] + GRAMS_AT_ONCE, "right")) - 1)
+            yield _block_differences(batch.slice(low, high - low))
+            low = high
+
+
+def _block_differences(batch: pa.RecordBatch) -> pa.RecordBatch:
+    a, b = batch.column(2), batch.column(3)
+    na, nb = lengths(a, 8), lengths(b, 8)
+    pair = np.concatenate([np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)])
+    grams = np.concatenate([joined(a, np.uint64), joined(b, np.uint64)])
+    of_hub = np.arange(len(grams)) < na.sum()
+    order = np.argsort(grams, kind="stable")
+    order = order[np.argsort(pair[order].astype(np.int32), kind="stable")]
+    grams, pair, of_hub = grams[order], pair[order], of_hub[order]
+    twice = np.zeros(len(grams), bool)
+    both = (grams[1:] == grams[:-1]) & (pair[1:] == pair[:-1])
+    twice[1:] = both
+    twice[:-1] |= both
+    shared = np.bincount(pair[twice], minlength=len(na)) // 2
+    near = NEAR * shared >= na + nb
+    alone = ~twice & near[pair]
+    # Own n-grams first, then those that the hub alone has, complemented.
+    differ, of, lacks = grams[alone], pair[alone], of_hub[alone]
+    order = np.lexsort((differ, lacks, of))
+    differ = np.where(lacks[order], ~differ[order], differ[order])
+    ends = np.cumsum(np.bincount(of, minlength=len(na)))
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1), pa.array(na), pa.array(nb), pa.array(shared),
+         pa.array(near), binary(np.split(differ, ends[:-1]))],
+        names=["a", "b", "hub_size", "size", "shared", "near", "differ"])
+
+
+COMPARED = "a long, b long, hub_size long, size long, shared long, near boolean, differ binary"
+
+
+def _difference_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The differences by which a row may meet others of its hub, each with its place.
+
+    A row that does not link to the hub needs t >= (u - h) / 5 of them: a partner has at least t
+    differences, so its own u is 4 t or more. One that does only meets rows that do not, whose u
+    is above h.
+    """
+    names = ["key", "row", "label", "place", "differences", "u", "hub_size", "size"]
+    for batch in batches:
+        hub, row, label, h, n, shared = (batch.column(i).to_numpy() for i in range(6))
+        lacked, own = h - shared, n - shared
+        total, u = lacked + own, 5 * lacked + 4 * own
+        least = np.where(u > h, -((h - u) // 5), (u + 9) // 9)
+        take = np.clip(total - least + 1, 0, total)
+        differ = joined(batch.column(6), np.uint64)
+        owner = np.repeat(np.arange(len(total)), total)
+        place = np.arange(len(differ)) - np.repeat(np.cumsum(total) - total, total) + 1
+        stay = place <= take[owner]
+        owner, place = owner[stay], place[stay]
+        key = mix(differ[stay] ^ mix(hub[owner].astype(np.uint64) ^ _SALT))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key.view(np.int64)), pa.array(row[owner]), pa.array(label[owner]),
+             pa.array(place.astype(np.int32)), pa.array(total[owner].astype(np.int32)),
+             *[pa.array(x[owner].astype(np.int32)) for x in (u, h, n)]], names=names)
+
+
+def _labelled(rows: DataFrame, row: str, labels: DataFrame) -> DataFrame:
+    """rows with `label`, the component of a row so far, or the row itself."""
+    known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    return rows.join(_grown(known), F.col(row) == F.col("_n"), "left").withColumn(
+        "label", F.coalesce("_c", row)).drop("_n", "_c")
+
+
+def _hub_mates(compared: DataFrame, labels: DataFrame) -> DataFrame:
+    """a, b: rows near one hub, of different labels, that may share differences enough."""
+    named = materialise(_labelled(compared.filter("near"), "b", labels).select(
+        "a", "b", "label", "hub_size", "size", "shared", "differ"), "near")
+    mixed = named.groupBy(F.col("a").alias("_hub")).agg(
+        F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("_hub")
+    entries = named.join(_grown(mixed), F.col("a") == F.col("_hub"), "left_semi").mapInArrow(
+        _difference_entries, "key long, row long, label long, place int, differences int, u int, "
+        "hub_size int, size int")
+    x, y = entries.alias("x"), entries.alias("y")
+    least = F.floor((F.col("x.u") + F.col("y.u") - F.col("x.hub_size") + 8) / 9)
+
+    def reaches(side: str) -> Column:
+        return F.col(f"{side}.place") <= F.col(f"{side}.differences") - least + 1
+
+    nx, ny = F.col("x.size"), F.col("y.size")
+    return x.join(_grown(y), (F.col("x.key") == F.col("y.key")) & (F.col("x.row") < F.col("y.row"))
+                  & (F.col("x.label") != F.col("y.label")) & reaches("x") & reaches("y")
+                  & (5 * nx >= 4 * ny) & (5 * ny >= 4 * nx)) \
+        .select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
 
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
@@ -309,7 +428,7 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
         F.max_by("row", "rank").alias("hub"), F.max_by("size", "rank").alias("hub_size"),
         F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     least, most = F.least("size", "hub_size"), F.greatest("size", "hub_size")
-    shared = banded.join(hubs, ["column", "shift", "band"]) \
+    shared = banded.join(_grown(hubs), ["column", "shift", "band"]) \
         .filter((F.col("row") != F.col("hub")) & (5 * least >= 4 * most)) \
         .groupBy("row", "hub", "shift").agg(F.sum("times").alias("shared"), F.min(least).alias("size")) \
         .filter(F.col("shared") > F.floor(F.col("size") / HUB_SHARE))
@@ -317,18 +436,22 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
         .select("a", F.col("row").alias("b"))
 
 
-def _open_columns(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries with their rows' new labels, of columns whose rows do not all have the same."""
-    known = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-    named = entries.join(known, F.col("row") == F.col("_n"), "left").withColumn(
-        "label", F.coalesce("_c", "row")).select(*entries.columns, "label")
-    mixed = named.groupBy("column").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-        .filter(F.col("low") < F.col("high")).select("column")
-    return materialise(named.join(mixed, "column", "left_semi"), "columns")
+def _open_columns(entries: DataFrame, labels: DataFrame, compared: DataFrame) -> DataFrame:
+    """Entries with their rows' labels and hubs, of columns whose rows differ in both.
+
+    A row that is not near a hub is its own.
+    """
+    hubs = compared.filter("near").select(F.col("b").alias("_b"), F.col("a").alias("_hub"))
+    named = _labelled(entries, "row", labels).join(_grown(hubs), F.col("row") == F.col("_b"), "left") \
+        .withColumn("hub", F.coalesce("_hub", "row")).drop("_b", "_hub")
+    mixed = named.groupBy("column").agg(*[f(c).alias(n) for c, low, high in (
+        ("label", "l0", "l1"), ("hub", "h0", "h1")) for f, n in ((F.min, low), (F.max, high))]) \
+        .filter("l0 < l1 and h0 < h1").select("column")
+    return materialise(named.join(_grown(mixed), "column", "left_semi"), "columns")
 
 
 def _other_pairs(entries: DataFrame) -> DataFrame:
-    """a, b: all row pairs of different labels whose sizes and whole counts allow a link.
+    """a, b: all row pairs of different labels and hubs whose sizes and whole counts allow a link.
 
     Of the smaller row x the inner prefix counts, of the other that for the ratio of their sizes.
     Both hold the first n // SHARE + 1 n-grams that a linked pair has in common.
@@ -339,8 +462,9 @@ def _other_pairs(entries: DataFrame) -> DataFrame:
     for k in reversed(range(len(RATIOS) - 1)):
         needed = F.when(100 * ny <= RATIOS[k] * nx, k).otherwise(needed)
     ordered = (nx < ny) | ((nx == ny) & (F.col("x.row") < F.col("y.row")))
-    return x.join(y, (F.col("x.column") == F.col("y.column")) & ordered & (5 * nx >= 4 * ny)
-                  & (F.col("x.label") != F.col("y.label")) & (F.col("y.part") <= needed)) \
+    return x.join(_grown(y), (F.col("x.column") == F.col("y.column")) & ordered & (5 * nx >= 4 * ny)
+                  & (F.col("x.label") != F.col("y.label")) & (F.col("x.hub") != F.col("y.hub"))
+                  & (F.col("y.part") <= needed)) \
         .groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")) \
         .agg(F.sum("x.times").alias("shared"), F.min(nx).alias("size")) \
         .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
@@ -373,22 +497,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
     rank = F.floor(F.col("_company") * 4096).cast("long") * (1 << 20) \
         + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
-    entries = materialise(entries.join(company, F.col("row") == F.col("_r")).select(
+    entries = materialise(entries.join(_grown(company), F.col("row") == F.col("_r")).select(
         "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
-    found = found.unionAll(_linked(docs, materialise(_hub_pairs(entries), "pairs")))
-    entries = _open_columns(entries, components(found))
-    found = found.unionAll(_linked(docs, materialise(_other_pairs(entries), "pairs")))
+    compared = materialise(_paired(docs, materialise(_hub_pairs(entries), "pairs"))
+                           .mapInArrow(_differences, COMPARED), "compared")
+    found = found.unionAll(compared.filter("9 * shared >= 4 * (hub_size + size)").select("a", "b"))
+    labels = components(found)
+    mates = _hub_mates(compared, labels)
+    others = _other_pairs(_open_columns(entries, labels, compared))
+    found = found.unionAll(_linked(docs, materialise(mates.unionAll(others), "pairs")))
     final = components(found)
-    member = materialise(rows.join(final, F.col("row") == F.col("node"), "left").select(
+    member = materialise(rows.join(_grown(final), F.col("row") == F.col("node"), "left").select(
         "row", "doc_id", "n_shingles", F.col("component").alias("_component")), "members")
     linked, alone = (member.filter(F.col("_component").isNotNull()),
                      member.filter(F.col("_component").isNull()))
     heads = linked.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
     # Ids may repeat: of the rows with the smallest one the first stays.
-    named = linked.join(heads, "_component")
+    named = linked.join(_grown(heads), "_component")
     stay = named.filter(F.col("doc_id") == F.col("component_id")).groupBy("_component").agg(
         F.min("row").alias("_stay"))
-    named = named.join(stay, "_component").select(
+    named = named.join(_grown(stay), "_component").select(
         "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("_stay")).alias("kept"))
     return named.unionAll(alone.select("row", "doc_id", "n_shingles",
                                        F.col("doc_id").alias("component_id"),

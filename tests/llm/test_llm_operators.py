@@ -281,6 +281,102 @@ def test_similar_documents(request, which):
     assert out.columns == docs.columns and out.count() == sum(r.kept for r in got)
 
 
+def _altered(rng, words, n, vocabulary):
+    """words with n of them replaced, put in or taken out."""
+    out = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(out))
+        what = rng.random()
+        if what < 0.7:
+            out[at] = rng.choice(vocabulary)
+        elif what < 0.85:
+            out.insert(at, rng.choice(vocabulary))
+        else:
+            del out[at]
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_copies_too_unlike_their_original(spark, tmp_path, seed):
+    """Families of which few link to the original, but some to each other: no link is lost."""
+    import random
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(40)]  # small, so that copies change alike by chance
+    texts = []
+    for family in range(4):
+        original = [f"f{family}w{i}" for i in range(rng.choice([60, 150, 300]))]
+        n = max(2, len(original) // 16)
+        copies = [_altered(rng, original, rng.randrange(n // 2, 2 * n), vocabulary) for _ in range(45)]
+        copies += [_altered(rng, rng.choice(copies), rng.randrange(1, n), vocabulary)
+                   for _ in range(45)]
+        copies += [c[:int(len(c) * rng.uniform(0.5, 1))] for c in rng.sample(copies, 15)]
+        copies += [c + rng.choices(vocabulary, k=rng.randrange(1, 2 * n)) for c in rng.sample(copies, 15)]
+        texts += [original, *copies, *rng.sample(copies, 5)]
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t), "en", "s", 1) for k, t in enumerate(texts)]
+    _frame(spark, rows).repartition(3).write.parquet(str(tmp_path / "d"))
+    got = jaccard.similar_documents(spark.read.parquet(str(tmp_path / "d"))).collect()
+    want = plain.components([(r[0], r[1]) for r in rows])
+    _same([(r.doc_id, r.n_shingles, r.component_id) for r in got],
+          [(k, *w) for k, w in enumerate(want)])
+    assert len({w[1] for w in want}) > 20
+
+
+def test_differences_from_a_hub_and_their_bound():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    from shelfwise.llm.text import binary
+    rng = random.Random(5)
+    hub = set(range(1000, 1100))
+    sets = [hub, set(), set(range(5))]
+    for _ in range(80):
+        lost = set(rng.sample(sorted(hub), rng.randrange(45)))
+        sets.append(hub - lost | {rng.randrange(60) for _ in range(rng.randrange(45))})
+        sets.append(set(rng.sample(sorted(sets[-1]), len(sets[-1]) * 9 // 10)) | {rng.randrange(60)})
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7] * len(sets)), pa.array(range(len(sets))), binary([arrays[0]] * len(sets)),
+         binary(arrays)], names=["a", "b", "ga", "gb"])
+    told = jaccard._block_differences(batch).to_pylist()
+    lists = {}
+    for s, r in zip(sets, told):
+        assert (r["hub_size"], r["size"], r["shared"]) == (100, len(s), len(hub & s))
+        assert r["near"] == (3 * len(hub & s) >= 100 + len(s))
+        codes = np.frombuffer(r["differ"], np.uint64).tolist()
+        own, lacked = sorted(s - hub), [2 ** 64 - 1 - x for x in sorted(hub - s)]
+        assert codes == (own + lacked if r["near"] else [])
+        if r["near"]:
+            lists[r["b"]] = codes
+    entries = {}
+    near = [r for r in told if r["near"]]
+    columns = {c: [r[c] for r in near] for c in ("a", "b", "b", "hub_size", "size", "shared", "differ")}
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(columns["a"]), pa.array(columns["b"]), pa.array(columns["b"]),
+         *[pa.array(columns[c], pa.int64()) for c in ("hub_size", "size", "shared")],
+         pa.array(columns["differ"], pa.binary())], names=list("abcdefg"))
+    for out in jaccard._difference_entries([batch]):
+        for e in out.to_pylist():
+            entries.setdefault(e["row"], {})[e["key"]] = e
+    n_links = 0
+    for x in lists:
+        for y in lists:
+            shared = len(sets[x] & sets[y])
+            linked = 100 * shared >= 80 * len(sets[x] | sets[y])
+            to_hub = [100 * len(hub & sets[k]) >= 80 * len(hub | sets[k]) for k in (x, y)]
+            if x >= y or not linked or all(to_hub):
+                continue
+            n_links += 1
+            met = False
+            for key in set(entries.get(x, {})) & set(entries.get(y, {})):
+                a, b = entries[x][key], entries[y][key]
+                t = -((100 - a["u"] - b["u"]) // 9)
+                met |= a["place"] <= a["differences"] - t + 1 and b["place"] <= b["differences"] - t + 1
+            assert met
+    assert n_links > 20
+
+
 def test_chains_of_similar_documents(spark, tmp_path):
     """Neighbours link, ends do not; and one passage in all texts links none of the others."""
     base = [f"c{i}" for i in range(100)]
