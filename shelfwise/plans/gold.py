@@ -323,16 +323,26 @@ def first_divergence(movement: DataFrame, scratch: str) -> DataFrame:
 def orphans(product: DataFrame, **sources: DataFrame) -> DataFrame:
     """Products used by a source but absent from the product master.
 
-    Counted per product first, so the anti join sees each product once per source, and once in
-    the master.
+    Sources and master are counted per product in one aggregation, combined per task ahead of
+    its shuffle. An anti join would not do: Spark moves it below the counts, and then shuffles
+    and sorts every row of the sources, each beside a copy of the master.
     """
-    used = None
-    for name, df in sources.items():
-        part = df.groupBy("product_no").agg(F.count("*").alias("n_rows")).select(
-            F.lit(name).alias("source_table"), "product_no", "n_rows")
-        used = part if used is None else used.unionByName(part)
-    return used.join(product.select("product_no").distinct(), "product_no", "left_anti").select(
-        "source_table", "product_no", "n_rows")
+    names = list(sources)
+
+    def flagged(df: DataFrame, at: int | None) -> DataFrame:
+        # The master's rows carry no count at all. A NULL is no product of the master.
+        counts = [F.lit(int(at == i)).cast("long").alias(f"n{i}") for i in range(len(names))]
+        return df.select("product_no", *counts, F.lit(at is None).alias("known"))
+
+    rows = [flagged(df, i) for i, df in enumerate(sources.values())]
+    rows.append(flagged(product.where(F.col("product_no").isNotNull()), None))
+    counted = reduce(DataFrame.unionByName, rows).groupBy("product_no").agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names))],
+        F.max("known").alias("known"))
+    lines = F.array(*[F.struct(F.lit(name).alias("source_table"), F.col(f"n{i}").alias("n_rows"))
+                      for i, name in enumerate(names)])
+    return (counted.where(~F.col("known")).select("product_no", F.inline(lines))
+            .where(F.col("n_rows") > 0).select("source_table", "product_no", "n_rows"))
 
 
 def top_n(df: DataFrame, key: str, measure: Column, n: int = 10) -> DataFrame:

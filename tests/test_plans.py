@@ -54,6 +54,29 @@ def test_only_needed_columns_are_read(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_orphans_shuffle_counts_only(spark):
+    """Every source is counted per task ahead of the one shuffle by product; nothing is sorted."""
+    from pyspark.sql import functions as F
+    from shelfwise.plans import gold as G
+    rows = spark.range(100).select((F.col("id") % 7).cast("string").alias("product_no"))
+    df = G.orphans(rows.where("product_no < '5'"), a=rows, b=rows.where("product_no > '4'"))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Sort " not in text and text.count("Exchange") == 1
+    assert "partial_sum" in text[text.index("Exchange"):]
+    assert {tuple(r) for r in df.collect()} == {("a", "5", 14), ("a", "6", 14), ("b", "5", 14),
+                                                ("b", "6", 14)}
+    assert "LeftAnti" not in plan(spark, "g17_orphans")
+
+
+def test_orphans_without_a_number(spark):
+    from shelfwise.plans import gold as G
+    master = spark.createDataFrame([(None,), ("a",)], "product_no string")
+    used = spark.createDataFrame([(None,), (None,), ("a",), ("b",)], "product_no string")
+    assert {tuple(r) for r in G.orphans(master, s=used, t=master).collect()} == {
+        ("s", None, 2), ("s", "b", 1), ("t", None, 1)}
+    assert G.orphans(master, s=used.limit(0)).count() == 0
+
+
 def test_windows_rank_bounded_rows_only(spark):
     """Per-group ranks are cut before the shuffle; global ones run over the n rows that are left."""
     assert plan(spark, "g18_top_skus_per_brand").count("WindowGroupLimit") == 2
