@@ -352,13 +352,21 @@ def g8_stock_status_sku(spark, sf):
 
 
 def _sales_up_to_now(spark, sf):
-    """Sales of which brands and products differ in how much falls into the last 30 days."""
-    brand = F.coalesce(F.split_part("brand", F.lit("#"), F.lit(2)).try_cast("int"), F.lit(0))
+    """Sales of which brands and products differ in how much falls into the last 30 days.
+
+    The brand's number is exploded from an array of one, so that it stays a column: a filter on
+    the date would be pushed below the cleaning otherwise, with all of that written out in it
+    for every mention of the brand.
+    """
+    number_of = F.coalesce(F.split_part("brand", F.lit("#"), F.lit(2)).try_cast("int"), F.lit(0))
+    sales = _sales(spark, sf, BRAND_COLUMNS)
+    names, brand = sales.columns, F.col("_brand")
     number = F.col("product_no").cast("int")
     back = F.when(brand % 11 == 5, 60).when((brand % 4 == 1) & (number % 10 != 0), 60) \
         .otherwise(number % 30)
-    return _sales(spark, sf, BRAND_COLUMNS).withColumn("date", F.date_sub(F.lit(D.RUN_DATE), back)) \
-        .withColumn("qty", F.col("qty") * F.when(brand % 4 == 0, 2).otherwise(1))
+    return sales.select("*", F.explode(F.array(number_of)).alias("_brand")).withColumns({
+        "date": F.date_sub(F.lit(D.RUN_DATE), back),
+        "qty": F.col("qty") * F.when(brand % 4 == 0, 2).otherwise(1)}).select(*names)
 
 
 def g8_stock_status_all_classes(spark, sf):

@@ -77,6 +77,14 @@ def test_orphans_without_a_number(spark):
     assert G.orphans(master, s=used.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["g8_stock_status_all_classes", "g8_stock_status_sku_all_classes"])
+def test_days_are_not_filtered_below_the_cleaning(spark, name):
+    """The brand a date is made from is cleaned once per row, not for every mention in a filter."""
+    text = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [f.split("\n")[0] for f in text.split("Filter ")[1:]]
+    assert filters and not any("trim(" in f or "split" in f for f in filters)
+
+
 def test_windows_rank_bounded_rows_only(spark):
     """Per-group ranks are cut before the shuffle; global ones run over the n rows that are left."""
     assert plan(spark, "g18_top_skus_per_brand").count("WindowGroupLimit") == 2
