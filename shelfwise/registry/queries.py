@@ -202,7 +202,8 @@ def p2_published_aging(spark, sf):
     """Exports as Parquet files, a full refresh over them, and the published ageing table."""
     src, dst = shared_dir(spark, "exports"), shared_dir(spark, "published")
     lake.side_by_side(spark, [
-        partial(df.drop(S.ROW_ID).write.parquet, f"{src}/{TABLES[table]}.parquet")
+        partial(df.drop(S.ROW_ID).write.parquet, f"{src}/{TABLES[table]}.parquet",
+                compression="zstd")
         for table, df in _raw(spark, sf).items()])
     run_refresh(spark, src, dst, D.RUN_DATE, fmt="parquet", house_category=D.HOUSE)
     return T.gold_names(lake.current(spark, dst, "stg_stock_aging"))
