@@ -14,12 +14,14 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label of the neighbours and then the label's own label, so the
     rounds grow with the logarithm of the longest path. All groups are minima, combined before
     the shuffle; a node with very many links is split by the join, and nothing is collected.
+    Links are computed once and written where they are found; one that comes several times costs
+    work, but changes no minimum.
     """
-    edges = materialise(links.select("a", "b").unionAll(
-        links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = edges.groupBy(F.col("a").alias("node")).agg(
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = materialise(links.select(F.inline(both)), "edges")
+    # The first round takes these three times from one shuffle, as all have the same filter.
+    labels = edges.filter("a is not null").groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("component"))
-    labels = materialise(labels, "labels")
     while True:
         near = edges.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(
             F.min("component").alias("near"))

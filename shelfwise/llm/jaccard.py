@@ -51,6 +51,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from shelfwise.llm import blocks as B
 from shelfwise.llm.components import components
@@ -268,7 +269,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row pairs with their n-grams -> pairs that link, a block of pairs at a time."""
+    """Two numbers and the n-grams of two rows -> the numbers, where the rows link."""
     for batch in batches:
         sizes = lengths(batch.column(2), 8) + lengths(batch.column(3), 8)
         total, low = np.append(0, np.cumsum(sizes)), 0
@@ -300,21 +301,21 @@ def _grown(side: DataFrame) -> DataFrame:
 
 
 def _paired(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """a, b, and the sorted n-grams of both, of the pairs (a, b). A row's n-grams are made once."""
+    """The pairs (a, b), and the sorted n-grams of both. A row's n-grams are made once."""
     wanted = pairs.select(F.col("a").alias("_r")).unionAll(pairs.select("b")).distinct()
     sets = materialise(
         docs.join(_grown(wanted), F.col("_row") == F.col("_r"), "left_semi").select("_row", "text")
         .mapInArrow(_sets, "row long, grams binary"), "sets")
     a = sets.select(F.col("row").alias("_ra"), F.col("grams").alias("_ga"))
     b = sets.select(F.col("row").alias("_rb"), F.col("grams").alias("_gb"))
-    both = pairs.select("a", "b").join(_grown(b), F.col("b") == F.col("_rb")) \
-        .join(_grown(a), F.col("a") == F.col("_ra"))
-    return both.select("a", "b", "_ga", "_gb")
+    both = pairs.join(_grown(b), F.col("b") == F.col("_rb")).join(_grown(a), F.col("a") == F.col("_ra"))
+    return both.select(*pairs.columns, "_ga", "_gb")
 
 
 def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose overlap suffices."""
-    return materialise(_paired(docs, pairs).mapInArrow(_overlaps, "a long, b long"), "links")
+    """a, b: the labels of those of the pairs whose overlap suffices."""
+    return _paired(docs, pairs).select("label_a", "label_b", "_ga", "_gb").mapInArrow(
+        _overlaps, "a long, b long")
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,14 +393,15 @@ def _labelled(rows: DataFrame, row: str, labels: DataFrame) -> DataFrame:
 
 
 def _hub_mates(compared: DataFrame, labels: DataFrame) -> DataFrame:
-    """a, b: rows near one hub, of different labels, that may share differences enough."""
+    """a, b, label_a, label_b: rows near one hub, of different labels, that may share differences
+    enough."""
     named = materialise(_labelled(compared.filter("near"), "b", labels).select(
         "a", "b", "label", "hub_size", "size", "shared", "differ"), "near")
     mixed = named.groupBy(F.col("a").alias("_hub")).agg(
         F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("_hub")
-    entries = named.join(_grown(mixed), F.col("a") == F.col("_hub"), "left_semi").mapInArrow(
+    entries = materialise(named.join(_grown(mixed), F.col("a") == F.col("_hub"), "left_semi").mapInArrow(
         _difference_entries, "key long, row long, label long, place int, differences int, u int, "
-        "hub_size int, size int")
+        "hub_size int, size int"), "differences")
     x, y = entries.alias("x"), entries.alias("y")
     least = F.floor((F.col("x.u") + F.col("y.u") - F.col("x.hub_size") + 8) / 9)
 
@@ -410,7 +412,8 @@ def _hub_mates(compared: DataFrame, labels: DataFrame) -> DataFrame:
     return x.join(_grown(y), (F.col("x.key") == F.col("y.key")) & (F.col("x.row") < F.col("y.row"))
                   & (F.col("x.label") != F.col("y.label")) & reaches("x") & reaches("y")
                   & (5 * nx >= 4 * ny) & (5 * ny >= 4 * nx)) \
-        .select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
+        .select(F.col("x.row").alias("a"), F.col("y.row").alias("b"),
+                F.col("x.label").alias("label_a"), F.col("y.label").alias("label_b")).distinct()
 
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
@@ -451,7 +454,8 @@ def _open_columns(entries: DataFrame, labels: DataFrame, compared: DataFrame) ->
 
 
 def _other_pairs(entries: DataFrame) -> DataFrame:
-    """a, b: all row pairs of different labels and hubs whose sizes and whole counts allow a link.
+    """a, b, label_a, label_b: all row pairs of different labels and hubs whose sizes and whole
+    counts allow a link.
 
     Of the smaller row x the inner prefix counts, of the other that for the ratio of their sizes.
     Both hold the first n // SHARE + 1 n-grams that a linked pair has in common.
@@ -466,8 +470,10 @@ def _other_pairs(entries: DataFrame) -> DataFrame:
                   & (F.col("x.label") != F.col("y.label")) & (F.col("x.hub") != F.col("y.hub"))
                   & (F.col("y.part") <= needed)) \
         .groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")) \
-        .agg(F.sum("x.times").alias("shared"), F.min(nx).alias("size")) \
-        .filter(F.col("shared") > F.floor(F.col("size") / SHARE)).select("a", "b")
+        .agg(F.sum("x.times").alias("shared"), F.min(nx).alias("size"),
+             F.min("x.label").alias("label_a"), F.min("y.label").alias("label_b")) \
+        .filter(F.col("shared") > F.floor(F.col("size") / SHARE)) \
+        .select("a", "b", "label_a", "label_b")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -484,40 +490,41 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     rows = facts.filter("kind = 1").select(
         F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"))
     shipped = spark.sparkContext.broadcast(_frequent(facts.filter("kind = 0").select("a", "b")))
-    entries = materialise(
-        docs.mapInArrow(_entries(shipped, B.buckets(spark)),
-                        "bucket long, block long, keys binary, rows binary, sizes binary")
+    columns = docs.mapInArrow(_entries(shipped, B.buckets(spark)),
+                              "bucket long, block long, keys binary, rows binary, sizes binary") \
         .groupBy("bucket").applyInArrow(
-            _columns, "column long, row long, size long, part long, times long, rows long"),
-        "columns")
-    found = entries.filter("part < 0").select(F.col("row").alias("a"), F.col("column").alias("b"))
-    entries = entries.filter("part >= 0")
-    company = entries.groupBy(F.col("row").alias("_r")).agg(
-        (F.sum(F.col("times") * (F.col("rows") - 1)) / F.max("size")).alias("_company"))
+            _columns, "column long, row long, size long, part long, times long, rows long")
+    # A row's entries are as many as its prefix and the rows of its block that are equal to it.
+    of_row = W.partitionBy("row")
+    company = F.sum(F.col("times") * (F.col("rows") - 1)).over(of_row) \
+        / F.greatest(F.max("size").over(of_row), F.lit(1))
     # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
-    rank = F.floor(F.col("_company") * 4096).cast("long") * (1 << 20) \
-        + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
-    entries = materialise(entries.join(_grown(company), F.col("row") == F.col("_r")).select(
+    rank = F.floor(company * 4096).cast("long") * (1 << 20) + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
+    entries = materialise(columns.select(
         "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
+    found = entries.filter("part < 0").select(F.col("row").alias("a"), F.col("column").alias("b"))
+    entries = entries.filter("part >= 0")
     compared = materialise(_paired(docs, materialise(_hub_pairs(entries), "pairs"))
                            .mapInArrow(_differences, COMPARED), "compared")
     found = found.unionAll(compared.filter("9 * shared >= 4 * (hub_size + size)").select("a", "b"))
     labels = components(found)
     mates = _hub_mates(compared, labels)
     others = _other_pairs(_open_columns(entries, labels, compared))
-    found = found.unionAll(_linked(docs, materialise(mates.unionAll(others), "pairs")))
-    final = components(found)
-    member = materialise(rows.join(_grown(final), F.col("row") == F.col("node"), "left").select(
-        "row", "doc_id", "n_shingles", F.col("component").alias("_component")), "members")
+    # What is left links components, so the second search goes over these and not over rows.
+    merged = components(_linked(docs, materialise(mates.unionAll(others), "pairs")))
+    known = rows.join(_grown(labels), F.col("row") == F.col("node"), "left").select(
+        "row", "doc_id", "n_shingles", "component", F.coalesce("component", "row").alias("_label"))
+    further = merged.select(F.col("node").alias("_n"), F.col("component").alias("_further"))
+    member = materialise(known.join(_grown(further), F.col("_label") == F.col("_n"), "left").select(
+        "row", "doc_id", "n_shingles", F.coalesce("_further", "component").alias("_component")),
+        "members")
     linked, alone = (member.filter(F.col("_component").isNotNull()),
                      member.filter(F.col("_component").isNull()))
-    heads = linked.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
     # Ids may repeat: of the rows with the smallest one the first stays.
-    named = linked.join(_grown(heads), "_component")
-    stay = named.filter(F.col("doc_id") == F.col("component_id")).groupBy("_component").agg(
-        F.min("row").alias("_stay"))
-    named = named.join(_grown(stay), "_component").select(
-        "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("_stay")).alias("kept"))
+    heads = linked.groupBy("_component").agg(F.min(F.struct("doc_id", "row")).alias("_head"))
+    named = linked.join(_grown(heads), "_component").select(
+        "row", "doc_id", "n_shingles", F.col("_head.doc_id").alias("component_id"),
+        (F.col("row") == F.col("_head.row")).alias("kept"))
     return named.unionAll(alone.select("row", "doc_id", "n_shingles",
                                        F.col("doc_id").alias("component_id"),
                                        F.lit(True).alias("kept")))

@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     kinds = T.StructType([texts.schema["doc_id"], T.StructField("fp", T.LongType())])
     marked = materialise(texts.mapInArrow(_fingerprint_batches, kinds), "simhash")
     distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    joined = components(near_links(distinct, radius))
+    joined = components(near_links(distinct, radius).distinct())
     labelled = materialise(distinct.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")), "labelled")
     lowest = materialise(labelled.groupBy("component").agg(

@@ -1,5 +1,6 @@
 """Places where operators once did less than the whole job."""
 
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -7,6 +8,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.llm import components as components_module
 from shelfwise.llm import decontamination, jaccard, mixing, personal, store
 
 ITEM = [f"item{i}" for i in range(13)]
@@ -180,3 +182,44 @@ def test_long_items_are_broadcast_by_their_seeds(spark, monkeypatch):
     sizes = [df.select("_item").agg(F.count("_item"), F.max(F.size("_item"))).first() for df in sent]
     assert len(sizes) > 5 and max(n for n, _ in sizes) < 2 * 300
     assert max(w for _, w in sizes) <= 16
+
+
+def test_the_second_search_goes_over_components(spark, tmp_path, monkeypatch):
+    """Links found late join components found before; equal and near rows are not gone over again,
+    and a search writes its links and a table a round."""
+    rng = random.Random(1)
+    base = [f"w{k}" for k in range(150)]
+    # Each with five of seven changes: unlike the original, like those that share four.
+    copies = [[f"x{k}" if k in {10 + 18 * j for j in five} else w for k, w in enumerate(base)]
+              for five in combinations(range(7), 5)]
+    texts = [" ".join(t) for t in [*[base] * 3, *copies]]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    searches, tables = [], []
+    real, write = jaccard.components, components_module.materialise
+
+    def search(links):
+        searches.append([(r.a, r.b) for r in links.collect()])
+        return real(links)
+
+    def written(df, purpose):
+        tables.append(purpose)
+        return write(df, purpose)
+    monkeypatch.setattr(jaccard, "components", search)
+    monkeypatch.setattr(components_module, "materialise", written)
+    got = jaccard.similar_documents(spark.read.parquet(path)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} \
+        == {(d, c) for (d, _), (_, c) in zip(rows, plain.components(rows))}
+    first, second = searches
+    into = {}
+    for a, b in first:
+        into.setdefault(a, a), into.setdefault(b, b)
+    for _ in into:
+        for a, b in first:
+            into[a] = into[b] = min(into[a], into[b])
+    assert second and not set(first) & set(second)
+    assert all(into.get(a, a) == a and into.get(b, b) == b and a != b for a, b in second)
+    assert tables[0] == "edges" and tables.count("edges") == 2 and set(tables[1:]) <= {"edges", "labels"}
+    assert tables.count("labels") <= 8
