@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from shelfwise.llm.grams import PIECE, lowered, text_rows, windows
-from shelfwise.llm.store import materialise, needs, workers_import
+from shelfwise.llm.store import materialise, needs, short_batches, workers_import
 from shelfwise.llm.text import slices
 
 ORDERS = (1, 2)
@@ -208,7 +208,9 @@ def bucket_counts(rows: DataFrame, orders: tuple[int, ...] = ORDERS, buckets: in
     counts = np.zeros(buckets, np.int64)
     summed = needs(rows, "text").mapInArrow(_bucket_counts(orders, buckets),
                                             "bucket long, n long")
-    for bucket, n in summed.groupBy("bucket").agg(F.sum("n")).collect():
+    with short_batches(rows.sparkSession):
+        found = summed.groupBy("bucket").agg(F.sum("n")).collect()
+    for bucket, n in found:
         counts[bucket] = n
     return counts
 
@@ -274,8 +276,9 @@ def resample(docs: DataFrame, target: DataFrame, share_percent: int = SHARE_PERC
     kinds = T.StructType([texts.schema["doc_id"], *[
         T.StructField(c, T.LongType()) for c in ("n_words", "n_features", "weight")]])
     weighed = texts.mapInArrow(_weights(gain, orders, to_arrow_schema(kinds)), kinds)
-    scored = materialise(weighed.select(
-        "*", (F.col("weight") + noise(F.col("doc_id"), seed)).alias("score")), "scored")
+    with short_batches(docs.sparkSession):
+        scored = materialise(weighed.select(
+            "*", (F.col("weight") + noise(F.col("doc_id"), seed)).alias("score")), "scored")
     meta = scored.metadataColumn("_metadata")
     own = F.xxhash64(meta["file_name"], meta["row_index"])
     able = F.col("n_words") >= min_words

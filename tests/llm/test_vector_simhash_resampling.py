@@ -9,11 +9,12 @@ from fractions import Fraction
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from shelfwise.llm import resampling, simhash, vector_codes
+from shelfwise.llm import resampling, simhash, store, vector_codes
 from shelfwise.llm.grams import windows
 
 SF = "/root/testdata/sf0.001"
@@ -318,3 +319,29 @@ def test_equal_rows_get_ranks_of_their_own(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert sorted(r.rank for r in got if r["rank"] is not None) == list(range(1, 501))
+
+
+def test_resampling_sends_texts_to_python_in_short_batches(spark, monkeypatch):
+    """Both passes; not 10,000 texts or Spark's 64 MB at once, and settings are as before."""
+    text = "some words " * 10_000
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    before = spark.conf.get(store.BATCH_BYTES)
+
+    def counted(orders, buckets):
+        def run(batches):
+            for k, batch in enumerate(batches):
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([batch.nbytes])], ["bucket", "n"])
+        return run
+
+    def weighed(gain, orders, schema):
+        def run(batches):
+            for batch in batches:
+                same = pa.array([batch.nbytes] * batch.num_rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0), same, same, same], schema=schema)
+        return run
+    monkeypatch.setattr(resampling, "_bucket_counts", counted)
+    monkeypatch.setattr(resampling, "_weights", weighed)
+    sizes = resampling.bucket_counts(docs)
+    assert sizes.sum() > 30 << 20 and sizes.max() < 8 << 20
+    assert max(r.n_words for r in resampling.resample(docs, docs.limit(1)).collect()) < 8 << 20
+    assert spark.conf.get(store.BATCH_BYTES) == before
