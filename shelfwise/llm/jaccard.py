@@ -55,8 +55,9 @@ from pyspark.sql.window import Window as W
 
 from shelfwise.llm import blocks as B
 from shelfwise.llm.components import components
-from shelfwise.llm.store import materialise, needs, numbered, stored, workers_import, wrapped
-from shelfwise.llm.text import (Words, binary, joined, lengths, mix, slices, text_bytes,
+from shelfwise.llm.store import (materialise, needs, numbered, short_batches, stored,
+                                 workers_import, wrapped)
+from shelfwise.llm.text import (Words, binary, cuts, joined, lengths, mix, slices, text_bytes,
                                 whole_windows, windows)
 
 WORDS = 5
@@ -65,6 +66,8 @@ FREQUENT_IN_BLOCK = 4
 #: ... and so many of the most frequent ones are known by every task (8 bytes each).
 FREQUENT_KNOWN = 200_000
 LEVELS = 16
+#: Bytes of text whose words are hashed and sorted at once; of a longer text all are.
+TEXT_AT_ONCE = 1 << 20
 #: N-grams of row pairs that a task lays side by side at once.
 GRAMS_AT_ONCE = 1 << 20
 #: Prefixes of a row, by the largest partner-to-row ratio (in percent) of sizes they serve; the
@@ -92,14 +95,9 @@ class Rows:
     first: np.ndarray       # the first document with the same set
 
 
-def incidence(table: pa.Table, usable: np.ndarray | None = None,
-              frequent: np.ndarray | None = None, rank: np.ndarray | None = None) -> Rows:
-    """Sets of 5-word shingles in lower case; a shorter text has one, all its words.
-
-    A set is in the order of the columns: by rank, then by hash. frequent: sorted hashes of
-    frequent n-grams, rank: theirs, from 1; all others have 0. usable: rows that may be equal.
-    """
-    data, offsets = text_bytes(table["text"])
+def _in_order(data: np.ndarray, offsets: np.ndarray, first: int, frequent: np.ndarray | None,
+              rank: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of some texts' sets and whose they are, set by set; `first` numbers the first."""
     w = Words(data, offsets, lower=True)
     hashes, owner = w.hashes(), w.owner()
     whole = whole_windows(owner, WORDS)
@@ -115,13 +113,28 @@ def incidence(table: pa.Table, usable: np.ndarray | None = None,
         level = np.where(frequent[at] == grams, rank[at], 0).astype(np.int32)
     order = np.argsort(grams)
     within = owner[order].astype(np.int32) * LEVELS + level[order]
-    if len(table) * LEVELS < 1 << 16:
+    if len(w.counts) * LEVELS < 1 << 16:
         within = within.astype(np.uint16)  # sorted by radix
     order = order[np.argsort(within, kind="stable")]
     grams, owner = grams[order], owner[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
-    grams, owner = grams[new], owner[new]
+    return grams[new], owner[new] + first
+
+
+def incidence(table: pa.Table, usable: np.ndarray | None = None,
+              frequent: np.ndarray | None = None, rank: np.ndarray | None = None) -> Rows:
+    """Sets of 5-word shingles in lower case; a shorter text has one, all its words.
+
+    A set is in the order of the columns: by rank, then by hash. frequent: sorted hashes of
+    frequent n-grams, rank: theirs, from 1; all others have 0. usable: rows that may be equal.
+    """
+    data, offsets = text_bytes(table["text"])
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    parts = [_in_order(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low], low,
+                       frequent, rank) for low, high in cuts(offsets, TEXT_AT_ONCE)]
+    grams, owner = (np.concatenate(x) for x in zip(none, *parts, strict=True))
+    del parts
     n = len(table)
     sizes = np.bincount(owner, minlength=n)
     starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -483,41 +496,42 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     workers_import(spark)
-    docs = numbered(stored(needs(docs, "doc_id", "text")),
-                    F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .select("_row", "doc_id", "text")
-    facts = materialise(docs.mapInArrow(_facts, "kind int, a long, b long, c long"), "facts")
-    rows = facts.filter("kind = 1").select(
-        F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"))
-    shipped = spark.sparkContext.broadcast(_frequent(facts.filter("kind = 0").select("a", "b")))
-    columns = docs.mapInArrow(_entries(shipped, B.buckets(spark)),
-                              "bucket long, block long, keys binary, rows binary, sizes binary") \
-        .groupBy("bucket").applyInArrow(
-            _columns, "column long, row long, size long, part long, times long, rows long")
-    # A row's entries are as many as its prefix and the rows of its block that are equal to it.
-    of_row = W.partitionBy("row")
-    company = F.sum(F.col("times") * (F.col("rows") - 1)).over(of_row) \
-        / F.greatest(F.max("size").over(of_row), F.lit(1))
-    # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
-    rank = F.floor(company * 4096).cast("long") * (1 << 20) + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
-    entries = materialise(columns.select(
-        "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
-    found = entries.filter("part < 0").select(F.col("row").alias("a"), F.col("column").alias("b"))
-    entries = entries.filter("part >= 0")
-    compared = materialise(_paired(docs, materialise(_hub_pairs(entries), "pairs"))
-                           .mapInArrow(_differences, COMPARED), "compared")
-    found = found.unionAll(compared.filter("9 * shared >= 4 * (hub_size + size)").select("a", "b"))
-    labels = components(found)
-    mates = _hub_mates(compared, labels)
-    others = _other_pairs(_open_columns(entries, labels, compared))
-    # What is left links components, so the second search goes over these and not over rows.
-    merged = components(_linked(docs, materialise(mates.unionAll(others), "pairs")))
-    known = rows.join(_grown(labels), F.col("row") == F.col("node"), "left").select(
-        "row", "doc_id", "n_shingles", "component", F.coalesce("component", "row").alias("_label"))
-    further = merged.select(F.col("node").alias("_n"), F.col("component").alias("_further"))
-    member = materialise(known.join(_grown(further), F.col("_label") == F.col("_n"), "left").select(
-        "row", "doc_id", "n_shingles", F.coalesce("_further", "component").alias("_component")),
-        "members")
+    with short_batches(spark):
+        docs = numbered(stored(needs(docs, "doc_id", "text")),
+                        F.col("doc_id").cast("long").alias("doc_id"), "text") \
+            .select("_row", "doc_id", "text")
+        facts = materialise(docs.mapInArrow(_facts, "kind int, a long, b long, c long"), "facts")
+        rows = facts.filter("kind = 1").select(
+            F.col("a").alias("row"), F.col("b").alias("doc_id"), F.col("c").alias("n_shingles"))
+        shipped = spark.sparkContext.broadcast(_frequent(facts.filter("kind = 0").select("a", "b")))
+        columns = docs.mapInArrow(_entries(shipped, B.buckets(spark)),
+                                  "bucket long, block long, keys binary, rows binary, sizes binary") \
+            .groupBy("bucket").applyInArrow(
+                _columns, "column long, row long, size long, part long, times long, rows long")
+        # A row's entries are as many as its prefix and the rows of its block that are equal to it.
+        of_row = W.partitionBy("row")
+        company = F.sum(F.col("times") * (F.col("rows") - 1)).over(of_row) \
+            / F.greatest(F.max("size").over(of_row), F.lit(1))
+        # Rank: the company first; below that a hash, so that equal rows rank alike in all columns.
+        rank = F.floor(company * 4096).cast("long") * (1 << 20) + F.pmod(F.xxhash64("row"), F.lit(1 << 20))
+        entries = materialise(columns.select(
+            "column", "row", "size", "part", "times", rank.alias("rank")), "columns")
+        found = entries.filter("part < 0").select(F.col("row").alias("a"), F.col("column").alias("b"))
+        entries = entries.filter("part >= 0")
+        compared = materialise(_paired(docs, materialise(_hub_pairs(entries), "pairs"))
+                               .mapInArrow(_differences, COMPARED), "compared")
+        found = found.unionAll(compared.filter("9 * shared >= 4 * (hub_size + size)").select("a", "b"))
+        labels = components(found)
+        mates = _hub_mates(compared, labels)
+        others = _other_pairs(_open_columns(entries, labels, compared))
+        # What is left links components, so the second search goes over these and not over rows.
+        merged = components(_linked(docs, materialise(mates.unionAll(others), "pairs")))
+        known = rows.join(_grown(labels), F.col("row") == F.col("node"), "left").select(
+            "row", "doc_id", "n_shingles", "component", F.coalesce("component", "row").alias("_label"))
+        further = merged.select(F.col("node").alias("_n"), F.col("component").alias("_further"))
+        member = materialise(known.join(_grown(further), F.col("_label") == F.col("_n"), "left").select(
+            "row", "doc_id", "n_shingles", F.coalesce("_further", "component").alias("_component")),
+            "members")
     linked, alone = (member.filter(F.col("_component").isNotNull()),
                      member.filter(F.col("_component").isNull()))
     # Ids may repeat: of the rows with the smallest one the first stays.

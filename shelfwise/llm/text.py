@@ -117,6 +117,11 @@ def whole_windows(owner: np.ndarray, n: int) -> np.ndarray:
 def slices(batch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch with about `limit` bytes of text each (one row at least)."""
     _, at = text_bytes(batch.column(column))
+    yield from cuts(at, limit)
+
+
+def cuts(at: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of the texts that begin and end at these offsets, as in slices."""
     n, low = len(at) - 1, 0
     while low < n:
         high = max(low + 1, int(np.searchsorted(at, at[low] + limit, "right")) - 1)

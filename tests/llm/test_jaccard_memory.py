@@ -1,0 +1,74 @@
+"""What the Jaccard join holds in memory at once: pieces of texts, short batches."""
+
+import random
+import tracemalloc
+
+import numpy as np
+import plain
+import pyarrow as pa
+import pytest
+
+from shelfwise.llm import jaccard, store
+
+
+def _texts(n, words, seed=3):
+    rng = random.Random(seed)
+    vocabulary = [f"word{k}" for k in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(words))) for _ in range(n)]
+    return [*texts, None, "", "one two", texts[5], "One  two", texts[7].upper()]
+
+
+def test_sets_of_pieces_are_those_of_the_block(monkeypatch):
+    """Also of a text longer than a piece, of short ones and of rows that may not be equal."""
+    texts = _texts(300, 80)
+    table = pa.table({"text": pa.array(texts[:150] + [" ".join(texts[:100])] + texts[150:], pa.string())})
+    usable = np.arange(len(table)) % 7 > 0
+    every = np.unique(jaccard.incidence(table).grams)
+    known = (every[::3], np.arange(len(every[::3]), dtype=np.int32) % 15 + 1)
+    monkeypatch.setattr(jaccard, "TEXT_AT_ONCE", 1 << 30)
+    want = jaccard.incidence(table, usable, *known)
+    for size in (1, 1000, 20_000):
+        monkeypatch.setattr(jaccard, "TEXT_AT_ONCE", size)
+        got = jaccard.incidence(table, usable, *known)
+        for name in ("grams", "owner", "place", "sizes", "first"):
+            np.testing.assert_array_equal(getattr(got, name), getattr(want, name))
+    nothing = jaccard.incidence(table.slice(0, 0))
+    assert len(nothing.grams) == len(nothing.sizes) == len(nothing.first) == 0
+
+
+def test_sets_take_little_memory():
+    """A block's words are not hashed and sorted at once: under 8 times the text, not 11."""
+    table = pa.table({"text": pa.array(_texts(2_000, 2_000), pa.string())})
+    jaccard.incidence(table.slice(0, 10))  # tables of powers
+    tracemalloc.start()
+    jaccard.incidence(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * table.nbytes, peak / table.nbytes
+
+
+@pytest.mark.parametrize("size", [None, 3000])
+def test_texts_go_to_python_in_short_batches(spark, tmp_path, monkeypatch, size):
+    """All steps but none after them; the same result when groups and blocks come in many batches."""
+    texts = _texts(120, 60)
+    texts += [t + f" end{k}" for k, t in enumerate(texts[:60])]
+    path, before, seen = str(tmp_path / "d"), spark.conf.get(store.BATCH_BYTES), []
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2) \
+        .write.parquet(path)
+    docs = spark.read.parquet(path)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    if size:
+        short = store.short_batches
+        monkeypatch.setattr(jaccard, "short_batches", lambda session: short(session, size))
+    write = jaccard.materialise
+
+    def noted(df, purpose):
+        seen.append((purpose, int(spark.conf.get(store.BATCH_BYTES))))
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()]
+    assert sorted(got) == sorted((d, *w) for (d, _), w in zip(rows, plain.components(rows)))
+    assert {"facts", "columns", "sets", "compared", "pairs"} <= {p for p, _ in seen}
+    assert all(n == (size or 4 << 20) for _, n in seen)
+    assert spark.conf.get(store.BATCH_BYTES) == before
