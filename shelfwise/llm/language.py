@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.samples import Presence, bounded_sample, gram_codes, learnable
-from shelfwise.llm.store import needs, workers_import, wrapped
+from shelfwise.llm.store import (materialise, needs, numbered, short_batches, stored,
+                                 workers_import, wrapped)
 
 ORDERS = (1, 2, 3)
 SAMPLE = 250
@@ -145,10 +146,16 @@ def identify_documents(docs: DataFrame, modulus: int = 3, rest: int = 1) -> Data
 
 
 def accepted_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of docs, in their columns, that have a language."""
-    model = train(docs, F.col("doc_id").isNotNull())
-    judged = identify(docs.select(wrapped(docs), "text"), model, ["doc"])
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)) \
-        .select("doc.*")
-
+    """The rows of docs, in their columns, that have a language.
 
+    Just texts go to Python, in short batches, and the numbers of rejected rows come back.
+    """
+    docs = stored(docs)
+    model = train(docs, F.col("doc_id").isNotNull())
+    judged = identify(numbered(docs, "text"), model, ["_row"])
+    with short_batches(docs.sparkSession):
+        gone = materialise(
+            judged.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
+            .select(F.col("_row").alias("_gone")), "rejected")
+    rows = numbered(docs, wrapped(docs))
+    return rows.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("doc.*")
