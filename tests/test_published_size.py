@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas as S
+from shelfwise.functions.contents import content, row_hashes
 from shelfwise.operators import ageing as A
 from shelfwise.operators import quality as Q
+from shelfwise.plans import refresh
 from shelfwise.sinks import lake
 from shelfwise.sources import driver_tables as D
+from shelfwise.sources.exports import TABLES
 
 DAY = datetime.date(2024, 3, 1)
 
@@ -140,3 +143,82 @@ def test_channel_is_made_before_lines_meet_their_orders(spark, tmp_path):
     assert S.ROW_ID not in sales.columns
     lines = sales._jdf.queryExecution().optimizedPlan().toString().split("LeftOuter, (l_orderkey")[1]
     assert "o_channel" in lines.split("Join LeftOuter")[0]
+
+
+def test_open_months_hold_small_dictionaries(spark, tmp_path):
+    pq = pytest.importorskip("pyarrow.parquet")
+    df = spark.range(0, 24_000, 1, 1).select(
+        F.lit(DAY).alias("Date"), (F.col("id") % 6000).alias("many"), (F.col("id") % 5).alias("few"))
+    lake.write_table(df, str(tmp_path / "t"), month_of="Date", codec="zstd")
+    (name,) = [f for f in os.listdir(tmp_path / "t" / "month_of_date=2024-03") if f.endswith(".parquet")]
+    group = pq.ParquetFile(tmp_path / "t" / "month_of_date=2024-03" / name).metadata.row_group(0)
+    held = {c.path_in_schema: c.has_dictionary_page for c in map(group.column, range(group.num_columns))}
+    assert held["few"] and not held["many"]  # 48 KB of values are over, five are not
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("many").count().where("count = 4").count() == 6000
+
+
+def exports(spark, src, number):
+    texts = lambda names: ", ".join(f"`{n}` string" for n in names)
+    for table, stem in TABLES.items():
+        names = [*S.RAW_REQUIRED[table], *(["A- Stock on Hand"] if table == "stock_balance" else [])]
+        rows = [tuple(number if n in ("Product No.", "Product NO.") and table == "sales" else
+                      {"Date": "01/02/2024", "A- Stock on Hand": "3"}.get(n, "7") for n in names),
+                tuple({"Date": "31/02/2024"}.get(n, "8") for n in names)]
+        spark.createDataFrame(rows, texts(names)).coalesce(1).write.parquet(f"{src}/{stem}.parquet")
+
+
+@pytest.mark.parametrize("number, placed", [("7", set()), (" nan ", {"sales"}), (None, {"sales"})])
+def test_positions_only_where_a_number_is_blank(spark, tmp_path, monkeypatch, number, placed):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    exports(spark, src, number)
+    seen, stage_all = {}, refresh.stage_all
+    monkeypatch.setattr(refresh, "stage_all", lambda raw, *args: seen.update(raw) or stage_all(raw, *args))
+    refresh.run_refresh(spark, src, dst, DAY, fmt="parquet")
+    assert {n for n, df in seen.items() if S.ROW_ID in df.columns} == placed
+    numbers = {r[0] for r in lake.current(spark, dst, "stg_sales").select("`Product NO.`").collect()}
+    assert numbers == {"8", "UNSPECIFIED-0" if placed else "7"}
+
+
+def test_sums_of_hashes_are_those_of_decimals(spark):
+    # Sums of 64-bit hashes pass a long, on either side.
+    df = spark.range(300).select((F.col("id") % 3).alias("k"), F.col("id").alias("a"),
+                                 F.when(F.col("id") % 2 == 0, "x").alias("b"))
+    rows = df.select("k", *[h.alias(n) for h, n in zip(row_hashes(F.col("a"), F.col("b")), "gh", strict=True)])
+    want = {k: [0, 0, 0] for k in range(3)}
+    for r in rows.collect():
+        want[r.k] = [want[r.k][0] + 1, want[r.k][1] + r.g, want[r.k][2] + r.h]
+    got = content(df, "k")
+    assert {r.k: (r.rows, r.mark) for r in got.collect()} == {
+        k: (n, f"{g}:{h}") for k, (n, g, h) in want.items()}
+    assert any(abs(v) >= 2 ** 63 for _, *sums in want.values() for v in sums)
+    assert [tuple(r) for r in content(df.limit(0).drop("k")).collect()] == [(0, "0:0")]
+    assert "as decimal(20,0))), sum(" not in plan(got) and "partial_sum(cast(" not in plan(got)
+
+
+def test_cells_of_many_warehouses_stay_compiled(spark):
+    names = [*S.RAW_REQUIRED["stock_balance"], *[f"W{i}- Stock on Hand" for i in range(25)],
+             *[f"W{i}-Inventory Asset Value" for i in range(24)]]
+    row = ("7",) * 6 + tuple(str(i) for i in range(25)) + ("1.5",) * 23 + ("x",)
+    sheet = spark.createDataFrame([row], ", ".join(f"`{n}` string" for n in names))
+    cells = Q._carried_cells(sheet)
+    got = {r.Warehouse: tuple(r)[5:] for r in cells.collect()}
+    assert len(got) == 25 and got["W3"] == (3, None, 1.5) and got["W23"] == (23, None, None)
+    assert got["W24"] == (24, None, None)
+    sizes = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan shows no code ahead of its run
+    try:
+        parts = content(cells)._jdf.queryExecution().debug().codegenToSeq().iterator()
+        while parts.hasNext():
+            sizes.append(parts.next()._3().maxMethodCodeSize())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 8000  # the JVM compiles no larger method
+
+
+def test_cells_of_several_types(spark):
+    names = [*S.RAW_REQUIRED["stock_balance"], "A- Stock on Hand", "A-Unit Cost", "B- Stock on Hand"]
+    kinds = ["string"] * 6 + ["double", "decimal(18,4)", "string"]
+    sheet = spark.createDataFrame([("7",) * 6 + (2.5, None, "n/a")],
+                                  ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)))
+    assert sorted(tuple(r)[4:] for r in Q._carried_cells(sheet).collect()) == [
+        ("A", 2.5, None, None), ("B", 0, None, None)]
